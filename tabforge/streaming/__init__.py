@@ -1,0 +1 @@
+"""Empty on purpose: the workload this package covers is batch only (see README, "Scope")."""
