@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ["prepare", "profile"]
+THEMES = ["prepare", "profile", "rules"]
 
 
 def load_catalog():

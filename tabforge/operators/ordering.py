@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import ORDER_HASH_RANGE, order_hash
+from tabforge.session import materialize
 
 BUCKETS = 64
 
@@ -56,14 +57,17 @@ def _split_points(df: DataFrame, by: Sequence[str], order: Column) -> dict[tuple
 
 def running_totals(
     df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = (), descending: bool = False,
-    exclusive: bool = False,
+    exclusive: bool = False, stored: bool = False,
 ) -> DataFrame:
     """Running totals of columns in the order of a numeric column, per group.
 
     ``df`` must hold one row per (group, order value) -- aggregate first. ``by`` names a short list of
     groups (columns of a profile, models of a comparison). ``sums`` maps output name to input column.
-    ``exclusive`` leaves the row's own value out.
+    ``exclusive`` leaves the row's own value out. The input is read three times (cut points, bucket
+    totals, rows), so it is written out first unless ``stored`` says it already is a table.
     """
+    if not stored:
+        df = materialize(df, "ordered")
     key = (-F.col(order) if descending else F.col(order)).cast("double")
     splits = _split_points(df, by, key)
     tag = F.concat_ws("\x01", *[F.col(b).cast("string") for b in by]) if by else F.lit("")
@@ -99,8 +103,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     distinct values stay distributed: count per value, running count, then pick the one or two rows
     that cover position prob * (n - 1).
     """
-    counts = value_counts_long(df, columns)
-    ranked = running_totals(counts, "value", {"hi": "cnt"}, by=["column"])
+    counts = materialize(value_counts_long(df, columns), "counts")
+    ranked = running_totals(counts, "value", {"hi": "cnt"}, by=["column"], stored=True)
     n = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     hits = (

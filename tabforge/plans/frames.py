@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.operators.ordering import next_in_key
+from tabforge.session import materialize
 from tabforge.sources.tables import load_table
 
 
@@ -161,3 +162,19 @@ def document_features(spark: SparkSession, sf: str) -> DataFrame:
 
 DOCUMENT_LANGUAGES = ["de", "en", "es", "fr"]
 DOCUMENT_COLUMNS = ["n_chars", "n_words", "n_lines", "n_digits", "upper_share", "lang_de", "lang_en", "lang_es", "lang_fr", "constant"]
+
+
+def visit_flags(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """0/1 transaction table over visits: label, one-hot columns and above-median measures."""
+    from tabforge.operators import encoding
+
+    df = materialize(visits(spark, sf), "visits")  # read by the median fit and by the projection
+    cuts = encoding.fit_medians(df, ["n_lines", "qty", "amount", "n_returned"])
+    hot = encoding.apply_one_hot(df, {
+        "status": ["F", "O", "P"],
+        "segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+        "priority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    })
+    wide = encoding.apply_above(hot, cuts).withColumn("early", encoding.equals_flag(F.col("readmitted"), "<30"))
+    flags = [c for c in wide.columns if c.startswith(("status_", "segment_", "priority_")) or c.endswith("_high")] + ["early"]
+    return wide.select("visit_id", *[F.col(f"`{c}`") for c in flags]), flags
