@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ["prepare", "profile", "rules"]
+THEMES = ["prepare", "profile", "rules", "evaluate"]
 
 
 def load_catalog():
