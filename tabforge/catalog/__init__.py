@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ["prepare", "profile", "rules", "evaluate"]
+THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors"]
 
 
 def load_catalog():
