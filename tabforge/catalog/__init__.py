@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors"]
+THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors", "cluster_scores"]
 
 
 def load_catalog():

@@ -37,16 +37,11 @@ def kth_distance(spark, sf):
 
 @query("elbow_curve", f"""WITH {_E}, d AS (SELECT a.vec_id AS id, list_distance(a.v, b.v) AS dist FROM e a, e b),
 k AS (SELECT id, dist FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist) = 5)
-SELECT id, round(dist, 6) AS dist, row_number() OVER (ORDER BY round(dist, 6) DESC, id)::BIGINT AS position FROM k""")
+SELECT id, round(dist, 6) AS dist, row_number() OVER (ORDER BY round(dist, 6) DESC, (id * 7919 + 104729) % 1000003, id)::BIGINT AS position FROM k""")
 def elbow_curve(spark, sf):
-    """Descending k-th distance, with the position on the curve."""
-    from tabforge.operators.ordering import running_totals
-
+    """Descending k-th distance, with the position on the curve (equal distances in hash order)."""
     d = N.kth_distance(_embeddings(spark, sf), "vec_id", "vec", 5).withColumn("dist", rounded(F.col("dist")))
-    counts = d.groupBy("dist").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("id")).alias("ids"))
-    ordered = running_totals(counts, "dist", {"before": "n"}, descending=True, exclusive=True)
-    flat = ordered.select("dist", "before", F.posexplode("ids").alias("i", "id"))
-    return flat.select("id", "dist", (F.col("before") + F.col("i") + 1).cast("bigint").alias("position")).orderBy("position")
+    return N.descending_curve(d, "id", "dist")
 
 
 @query("knn_vote", f"""WITH {_E}, d AS (SELECT a.vec_id AS id, b.vec_id AS nb, (b.label >= 5)::INT AS y, list_distance(a.v, b.v) AS dist

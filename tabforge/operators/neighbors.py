@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import order_hash
+from tabforge.operators.ordering import bucketed_rank, running_totals
 from tabforge.session import materialize
 
 BLOCK_ROWS = 1024
@@ -120,7 +121,9 @@ def block_pairs(
     l_side = left.withColumn("_lb", lb).withColumn("_rb", F.explode(F.sequence(F.lit(0), _per_cell(nr, cell) - 1)))
     r_side = right.withColumn("_rb", rb).withColumn("_lb", F.explode(F.sequence(F.lit(0), _per_cell(nl, cell) - 1)))
     keys = ["cell", "_lb", "_rb"]
-    return l_side.groupBy(*keys).cogroup(r_side.groupBy(*keys)).applyInPandas(fn, schema)
+    # Both sides may stem from one table: fresh names give the right keys identities of their own.
+    r_side = r_side.withColumnsRenamed({k: f"{k}_r" for k in keys})
+    return l_side.groupBy(*keys).cogroup(r_side.groupBy(*[f"{k}_r" for k in keys])).applyInPandas(fn, schema)
 
 
 # --- k nearest neighbours ---------------------------------------------------------------------------
@@ -195,6 +198,19 @@ def kth_distance(points: DataFrame, id_col: str, vec: str, k: int = 5, **kw) ->
     return knn_join(points, points, id_col, id_col, vec, k, **kw).filter(F.col("rank") == k).select("id", "dist")
 
 
+def descending_curve(df: DataFrame, id_col: str, value: str) -> DataFrame:
+    """(id, value, position): rows from the largest value down; equal values in hash order of the id.
+
+    A running count over distinct values gives the first position of each value; rows of one value are
+    ranked in buckets, so a value shared by a third of the rows is no single task.
+    """
+    df = materialize(df.select(id_col, value), "curve")
+    counts = df.groupBy(value).agg(F.count("*").alias("n"))
+    before = running_totals(counts, value, {"before": "n"}, descending=True, exclusive=True).select(value, "before")
+    ranked = bucketed_rank(df, id_col, [value], "_r")
+    return ranked.join(before, value).select(id_col, value, (F.col("before") + F.col("_r")).cast("bigint").alias("position")).orderBy("position")
+
+
 def knn_vote(
     train: DataFrame, test: DataFrame, id_col: str, vec: str, y: str, k: int, **kw
 ) -> DataFrame:
@@ -213,8 +229,6 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], y: str, k: int =
     its (hash(id, j) mod k)-th nearest minority neighbour by a fraction in [0, 1) that is arithmetic too,
     so a rerun, or another engine, draws the same rows.
     """
-    from tabforge.operators.ordering import bucketed_rank
-
     counts = {r[y]: r["count"] for r in df.groupBy(y).count().collect()}  # two classes
     if len(counts) < 2:
         return df.select(F.col(id_col).alias("id"), *features, y, F.lit(1).alias("synthetic")).limit(0)
