@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors", "cluster_scores"]
+THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors", "cluster_scores", "clustering"]
 
 
 def load_catalog():
