@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors", "cluster_scores", "clustering"]
+THEMES = ["prepare", "profile", "rules", "evaluate", "neighbors", "cluster_scores", "clustering", "models"]
 
 
 def load_catalog():

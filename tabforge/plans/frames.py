@@ -178,3 +178,17 @@ def visit_flags(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     wide = encoding.apply_above(hot, cuts).withColumn("early", encoding.equals_flag(F.col("readmitted"), "<30"))
     flags = [c for c in wide.columns if c.startswith(("status_", "segment_", "priority_")) or c.endswith("_high")] + ["early"]
     return wide.select("visit_id", *[F.col(f"`{c}`") for c in flags]), flags
+
+
+def visit_features(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Encoded visits for predicting n_lines: one-hot groups, the label, and counts; leaky columns left out."""
+    from tabforge.operators import encoding
+
+    df = visits(spark, sf).withColumn("early", encoding.equals_flag(F.col("readmitted"), "<30"))
+    hot = encoding.apply_one_hot(df.select("visit_id", "n_lines", "n_returned", "early", "status", "segment", "priority"), {
+        "status": ["F", "O", "P"],
+        "segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+        "priority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    })
+    hot = hot.withColumnsRenamed({"priority_4-NOT SPECIFIED": "priority_4-NONE"})
+    return hot, [c for c in hot.columns if c not in ("visit_id", "n_lines")]
