@@ -43,9 +43,21 @@ def forest_rank(spark, sf):
 
 @query("classifier_cv")
 def classifier_cv(spark, sf):
-    """Experiments on oversampled folds."""
+    """Experiments on oversampled folds."""
     return X.classification_summary(*_classify(
-        spark, sf, "nearest_5_all", "nearest_11_top20", "naive_bayes", "tree_depth5", "tree_depth10_leaf20", "calibrated_svm_top20", "perceptron_top30"))
+        spark, sf, "nearest_5_all", "nearest_11_top20", "naive_bayes", "tree_depth5", "tree_depth10_leaf20"))
+
+
+@query("svm_cv")
+def svm_cv(spark, sf):
+    """Every fold fits three machines and three calibration curves."""
+    return X.classification_summary(*_classify(spark, sf, "calibrated_svm_top20"))
+
+
+@query("perceptron_cv")
+def perceptron_cv(spark, sf):
+    """M19."""
+    return X.classification_summary(*_classify(spark, sf, "perceptron_top30"))
 
 
 @query("forest_cv")
@@ -70,7 +82,7 @@ def classifier_test(spark, sf):
 @query("roc_compare")
 def roc_compare(spark, sf):
     """V8: curves of several models on one split."""
-    chosen = [e for e in X.CLASSIFIERS if e.name in ("forest_100_balanced", "tree_depth10_leaf20", "calibrated_svm_top20", "perceptron_top30")]
+    chosen = [e for e in X.CLASSIFIERS if e.name in ("boosted_100", "forest_100_balanced", "tree_depth10_leaf20", "calibrated_svm_top20", "perceptron_top30")]
     scored = X.holdout_predictions(_documents(spark, sf), "doc_id", "toxic", DOCUMENT_COLUMNS, chosen, classify=True)
     return V.roc_points(scored, "y", "score", ["experiment"]).join(V.roc_auc(scored, "y", "score", ["experiment"]), "experiment")
 

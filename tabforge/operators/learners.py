@@ -73,7 +73,7 @@ def _calibrated_svm(train, test, features, p):
     margin = F.array(vector_to_array("rawPrediction")[1])
     out = test_vec
     for i in range(p.get("folds", 3)):
-        svm = C.LinearSVC(regParam=1.0 / (p["c"] * n), maxIter=p.get("iterations", 100), featuresCol="features", labelCol="y",
+        svm = C.LinearSVC(regParam=1.0 / (p["c"] * n), maxIter=p.get("iterations", 100), tol=1e-4, standardization=False, featuresCol="features", labelCol="y",
                           rawPredictionCol="rawPrediction", predictionCol="_p").fit(parts.filter(F.col("_part") != i))
         held = svm.transform(parts.filter(F.col("_part") == i)).withColumn("m", vector_to_array("rawPrediction")[1])
         sigmoid = C.LogisticRegression(featuresCol="mv", labelCol="y", probabilityCol="pv", rawPredictionCol="rv", predictionCol="_q").fit(assemble(held, ["m"], "mv"))
