@@ -11,6 +11,7 @@ from tabforge.operators import evaluation as V
 from tabforge.operators import folds, ranking
 from tabforge.plans import frames
 from tabforge.plans.frames import DOCUMENT_COLUMNS
+from tabforge.session import materialize
 from tabforge.sources.tables import load_table
 
 
@@ -271,7 +272,7 @@ _RANKED = f"""f AS ({' UNION ALL '.join(_anova_sql(c) for c in DOCUMENT_COLUMNS)
 @query("rank_table", f"WITH {DOCUMENTS}, {_RANKED} SELECT feature, f_score, mutual_info FROM f JOIN m USING (feature)")
 def rank_table(spark, sf):
     """M6 J3 T4."""
-    df = frames.document_features(spark, sf)
+    df = materialize(frames.document_features(spark, sf), "documents")
     return _round(ranking.rank_table([ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), ranking.mutual_information(df, DOCUMENT_COLUMNS, "toxic")], "f_score"),
                   "f_score", "mutual_info")
 
@@ -280,7 +281,7 @@ def rank_table(spark, sf):
 SELECT method, feature, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY method ORDER BY score DESC NULLS LAST, feature) AS rank FROM u) WHERE rank <= 5""")
 def top_features(spark, sf):
     """T6 U1."""
-    df = frames.document_features(spark, sf)
+    df = materialize(frames.document_features(spark, sf), "documents")
     f = _round(ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), "f_score")
     m = _round(ranking.mutual_information(df, DOCUMENT_COLUMNS, "toxic"), "mutual_info")
     return ranking.top_features(f, "anova", "f_score", 5).unionByName(ranking.top_features(m, "mutual_info", "mutual_info", 5))

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pandas as pd
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import order_hash
 from tabforge.operators.cluster_scores import SAMPLE_ROWS, score_clusterings
 from tabforge.operators.encoding import apply_standard, fit_standard
-from tabforge.operators.neighbors import knn_graph
+from tabforge.operators.neighbors import Cells, knn_graph, square_distances, stack
 from tabforge.session import materialize
 
 MAX_MICRO_CLUSTERS = 1000
@@ -56,36 +56,99 @@ def pca_project(df: DataFrame, id_col: str, features: Sequence[str], k: int | No
 
 # --- k-means ----------------------------------------------------------------------------------------
 
-def kmeans_models(data: DataFrame, ks: Iterable[int], n_init: int = 10, seed: int = 42, max_iter: int = 100, parallelism: int = 4) -> dict[int, KMeansModel]:
-    """Per k the model with the lowest training cost of ``n_init`` seeded starts.
-
-    MLlib has no restarts, so they are separate fits; a few run at once, as in cross validation, because
-    one fit of a small k does not fill a cluster. The input is cached for all of them.
+INIT_ROWS = 5000
+
+
+def _spread_start(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ start: each next centre is drawn in proportion to the squared distance from those chosen."""
+    chosen = [sample[rng.integers(len(sample))]]
+    d2 = ((sample - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        weights = d2 / d2.sum() if d2.sum() > 0 else None
+        chosen.append(sample[rng.choice(len(sample), p=weights)])
+        d2 = np.minimum(d2, ((sample - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _partial_sums(centers: list[np.ndarray]):
+    """Per partition and run: size, vector sum and cost of every cluster. One output row per (run, cluster)."""
+    bounds = np.cumsum([0] + [len(c) for c in centers])
+    flat = np.concatenate(centers)
+    norms = (flat ** 2).sum(axis=1)
+
+    def fn(batches):
+        n, sums, cost = np.zeros(len(flat)), np.zeros_like(flat), np.zeros(len(flat))
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = stack(pdf["vec"])
+            gaps = norms[None, :] - 2 * (x @ flat.T)  # squared distance less the row's own norm
+            own = (x ** 2).sum(axis=1)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                near = gaps[:, lo:hi].argmin(axis=1)
+                hot = np.zeros((len(x), hi - lo))
+                hot[np.arange(len(x)), near] = 1.0
+                n[lo:hi] += hot.sum(axis=0)
+                sums[lo:hi] += hot.T @ x
+                cost[lo:hi] += hot.T @ np.maximum(own + gaps[np.arange(len(x)), lo + near], 0.0)
+        run = np.repeat(np.arange(len(centers)), np.diff(bounds))
+        yield pd.DataFrame({"run": run.astype("int32"), "cluster": (np.arange(len(flat)) - bounds[run]).astype("int32"),
+                            "n": n, "sums": list(sums), "cost": cost})
+    return fn
+
+
+def kmeans_fits(data: DataFrame, dim: int, ks: Sequence[int], n_init: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> dict[int, np.ndarray]:
+    """Per k the centres with the lowest cost of ``n_init`` starts. ``data`` is a stored table with ``vec``.
+
+    All fits of the sweep advance together: one pass over the rows per iteration serves every k and every
+    start, instead of one pass per fit and iteration. A pass returns (clusters x dim) sums per
+    partition, which are added up before they reach the driver: their number does not depend on the rows.
+    Starts are drawn from the first INIT_ROWS rows in hash order; the iterations use all rows.
     """
-    data = data.persist()
-    try:
-        def fit(job):
-            k, i = job
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol=f"k{k}").fit(data)
-            return k, model.summary.trainingCost, i, model
-        with ThreadPoolExecutor(parallelism) as pool:
-            fits = list(pool.map(fit, [(k, i) for k in ks for i in range(n_init)]))
-    finally:
-        data.unpersist()
-    best: dict[int, tuple] = {}
-    for k, cost, i, model in fits:
-        if k not in best or (cost, i) < best[k][:2]:
-            best[k] = (cost, i, model)
-    return {k: b[2] for k, b in best.items()}
+    jobs = [(k, i) for k in ks for i in range(n_init)]
+    sample = np.array([r[0] for r in data.orderBy(order_hash("id"), "id").limit(INIT_ROWS).select("vec").collect()], dtype=float)
+    limit = tol * float(sample.var(axis=0).mean())
+    centers = {j: _spread_start(sample, j[0], np.random.default_rng(seed + j[1])) for j in jobs}
+    cost: dict[tuple[int, int], float] = {}
+    moving, closing = list(jobs), False
+    for step in range(max_iter + 1):
+        # The last pass prices the final centres of every fit.
+        closing = not moving or step == max_iter
+        active = jobs if closing else moving
+        parts = data.select("vec").mapInPandas(_partial_sums([centers[j] for j in active]), "run int, cluster int, n double, sums array<double>, cost double")
+        rows = parts.groupBy("run", "cluster").agg(
+            F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[d]) for d in range(dim)]).alias("sums"), F.sum("cost").alias("cost")).collect()
+        if closing:
+            for r in rows:
+                cost[active[r["run"]]] = cost.get(active[r["run"]], 0.0) + r["cost"]
+            break
+        moved = {j: centers[j].copy() for j in active}
+        for r in rows:
+            if r["n"] > 0:  # an empty cluster keeps its centre
+                moved[active[r["run"]]][r["cluster"]] = np.array(r["sums"]) / r["n"]
+        moving = [j for j in active if ((moved[j] - centers[j]) ** 2).sum() > limit]
+        centers.update(moved)
+    best = {k: min((cost[j], j[1]) for j in jobs if j[0] == k)[1] for k in ks}
+    return {k: centers[(k, best[k])] for k in ks}
 
 
 def kmeans_labels(df: DataFrame, id_col: str, features: Sequence[str], ks: Iterable[int], n_init: int = 10, seed: int = 42) -> DataFrame:
     """The standardised rows with one label column ``k<k>`` per k."""
-    data = materialize(assemble(standardized(df, features), features), "kmeans")
-    out = data
-    for k, model in kmeans_models(data, ks, n_init, seed).items():
-        out = model.transform(out)
-    return out.drop("features")
+    ks = list(ks)
+    rows = standardized(df, features)
+    data = materialize(rows.select(F.col(id_col).cast("long").alias("id"), *rows.columns, F.array(*features).alias("vec"))
+                       if "id" not in rows.columns else rows.withColumn("vec", F.array(*features)), "kmeans")
+    fits = kmeans_fits(data, len(features), ks, n_init, seed)
+
+    @F.pandas_udf("array<int>")
+    def nearest(v: pd.Series) -> pd.Series:
+        x = stack(v)
+        if not len(x):
+            return pd.Series([], dtype=object)
+        return pd.Series(list(np.stack([square_distances(x, fits[k]).argmin(axis=1) for k in ks], axis=1).astype("int32")))
+
+    labelled = data.withColumn("_l", nearest("vec"))
+    return labelled.select(*rows.columns, *[F.col("_l")[i].alias(f"k{k}") for i, k in enumerate(ks)])
 
 
 def kmeans_sweep(df: DataFrame, id_col: str, features: Sequence[str], ks: Sequence[int] = range(2, 12), n_init: int = 10,
@@ -106,9 +169,10 @@ def best_k(table: DataFrame) -> int:
 
 def micro_clusters(df: DataFrame, id_col: str, features: Sequence[str], m: int, seed: int = 42) -> DataFrame:
     """(id, features..., micro): rows assigned to at most ``m`` small k-means clusters."""
-    data = materialize(assemble(df, features), "micro")
-    model = KMeans(k=m, seed=seed, maxIter=20, featuresCol="features", predictionCol="micro").fit(data)
-    return model.transform(data).drop("features")
+    data = materialize(df.withColumns({"id": F.col(id_col).cast("long"), "vec": F.array(*features)}), "micro")
+    centers = kmeans_fits(data, len(features), [m], n_init=1, seed=seed, max_iter=20)[m]
+    label = Cells(centers, [], np.zeros(len(centers))).nearest(F.col("vec"))["cell"]
+    return data.withColumn("micro", label).select(*df.columns, "micro")
 
 
 def merge_order(sizes: np.ndarray, centers: np.ndarray, edges: Iterable[tuple[int, int]], linkage: str) -> list[tuple[int, int, float]]:

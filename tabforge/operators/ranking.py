@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.columns import col
 from tabforge.operators.encoding import apply_standard, fit_standard
 from tabforge.operators.ordering import exact_quantiles
+from tabforge.session import materialize
 
 
 def variance_filter(df: DataFrame, features: Sequence[str], threshold: float = 0.01) -> DataFrame:
@@ -72,6 +73,7 @@ def mutual_information(df: DataFrame, features: Sequence[str], y: str, bins: int
     one pre-aggregated shuffle of (feature, bin, class); the logarithms run on the counts.
     """
     targets = [y] if numeric_target else []
+    df = materialize(df.select(*[col(c) for c in {*features, y}]), "ranked")  # read for the cuts and for the counts
     cuts = bin_cuts(df, [*features, *targets], bins)
     label = bin_of(col(y).cast("double"), cuts[y]) if numeric_target else col(y)
     binned = df.select(label.alias("_y"), *[bin_of(col(c).cast("double"), cuts[c]).alias(c) for c in features])
