@@ -32,6 +32,16 @@ def rounded(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits) + F.lit(0.0)
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both are present; null for a constant column.
+
+    The built-in ``corr`` raises a division by zero on a constant column in ANSI mode.
+    """
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns, F.lit(0))
 

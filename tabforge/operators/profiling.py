@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.functions.columns import col, is_true, share
+from tabforge.functions.columns import col, correlation, is_true, share
 from tabforge.operators.ordering import exact_quantiles
 
 
@@ -184,7 +184,7 @@ def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, corr) for every ordered pair, from one aggregate over the upper triangle."""
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[correlation(col(a), col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), col(str(i)).alias("corr")) for i, (a, b) in enumerate(pairs)]
     rows += [F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), col(str(i)).alias("corr")) for i, (a, b) in enumerate(pairs)]
     rows += [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("corr")) for c in columns]
@@ -194,7 +194,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_with(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(column, corr) of every column with the target."""
     others = [c for c in columns if c != target]
-    wide = df.agg(*[F.corr(col(c).cast("double"), col(target).cast("double")).alias(c) for c in others])
+    wide = df.agg(*[correlation(col(c), col(target)).alias(c) for c in others])
     return wide.unpivot([], [col(c) for c in others], "column", "corr")
 
 

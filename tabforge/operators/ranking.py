@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.functions.columns import col
+from tabforge.functions.columns import col, correlation
 from tabforge.operators.encoding import apply_standard, fit_standard
 from tabforge.operators.ordering import exact_quantiles
 from tabforge.session import materialize
@@ -44,7 +44,7 @@ def anova_f(df: DataFrame, features: Sequence[str], y: str) -> DataFrame:
 
 def regression_f(df: DataFrame, features: Sequence[str], y: str) -> DataFrame:
     """(feature, f_score) = r^2 / (1 - r^2) * (n - 2); null for a constant feature."""
-    wide = df.agg(*[F.struct(F.corr(col(c).cast("double"), col(y).cast("double")).alias("r"), F.count("*").alias("n")).alias(c) for c in features])
+    wide = df.agg(*[F.struct(correlation(col(c), col(y)).alias("r"), F.count("*").alias("n")).alias(c) for c in features])
     long = wide.unpivot([], [col(c) for c in features], "feature", "s").select("feature", "s.*")
     r2 = F.col("r") * F.col("r")
     return long.select("feature", F.try_divide(r2 * (F.col("n") - 2), 1 - r2).alias("f_score"))
