@@ -72,3 +72,26 @@ ADMISSION_SOURCES = {
     20: "Unknown", 21: "Readmission", 22: "Physician_Ext", 23: "Transfer_Outpatient", 24: "Transfer_SNF_24",
     25: "Transfer_Rehab",
 }
+
+# Integer columns of the raw table; every other column is text. Order of the raw file.
+RAW_INTEGER_COLUMNS = [*ID_COLUMNS, "admission_type_id", "discharge_disposition_id", "admission_source_id", *NUMERIC_COLUMNS]
+RAW_COLUMNS = [
+    "encounter_id", "patient_nbr", "race", "gender", "age", "weight", "admission_type_id", "discharge_disposition_id",
+    "admission_source_id", "time_in_hospital", "payer_code", "medical_specialty", "num_lab_procedures", "num_procedures",
+    "num_medications", "number_outpatient", "number_emergency", "number_inpatient", "diag_1", "diag_2", "diag_3",
+    "number_diagnoses", "max_glu_serum", "A1Cresult", "metformin", "repaglinide", "nateglinide", "chlorpropamide",
+    "glimepiride", "acetohexamide", "glipizide", "glyburide", "tolbutamide", "pioglitazone", "rosiglitazone", "acarbose",
+    "miglitol", "troglitazone", "tolazamide", "examide", "citoglipton", "insulin", "glyburide-metformin",
+    "glipizide-metformin", "glimepiride-pioglitazone", "metformin-rosiglitazone", "metformin-pioglitazone", "change",
+    "diabetesMed", "readmitted",
+]
+
+# Columns of the categorical report, of the clustering and of the cluster profiles.
+CATEGORICAL_COLUMNS = [
+    "race", "gender", "age", "payer_code", "medical_specialty", "max_glu_serum", "A1Cresult", "change", "diabetesMed",
+    "admission_type_id", "discharge_disposition_id", "admission_source_id",
+]
+CLUSTER_COLUMNS = [
+    *NUMERIC_COLUMNS, "age_num", "n_active_meds", "total_visits", "change", "diabetesMed", "procedures_per_day", "meds_per_day",
+]
+PROFILE_COLUMNS = [*NUMERIC_COLUMNS, "age_num", "n_active_meds", "early_readmit"]
