@@ -17,7 +17,7 @@ def visits(spark: SparkSession, sf: str) -> DataFrame:
     """
     orders = load_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     nexts = next_in_key(
-        orders, "o_custkey", F.year("o_orderdate"), ["o_orderdate", "o_orderkey"], "o_orderdate", "next_date"
+        orders, "o_custkey", F.to_date("o_orderdate"), ["o_orderdate", "o_orderkey"], "o_orderdate", "next_date"
     )
     lines = load_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
     per_order = lines.groupBy("l_orderkey").agg(
