@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.columns import order_hash
 from tabforge.operators.cluster_scores import SAMPLE_ROWS, score_clusterings
 from tabforge.operators.encoding import apply_standard, fit_standard
-from tabforge.operators.neighbors import Cells, knn_graph, square_distances, stack
+from tabforge.operators.neighbors import knn_graph, square_distances, stack
 from tabforge.session import materialize
 
 MAX_MICRO_CLUSTERS = 1000
@@ -169,10 +170,9 @@ def best_k(table: DataFrame) -> int:
 
 def micro_clusters(df: DataFrame, id_col: str, features: Sequence[str], m: int, seed: int = 42) -> DataFrame:
     """(id, features..., micro): rows assigned to at most ``m`` small k-means clusters."""
-    data = materialize(df.withColumns({"id": F.col(id_col).cast("long"), "vec": F.array(*features)}), "micro")
-    centers = kmeans_fits(data, len(features), [m], n_init=1, seed=seed, max_iter=20)[m]
-    label = Cells(centers, [], np.zeros(len(centers))).nearest(F.col("vec"))["cell"]
-    return data.withColumn("micro", label).select(*df.columns, "micro")
+    data = materialize(assemble(df, features), "micro")
+    model = KMeans(k=m, seed=seed, maxIter=20, featuresCol="features", predictionCol="micro").fit(data)
+    return model.transform(data).drop("features")
 
 
 def merge_order(sizes: np.ndarray, centers: np.ndarray, edges: Iterable[tuple[int, int]], linkage: str) -> list[tuple[int, int, float]]:
