@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession, root: str) -> None:
+    """Send this package to the workers, once per application: tasks import it by name."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    folder = os.path.join(root, "tabforge")
+    archive = os.path.join(tempfile.mkdtemp(prefix="tabforge-ship-"), "tabforge-code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for top, _, names in os.walk(folder):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(top, name)
+                    out.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Single-JVM session for tests and the benchmark; on a cluster spark-submit supplies all of this."""
     spark = (
@@ -32,17 +54,12 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own; on a cluster an executor could not
-    read a machine-local path, so a missing setting is an error there.
+    Where it is unset, a folder under ``spark.sql.warehouse.dir``, which a cluster shares as well.
     """
     path = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can read")
-    path = tempfile.mkdtemp(prefix="tabforge-")
-    spark.conf.set(CHECKPOINT_KEY, path)
-    return path
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tabforge-scratch"
 
 
 def scratch_path(spark: SparkSession, stem: str) -> str:
