@@ -37,7 +37,7 @@ def id_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.cast(pa.int64()).fill_null(0), dtype=np.int64), valid
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Row slices of at most ``most`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         _, offsets = byte_column(batch.column(batch.schema.get_field_index(text)))
@@ -94,6 +94,23 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return z
 
 
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i for i up to n; kept up to a few MB per worker process."""
+    up, down = _powers.get(base, (None, None))
+    if up is None or len(up) <= n:
+        size = max(n + 1, 1 << 16)
+        up, down = np.full(size, base, U64), np.full(size, pow(base, -1, 1 << 64), U64)
+        up[0] = down[0] = 1
+        np.multiply.accumulate(up, out=up)
+        np.multiply.accumulate(down, out=down)
+        if size <= 8 << 20:
+            _powers[base] = (up, down)
+    return up, down
+
+
 class Rolling:
     """Polynomial hashes modulo 2**64 of any span of a symbol sequence, from one prefix sum.
 
@@ -103,13 +120,7 @@ class Rolling:
 
     def __init__(self, symbols: np.ndarray, base: int = BASES[0]):
         n = len(symbols)
-        self.up = np.empty(n + 1, U64)
-        self.up[0] = 1
-        self.up[1:] = base
-        down = np.full(n + 1, pow(base, -1, 1 << 64), U64)
-        down[0] = 1
-        np.multiply.accumulate(self.up, out=self.up)
-        np.multiply.accumulate(down, out=down)
+        self.up, down = _powers_of(base, n)
         self.sums = np.zeros(n + 1, U64)
         np.cumsum((symbols.astype(U64) + U64(1)) * down[:n], out=self.sums[1:])
 

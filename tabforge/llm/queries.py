@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe
+from tabforge.llm import byte_bpe, decontaminate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +35,13 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf, "documents"), path, pattern), path, pattern)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of every document that benchmark windows of ten words cover, and the items they come from."""
+    found = decontaminate.find_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    items = F.array_sort(F.transform("matches", lambda m: m["item_id"]))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("matches").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
