@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate
+from tabforge.llm import byte_bpe, decontaminate, token_records
+from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +46,14 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("matches").cast("long").alias("n_items"),
                         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@query("op3_token_records")
+def op3_token_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document, written to record files in order of the id and read back."""
+    path = scratch_path(spark, "token-records")
+    token_records.write_records(table(spark, sf, "documents"), f"{path}/records", public_tokenizers.path("word_bpe_49k.json"))
+    token_records.write_index(spark, f"{path}/records", f"{path}/index")
+    records = token_records.read_records(spark, f"{path}/records").select("shard", "row", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    found = token_records.with_starts(records, spark.read.parquet(f"{path}/index"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
