@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, token_records
+from tabforge.llm import byte_bpe, decontaminate, quality, token_records
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,17 @@ def op3_token_records(spark: SparkSession, sf: str) -> DataFrame:
     records = token_records.read_records(spark, f"{path}/records").select("shard", "row", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     found = token_records.with_starts(records, spark.read.parquet(f"{path}/index"))
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def remainder(column: str, modulus: int):
+    """crc32 of an id's text, modulo; null for a null id."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of every document by a rule ensemble learned from four fifths of the labels."""
+    docs = table(spark, sf, "documents")
+    model = quality.learn(docs, table(spark, sf, "labels"), held_out=remainder("_id", 5) == 0)
+    scored = quality.score_documents(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
