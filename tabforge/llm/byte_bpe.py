@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tabforge.llm.arrays import byte_column, ranges, text_slices
 
 NONE = np.int64(1) << np.int64(62)
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 #: First bytes of the code points above ASCII that can be white space.
 WIDE_SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 
@@ -59,7 +59,7 @@ class Codec:
         self.size = size
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.cache: dict[bytes, bytes] = {}
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left * self.size + right
@@ -73,7 +73,7 @@ class Codec:
         classes = np.ceil(np.log2(np.maximum(lengths, 2))).astype(np.int64)
         for c in np.unique(classes):
             rows = np.flatnonzero(classes == c)
-            step = max(1, (1 << 20) >> int(c))
+            step = max(1, (1 << 18) >> int(c))
             for at in range(0, len(rows), step):
                 part = rows[at : at + step]
                 for row, ids in zip(part.tolist(), self._merge_class([pieces[r] for r in part], 1 << int(c))):
@@ -131,9 +131,9 @@ class Codec:
         values, counts = ids[:, :width][kept], kept.sum(axis=1)
         return np.split(values, np.cumsum(counts)[:-1])
 
-    def encode_pieces(self, chunks: list[bytes]) -> list[np.ndarray]:
-        """Ids of chunks of text, each cut by the pattern; a match that is a token is that token."""
-        out: list[np.ndarray | None] = [self.cache.get(c) for c in chunks]
+    def encode_pieces(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids (unsigned 32-bit) of chunks of text, each cut by the pattern; a match that is a token is that token."""
+        out: list[bytes | None] = [self.cache.get(c) for c in chunks]
         todo = [i for i, ids in enumerate(out) if ids is None]
         parts, wanted = [], {}
         for i in todo:
@@ -145,7 +145,7 @@ class Codec:
         merged = self.merge(list(wanted)) if wanted else []
         for i, matches in zip(todo, parts):
             found = [merged[wanted[m]] if m in wanted else np.array([self.ranks[m]], np.int64) for m in matches]
-            ids = (np.concatenate(found) if len(found) > 1 else found[0] if found else np.zeros(0, np.int64)).astype("<u4")
+            ids = (np.concatenate(found) if len(found) > 1 else found[0] if found else np.zeros(0, np.int64)).astype("<u4").tobytes()
             out[i] = ids
             if len(self.cache) < CACHED_PIECES:
                 self.cache[chunks[i]] = ids
@@ -160,17 +160,15 @@ class Codec:
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(offsets) - 1, np.int64)
         starts = chunk_starts(data, offsets)
-        ends = np.append(starts[1:], len(data))
         chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
         codes = chunks.dictionary_encode()
         encoded = self.encode_pieces(codes.dictionary.to_pylist())
-        sizes = np.array([len(e) for e in encoded], np.int64)
-        flat, firsts = np.concatenate(encoded), np.cumsum(sizes) - sizes
+        sizes = np.array([len(e) for e in encoded], np.int64) // 4
+        flat, firsts = np.frombuffer(b"".join(encoded), "<u4"), np.cumsum(sizes) - sizes
         index = np.asarray(codes.indices)
         counts = sizes[index]
         ids = flat[ranges(firsts[index], counts)]
         total = np.concatenate([[0], np.cumsum(counts)])
-        assert len(ends) == len(counts)
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
