@@ -23,7 +23,7 @@ from tabforge.llm.arrays import byte_column, id_column, ranges, text_slices
 
 #: Bytes of frames after which a new file begins.
 SHARD_BYTES = 8 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 #: Added to a rotated checksum, as record files do, so that a checksum of checksums isn't zero (fixed value).
@@ -111,16 +111,17 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.cache: dict[bytes, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
-    def pieces(self, values: list[bytes]) -> list[np.ndarray]:
+    def pieces(self, values: list[bytes]) -> list[bytes]:
+        """Ids (unsigned 32-bit) of each piece."""
         out = [self.cache.get(v) for v in values]
         todo = [i for i, ids in enumerate(out) if ids is None]
         for at in range(0, len(todo), 20_000):
             part = todo[at : at + 20_000]
             for i, found in zip(part, self.tokenizer.encode_batch_fast([values[j].decode() for j in part], add_special_tokens=False)):
-                out[i] = np.array(found.ids, np.uint32)
+                out[i] = np.array(found.ids, np.uint32).tobytes()
                 if len(self.cache) < CACHED_PIECES:
                     self.cache[values[i]] = out[i]
         return out
@@ -135,9 +136,9 @@ class PieceEncoder:
         bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
         codes = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(joined)]).dictionary_encode()
         found = self.pieces(codes.dictionary.to_pylist())
-        sizes = np.array([len(f) for f in found], np.int64)
+        sizes = np.array([len(f) for f in found], np.int64) // 4
         index = np.asarray(codes.indices)
-        ids = np.concatenate(found)[ranges((np.cumsum(sizes) - sizes)[index], sizes[index])]
+        ids = np.frombuffer(b"".join(found), np.uint32)[ranges((np.cumsum(sizes) - sizes)[index], sizes[index])]
         total = np.concatenate([[0], np.cumsum(sizes[index])])
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
