@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, quality, token_records
+from tabforge.llm import byte_bpe, decontaminate, main_text, quality, token_records
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,9 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
     model = quality.learn(docs, table(spark, sf, "labels"), held_out=remainder("_id", 5) == 0)
     scored = quality.score_documents(docs, model, keep=["doc_id"])
     return scored.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op7_main_text")
+def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page, its site's template and marked furniture removed."""
+    return main_text.extract(table(spark, sf, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
