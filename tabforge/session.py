@@ -48,6 +48,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     return spark
 
 
