@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, main_text, quality, token_records
+from tabforge.llm import byte_bpe, decontaminate, main_text, quality, suffix_dedup, token_records
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,10 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page, its site's template and marked furniture removed."""
     return main_text.extract(table(spark, sf, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings that start in an earlier one."""
+    kept = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
