@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, main_text, quality, suffix_dedup, token_records
+from tabforge.llm import byte_bpe, decontaminate, main_text, quality, suffix_dedup, token_records, window_dedup
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,10 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 50-byte strings that start in an earlier one."""
     kept = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_window_dedup")
+def op6_window_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the 50-word windows that start in an earlier one."""
+    kept = window_dedup.remove_repeats(table(spark, sf, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
