@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, main_text, quality, suffix_dedup, token_records, window_dedup
+from tabforge.llm import byte_bpe, decontaminate, main_text, neighbours, quality, suffix_dedup, token_records, window_dedup
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,9 @@ def op6_window_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 50-word windows that start in an earlier one."""
     kept = window_dedup.remove_repeats(table(spark, sf, "documents"))
     return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    return neighbours.search(table(spark, sf, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
