@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, main_text, neighbours, quality, suffix_dedup, token_records, window_dedup
+from tabforge.llm import byte_bpe, decontaminate, main_text, near_dedup, neighbours, quality, suffix_dedup, token_records, window_dedup
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,10 @@ def op6_window_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """The 20 nearest of every twentieth vector among all others."""
     return neighbours.search(table(spark, sf, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
+
+
+@query("op9_near_dedup")
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Component of every document under 75 % similarity of five-word shingles."""
+    found = near_dedup.near_duplicates(table(spark, sf, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
