@@ -13,27 +13,28 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.llm.arrays import byte_column
 
 #: Bytes of text in a block, on average; a longer text is a block's alone or shares it.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 #: Stands for a null id: after all others. Equal ids are one document.
 NO_ID = (1 << 63) - 1
 
 PACKED = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("block", T.LongType()), T.StructField("payload", T.BinaryType())])
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(block, id, text) of every row, dealt out by block, and the number of blocks, which grows with the text."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def dealt(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, total: int | None = None, more: tuple[Column, ...] = ()) -> tuple[DataFrame, int]:
+    """(block, id, text, more) of every row, dealt out by block, and the number of blocks, which grows with the ``total`` bytes of text."""
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"), *more)
+    if total is None:
+        total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("id"), F.lit(n))
-    return rows.select(block.alias("block"), "id", "text").repartition(n, "block"), n
+    return rows.select(block.alias("block"), *rows.columns).repartition(n, "block"), n
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -74,6 +75,7 @@ class Block:
         table = table.take(pa.array(order))
         self.ids = ids[order]
         self.data, self.offsets = byte_column(table.column("text"))
+        self.table = table.drop_columns(["text"])
         self.number = int(table.column("block")[0].as_py()) if table.num_rows else -1
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, main_text, near_dedup, neighbours, quality, suffix_dedup, token_records, window_dedup
+from tabforge.llm import byte_bpe, decontaminate, main_text, near_dedup, neighbours, quality, suffix_dedup, suffix_tree_lm, token_records, window_dedup
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,10 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Component of every document under 75 % similarity of five-word shingles."""
     found = near_dedup.near_duplicates(table(spark, sf, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op10_suffix_tree_lm")
+def op10_suffix_tree_lm(spark: SparkSession, sf: str) -> DataFrame:
+    """Unigram and suffix-tree log10 probability of every document, learned from nine tenths of them."""
+    scored = suffix_tree_lm.score_documents(table(spark, sf, "documents"), remainder("doc_id", 10) == 0)
+    return scored.withColumnRenamed("id", "doc_id").withColumn("held_out", F.coalesce("held_out", F.lit(False)))
