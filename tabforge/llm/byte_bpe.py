@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.llm.arrays import byte_column, ranges, text_slices
@@ -199,8 +200,8 @@ def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return out.cast(pa.binary()) if kind == pa.large_binary() else out
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids, n_tokens) per row: ids are the token ids as little-endian unsigned 32-bit integers.
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns (default: the id), ids and n_tokens of every row: ids are the token ids as little-endian unsigned 32-bit integers.
 
     A null text is an empty one and gives no ids. Row order, repeated rows, null ids and other columns
     don't matter: each row is encoded by itself, so nothing is shuffled. ``ranks_path`` is read by the
@@ -208,15 +209,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
     with open(ranks_path, "rb") as f:
         vocabulary = f.read()
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
+    own = keep or [id_col]
+    schema = T.StructType([*[docs.schema[c] for c in own], T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(vocabulary, pattern)
-        for part in text_slices(batches, text_col):
-            ids, counts = codec.encode_texts(*byte_column(part.column(1)))
-            yield pa.RecordBatch.from_arrays([part.column(0), _binary(ids, counts), pa.array(counts)], names=[id_col, "ids", "n_tokens"])
+        for part in text_slices(batches, "_text"):
+            ids, counts = codec.encode_texts(*byte_column(part.column(len(own))))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], _binary(ids, counts), pa.array(counts)], names=[*own, "ids", "n_tokens"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(*own, F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:

@@ -267,7 +267,18 @@ RESULT = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_bytes
                        T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
 
-def _finish(n_buckets: int, length: int):
+def _whole_characters(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
+    """``removed`` widened to every byte of a UTF-8 character that loses one."""
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(first):
+        return removed
+    broken = np.logical_or.reduceat(removed, first)
+    out = removed.copy()
+    out[first[0] :] = np.repeat(broken, np.diff(np.append(first, len(data))))
+    return out
+
+
+def _finish(n_buckets: int, length: int, whole: bool):
     def run(block: Block, replies: pa.Table) -> pa.Table:
         parse = Parse(block, length)
         second = np.asarray(replies.column("bucket")) >= n_buckets
@@ -277,6 +288,8 @@ def _finish(n_buckets: int, length: int):
         at = np.flatnonzero(marked)
         step = np.bincount(at, minlength=len(marked) + length) - np.bincount(at + length, minlength=len(marked) + length)
         removed = np.cumsum(step)[: len(block.data)] > 0
+        if whole:
+            removed = _whole_characters(block.data, removed)
         sums = np.concatenate([[0], np.cumsum(removed)])
         edge = np.zeros(len(removed) + 1, bool)
         edge[block.offsets[:-1]] = True
@@ -287,7 +300,8 @@ def _finish(n_buckets: int, length: int):
         raw = kept.tobytes()
         pieces = [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         ids = pa.array(block.ids, mask=block.ids == NO_ID)
-        return pa.table([ids, pa.array(np.diff(block.offsets)), pa.array(np.diff(sums[block.offsets])), pa.array(np.diff(spans[block.offsets])), pa.array(pieces, pa.binary())], names=RESULT.names)
+        return pa.table([ids, pa.array(np.diff(block.offsets)), pa.array(np.diff(sums[block.offsets])), pa.array(np.diff(spans[block.offsets])), pa.array(pieces, pa.binary()), *([block.table.column("row")] if whole else [])],
+                        names=[*RESULT.names, *(["row"] if whole else [])])
 
     return run
 
@@ -300,8 +314,26 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     smaller id; strings are judged on the input. ``kept`` is the rest. Null and empty texts have no bytes. Rows with one id are one document for this purpose, each with its
     own result; a row with a null id comes after all others and never makes another lose bytes.
     """
-    blocked, n = dealt(docs, id_col, text_col, block_bytes)
+    return _removed(docs, length, id_col, text_col, block_bytes, many_phrases, ())
+
+
+def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, many_phrases: int = MANY_PHRASES) -> DataFrame:
+    """``docs``, every row and column, with the texts that ``remove_repeats`` leaves.
+
+    A character that loses a byte goes whole, so texts stay valid; a text that loses all is empty, a null
+    text stays null.
+    """
+    own = F.struct(*[F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    row = F.struct(own.alias("own"), F.col(text_col).isNull().alias("empty")).alias("row")
+    left = _removed(docs, length, id_col, text_col, block_bytes, many_phrases, (row,))
+    text = F.when(~F.col("row.empty"), F.col("kept").cast("string"))
+    return left.select(*[text.alias(c) if c == text_col else F.col("row.own").getField(c).alias(c) for c in docs.columns])
+
+
+def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, block_bytes: int, many_phrases: int, more: tuple) -> DataFrame:
+    blocked, n = dealt(docs, id_col, text_col, block_bytes, more=more)
     first = reduced(each_block(blocked, _send_phrases(n, length), PACKED), n, _judge_phrases(many_phrases))
     second = reduced(with_replies(blocked, first, _send_questions(n, length), PACKED), n, _answer_questions(length))
     replies = first.unionByName(second.withColumn("bucket", F.col("bucket") + n))
-    return with_replies(blocked, replies, _finish(n, length), RESULT)
+    result = T.StructType([*RESULT.fields, *[f for f in blocked.schema if f.name == "row"]])
+    return with_replies(blocked, replies, _finish(n, length, bool(more)), result)

@@ -318,7 +318,7 @@ def _scored(model: Model):
     def run(block: Block, replies: pa.Table) -> pa.Table:
         tokens, known, probability = _walk(block, Answers(replies, model.n_buckets), model, model.depth + 1)
         starts = np.cumsum(tokens.counts) - tokens.counts
-        sums = [np.add.reduceat(x, starts) if len(starts) else np.zeros(0) for x in ((known > 0).astype(np.int64), np.log10(known + 0.1), np.log10(probability))]
+        sums = [np.add.reduceat(x, starts) if len(starts) else x for x in ((known > 0).astype(np.int64), np.log10(known + 0.1), np.log10(probability))]
         ids = pa.array(block.ids, mask=block.ids == NO_ID)
         held = block.table.column("held_out").combine_chunks()
         return pa.table([ids, held, pa.array(tokens.counts), *[pa.array(s) for s in sums]], names=RESULT.names)
