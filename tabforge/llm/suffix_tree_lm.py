@@ -9,7 +9,7 @@ suffix's distribution (Witten-Bell), and each token is scored in the longest sta
 Counts come from the whole corpus: blocks of documents send their distinct words, then the distinct
 (context, word) pairs of candidates, to buckets that add them up, test the contexts and answer with the
 totals. A context too frequent for one bucket is spread over all by its next word, and its sums are added.
-Words are known by 48-bit hashes.
+Words are known by 48-bit hashes, the words after one context by 32 bits.
 """
 
 from __future__ import annotations
@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.llm.arrays import BASES, U64, Rolling, byte_column, cut_words, lowered, mixed, text_slices
-from tabforge.llm.blocks import BLOCK_BYTES, NO_ID, PACKED, Block, dealt, each_block, groups, joined, pack, packed_rows, reduced, replies_by_bucket, smallest, to_buckets, unpack, with_replies
+from tabforge.llm.blocks import BLOCK_BYTES, NO_ID, PACKED, Block, dealt, each_block, joined, pack, reduced, replies_by_bucket, smallest, unpack, with_replies
 from tabforge.llm.window_dedup import WORD_BYTES
 
 END = U64(0x2F0B4C47A5D1)
 #: A candidate's least share of the training tokens; from ``SPREAD_SHARE`` on its pairs are spread over the buckets.
-LEAST_SHARE, SPREAD_SHARE = 2e-5, 1e-4
+LEAST_SHARE, SPREAD_SHARE = 5e-5, 5e-4
 #: Nats per occurrence that a context must gain over its suffix.
 LEAST_GAIN = 0.02
 DEPTH = 2
@@ -71,9 +71,13 @@ def stretched(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 class Distinct:
     """Distinct keys of a block in the order they are sent: by bucket, then by key."""
 
-    def __init__(self, n_buckets: int, bucket: np.ndarray, *keys: np.ndarray):
-        order, number = groups(bucket, *keys)
-        head = np.concatenate([[True], number[1:] != number[:-1]]) if len(order) else np.zeros(0, bool)
+    def __init__(self, n_buckets: int, bucket: np.ndarray, key: np.ndarray):
+        order = np.argsort(key)
+        narrow = bucket[order].astype(np.uint16) if n_buckets < 1 << 16 else bucket[order]
+        order = order[np.argsort(narrow, kind="stable")]  # equal keys have one bucket
+        head = np.ones(len(order), bool)
+        head[1:] = key[order][1:] != key[order][:-1]
+        number = np.cumsum(head) - 1
         self.one, self.n = order[head], int(head.sum())
         self.of = np.empty(len(order), np.int64)
         self.of[order] = number
@@ -127,7 +131,9 @@ class Words:
 def _add_words(payloads: list[list[np.ndarray]]) -> list[bytes | None]:
     """Totals of all words of each payload."""
     key, local = _join48(payloads, 0), np.concatenate([stretched(p[2], p[3]) for p in payloads])
-    order, number = groups(key)
+    order = np.argsort(key)
+    head = _heads(key[order])
+    number = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
     total = np.empty(len(key), np.int64)
     total[order] = np.bincount(number, weights=local[order]).astype(np.int64)[number]
     ends = np.cumsum([len(p[0]) for p in payloads])
@@ -161,16 +167,16 @@ class Level:
         self.tokens, self.model, self.depth = tokens, model, depth
         self.at = np.flatnonzero(there & (context_count >= model.least))
         self.context, self.context_count = context[self.at], context_count[self.at]
-        pair = mixed(self.context ^ (tokens.word[self.at] * U64(0xC2B2AE3D27D4EB4F))) >> U64(16)
+        pair = mixed(self.context ^ (tokens.word[self.at] * U64(0xC2B2AE3D27D4EB4F))) >> U64(32)
+        self.key, self.suffix = _pair_key(self.context, pair), suffix[self.at]
         wide = self.context_count >= model.spread
-        bucket = _bucket(np.where(wide, mixed(pair), self.context), model.n_buckets)
-        self.pair, self.suffix = pair, suffix[self.at]
-        self.distinct = Distinct(model.n_buckets, bucket, self.context, pair)
+        bucket = _bucket(np.where(wide, self.key, self.context), model.n_buckets)
+        self.distinct = Distinct(model.n_buckets, bucket, self.key)
         self.local = self.distinct.counted(tokens.learned[self.at])
 
     def sent(self) -> pa.Table:
         d = self.distinct
-        context, count, pair = self.context[d.one], self.context_count[d.one], self.pair[d.one]
+        context, count, pair = self.context[d.one], self.context_count[d.one], self.key[d.one].astype(np.uint32)
         surprise = np.clip(np.rint(-8 * np.log2(self.suffix[d.one])), 0, 255).astype(np.uint8)
         buckets, payloads = [], []
         for b in np.flatnonzero(np.diff(d.bounds)).tolist():
@@ -178,7 +184,7 @@ class Level:
             head = _heads(context[part])
             sizes = np.diff(np.append(head, part.stop - part.start))
             buckets.append(b)
-            payloads.append(pack(context[part][head], smallest(sizes), smallest(count[part][head]), *_split48(pair[part]), *squeezed(self.local[part]), surprise[part]))
+            payloads.append(pack(context[part][head], smallest(sizes), smallest(count[part][head]), pair[part], *squeezed(self.local[part]), surprise[part]))
         return _rows(self.tokens.block.number, buckets, payloads)
 
     def answered(self, replies: dict[int, list[np.ndarray]], wide: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -186,17 +192,23 @@ class Level:
         d = self.distinct
         total, kinds = self.local.copy(), np.zeros(d.n, np.int64)
         context = self.context[d.one]
-        for b, (states, places, totals) in replies.items():
+        for b, (states, *packed) in replies.items():
+            places, totals = np.cumsum(stretched(*packed[:2])) - 1, stretched(*packed[2:])
             part = slice(d.bounds[b], d.bounds[b + 1])
             head = _heads(context[part])
             kinds[part] = np.repeat(states.astype(np.int64), np.diff(np.append(head, part.stop - part.start)))
-            total[d.bounds[b] + places.astype(np.int64)] = totals
+            total[d.bounds[b] + places] = totals
         if len(wide["context"]):
             found = np.minimum(np.searchsorted(wide["context"], context), len(wide["context"]) - 1)
             kinds = np.where(wide["context"][found] == context, wide["kinds"][found], kinds)
         return total[d.of], kinds[d.of]
 
 
+def _pair_key(context: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """A context's upper 32 bits and the 32-bit hash of a word after it, as one sortable key."""
+    return (context & U64(0xFFFFFFFF00000000)) | pair
+
+
 def _heads(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
@@ -208,14 +220,16 @@ def _add_pairs(model: Model, wide: bool):
         sizes = [p[1].astype(np.int64) for p in payloads]
         context = np.concatenate([np.repeat(p[0], n) for p, n in zip(payloads, sizes)])
         count = np.concatenate([np.repeat(p[2].astype(np.int64), n) for p, n in zip(payloads, sizes)])
-        pair, local = _join48(payloads, 3), np.concatenate([stretched(p[5], p[6]) for p in payloads])
-        order, number = groups(context, pair)
-        head = _heads(number)
+        local = np.concatenate([stretched(p[4], p[5]) for p in payloads])
+        key = _pair_key(context, joined(payloads, 3))
+        order = np.argsort(key)
+        head = _heads(key[order])
+        number = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
         total = np.bincount(number, weights=local[order])
         first = order[head]
-        gain = np.where(total > 0, total * (np.log(np.maximum(total, 1) / count[first]) + joined(payloads, 7)[first] * (np.log(2) / 8)), 0.0)
+        gain = np.where(total > 0, total * (np.log(np.maximum(total, 1) / count[first]) + joined(payloads, 6)[first] * (np.log(2) / 8)), 0.0)
         starts = _heads(context[first])
-        of = np.cumsum(np.isin(np.arange(len(first)), starts)) - 1
+        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(first))))
         kinds = np.bincount(of, weights=total > 0).astype(np.int64)
         gains, counts = np.bincount(of, weights=gain), count[first][starts]
         spread = counts >= model.spread
@@ -233,7 +247,8 @@ def _add_pairs(model: Model, wide: bool):
             end = at + int(n.sum())
             places = np.flatnonzero(useful[at:end])
             states = state_all[at:end][np.cumsum(n) - n]
-            out.append(pack(smallest(states), smallest(places), smallest(total_all[at:end][places])) if len(places) or states.any() else None)
+            gaps = np.diff(places, prepend=-1)
+            out.append(pack(smallest(states), *squeezed(gaps), *squeezed(total_all[at:end][places])) if len(places) or states.any() else None)
             at = end
         return out
 
