@@ -57,11 +57,14 @@ def calinski(spark, sf):
                          rounded(F.col("inertia")).alias("inertia"), rounded(F.col("calinski_harabasz")).alias("calinski_harabasz"))
 
 
-@query("silhouette", f"""WITH {_Z}, smp AS (SELECT * FROM z ORDER BY (id * 7919 + 104729) % 1000003, id LIMIT 5000),
+_SILHOUETTE = f"""WITH {_Z}, smp AS (SELECT * FROM z ORDER BY (id * 7919 + 104729) % 1000003, id {{limit}}),
 pd AS (SELECT a.id, a.by_visits AS la1, a.by_balance AS la2, b.by_visits AS lb1, b.by_balance AS lb2, list_distance(a.v, b.v) AS d FROM smp a JOIN smp b ON a.id <> b.id),
 m AS (SELECT 'by_visits' AS clustering, id, la1 AS own, lb1 AS other, avg(d) AS m FROM pd GROUP BY ALL UNION ALL SELECT 'by_balance', id, la2, lb2, avg(d) FROM pd GROUP BY ALL),
 s AS (SELECT clustering, id, max(m) FILTER (own = other) AS a, min(m) FILTER (own <> other) AS b FROM m GROUP BY 1, 2)
-SELECT clustering, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) + 0.0 AS silhouette FROM s GROUP BY 1""")
+SELECT clustering, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) + 0.0 AS silhouette FROM s GROUP BY 1"""
+
+
+@query("silhouette", _SILHOUETTE.format(limit="LIMIT 5000"))
 def silhouette(spark, sf):
     """K5."""
     names = ["by_visits", "by_balance"]
@@ -69,6 +72,14 @@ def silhouette(spark, sf):
     return scores.select(F.array(*[F.lit(n) for n in names])[F.col("run")].alias("clustering"), rounded(F.col("silhouette")).alias("silhouette"))
 
 
+@query("silhouette_all", _SILHOUETTE.format(limit=""))
+def silhouette_all(spark, sf):
+    """K5 over all rows, exact."""
+    names = ["by_visits", "by_balance"]
+    scores = S.silhouette(S.points_with_labels(_labelled(spark, sf), "person_id", CUSTOMER_COLUMNS, names), None)
+    return scores.select(F.array(*[F.lit(n) for n in names])[F.col("run")].alias("clustering"), rounded(F.col("silhouette")).alias("silhouette"))
+
+
 _RULE = "CASE WHEN n_visits > 12 THEN 2 WHEN n_visits > 8 THEN 1 ELSE 0 END"
 _PROFILE = CUSTOMERS + f""", prof AS (SELECT {_RULE} AS by_visits, round_even(avg(n_visits), 3) AS n_visits, round_even(avg(n_lines), 3) AS n_lines,
   round_even(avg(balance), 3) AS balance, round_even(avg(early), 3) AS early FROM customers GROUP BY 1)"""

@@ -206,7 +206,7 @@ def kfolds(spark, sf):
 
 @query("split", f"""WITH s AS (SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY {_HASH.format('doc_id')}, doc_id) AS r,
   count(*) OVER (PARTITION BY toxic) AS k, row_number() OVER (ORDER BY {_HASH.format('doc_id')}, doc_id) AS r_all, count(*) OVER () AS k_all FROM labels)
-SELECT doc_id, toxic, (r <= floor(k * 0.2))::INT AS is_test, (r_all <= floor(k_all * 0.2))::INT AS is_test_plain FROM s""")
+SELECT doc_id, toxic, (r <= ceil(k * 0.2::DOUBLE))::INT AS is_test, (r_all <= ceil(k_all * 0.2::DOUBLE))::INT AS is_test_plain FROM s""")
 def split(spark, sf):
     """M11, stratified and plain."""
     df = load_table(spark, sf, "labels", "doc_id", "toxic")

@@ -131,3 +131,11 @@ def regressor_residuals(spark, sf):
     e = X.find_experiment("tree_depth5", X.REGRESSORS, "least_squares_all")
     scored = X.holdout_predictions(df, "visit_id", "n_lines", features, [e], classify=False)
     return histogram(V.residuals(scored, "y", "pred"), "residual", 50)
+
+
+@query("best_model_importance")
+def best_model_importance(spark, sf):
+    """The 20 most important features of a fitted regressor, the leaky family left out or not."""
+    df, features = frames.visit_features(spark, sf)
+    e = X.find_experiment("tree_depth10_leaf20", X.REGRESSORS, "least_squares_all")
+    return X.model_importance(df, "visit_id", "n_lines", features, e, classify=False, family="priority_")

@@ -246,7 +246,7 @@ def sink_roundtrip(spark, sf):
 
 
 @query("scan_select", f"""WITH {VISITS} SELECT count(*) AS n, round(avg(n_lines), 6) AS mean, round(stddev_pop(n_lines), 6) AS std,
-  min(n_lines)::DOUBLE AS min, max(n_lines)::DOUBLE AS max, 6::INTEGER AS n_features FROM visits""")
+  min(n_lines)::DOUBLE AS min, max(n_lines)::DOUBLE AS max, median(n_lines)::DOUBLE AS median, 6::INTEGER AS n_features FROM visits""")
 def scan_select(spark, sf):
     """Features are the columns without the target, its leaky family and ids."""
     df = frames.visits(spark, sf)
@@ -254,13 +254,20 @@ def scan_select(spark, sf):
     features = [c for c in df.columns if c not in {"n_lines", "visit_id"} | leaky]
     features = cleaning.without_prefix(features, "qty")
     s = tables.target_summary(df, "n_lines")
-    return s.select("n", rounded(F.col("mean")).alias("mean"), rounded(F.col("std")).alias("std"), "min", "max",
+    return s.select("n", rounded(F.col("mean")).alias("mean"), rounded(F.col("std")).alias("std"), "min", "max", "median",
                     F.lit(len(features)).alias("n_features"))
 
 
+@query("target_counts", f"WITH {VISITS} SELECT n_lines::BIGINT AS value, count(*) AS n FROM visits WHERE n_lines IS NOT NULL GROUP BY 1")
+def target_counts(spark, sf):
+    """Value counts of the target."""
+    return tables.target_counts(frames.visits(spark, sf), "n_lines")
+
+
 @query("column_reference", """SELECT CAST(column_index AS INTEGER) AS position, column_name AS "column",
-  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS dtype
-FROM (SELECT row_number() OVER () - 1 AS column_index, column_name, column_type AS data_type FROM (DESCRIBE SELECT * FROM part))""")
+  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS dtype, n_values
+FROM (SELECT row_number() OVER () - 1 AS column_index, column_name, column_type AS data_type FROM (DESCRIBE SELECT * FROM part))
+JOIN (UNPIVOT (SELECT count(COLUMNS(*)) FROM part) ON COLUMNS(*) INTO NAME column_name VALUE n_values) USING (column_name)""")
 def column_reference(spark, sf):
     """S10."""
     return tables.column_reference(tables.load_table(spark, sf, "part"))

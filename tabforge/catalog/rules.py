@@ -24,14 +24,19 @@ tx AS (SELECT tid, item FROM flags WHERE item IS NOT NULL)
 
 
 def _mine_sql(total: str, support: float, size: int) -> str:
-    """WITH clauses that mine table tx(tid, item) by plain self joins, all sizes at once."""
-    levels = ["SELECT [a.item] AS items, count(*) AS n FROM tx a GROUP BY 1"]
-    names = "abcd"
+    """WITH clauses that mine table tx(tid, item): frequent items become bits, equal baskets one row with a weight,
+    and every combination of items is tested against every basket mask."""
+    combos, names = ["SELECT [a.item] AS items, a.bit AS mask FROM bits a"], "abcd"
     for k in range(2, size + 1):
-        joins = " ".join(f"JOIN tx {names[i]} ON {names[i]}.tid = a.tid AND {names[i]}.item > {names[i - 1]}.item" for i in range(1, k))
-        levels.append(f"SELECT [{', '.join(f'{x}.item' for x in names[:k])}] AS items, count(*) AS n FROM tx a {joins} GROUP BY 1")
-    return f"""total AS ({total}), sets AS ({' UNION ALL '.join(levels)}),
-itemsets AS (SELECT items, len(items)::INT AS size, n, n / total.t AS support FROM sets, total WHERE n / total.t >= {support})"""
+        joins = " ".join(f"JOIN bits {names[i]} ON {names[i]}.item > {names[i - 1]}.item" for i in range(1, k))
+        combos.append(f"SELECT [{', '.join(f'{x}.item' for x in names[:k])}] AS items, {' | '.join(f'{x}.bit' for x in names[:k])} AS mask FROM bits a {joins}")
+    return f"""total AS ({total}),
+bits AS MATERIALIZED (SELECT item, 1::BIGINT << (row_number() OVER (ORDER BY item) - 1)::INT AS bit FROM (
+  SELECT item FROM tx GROUP BY item HAVING count(*) / (SELECT t FROM total) >= {support})),
+folded AS MATERIALIZED (SELECT mask, count(*) AS w FROM (SELECT tid, bit_or(bit) AS mask FROM tx JOIN bits USING (item) GROUP BY tid) GROUP BY mask),
+combos AS ({' UNION ALL '.join(combos)}),
+sets AS (SELECT items, sum(w)::BIGINT AS n FROM combos JOIN folded ON (folded.mask & combos.mask) = combos.mask GROUP BY items),
+itemsets AS MATERIALIZED (SELECT items, len(items)::INT AS size, n, n / total.t AS support FROM sets, total WHERE n / total.t >= {support})"""
 
 
 _SPLITS = """splits AS (SELECT support, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS ante,

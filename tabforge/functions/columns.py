@@ -49,9 +49,10 @@ def total(columns: list[Column]) -> Column:
 def order_hash(id_col: str) -> Column:
     """Pseudo-random order over integer ids in [0, 1000003); the id itself must break ties.
 
-    Plain integer arithmetic, so any SQL engine reproduces it.
+    Plain integer arithmetic, so any SQL engine reproduces it; ids of any size are reduced before they
+    are multiplied.
     """
-    return F.pmod(F.col(id_col).cast("bigint") * F.lit(7919) + F.lit(104729), F.lit(ORDER_HASH_RANGE))
+    return F.pmod(F.pmod(F.col(id_col).cast("bigint"), F.lit(ORDER_HASH_RANGE)) * F.lit(7919) + F.lit(104729), F.lit(ORDER_HASH_RANGE))
 
 
 ORDER_HASH_RANGE = 1000003

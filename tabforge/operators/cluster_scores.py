@@ -18,7 +18,6 @@ from tabforge.operators.neighbors import block_pairs, square_distances, stack
 from tabforge.session import materialize
 
 SAMPLE_ROWS = 5000
-MAX_SAMPLE_ROWS = 20_000
 
 
 def points_with_labels(df: DataFrame, id_col: str, features: Sequence[str], label_cols: Sequence[str]) -> DataFrame:
@@ -72,51 +71,51 @@ def davies_bouldin(points: DataFrame, stats: DataFrame) -> DataFrame:
     return each.select("run", F.array_max(ratios).alias("worst")).groupBy("run").agg(F.avg("worst").alias("davies_bouldin"))
 
 
-def _silhouettes(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-    """Silhouette of every left row and run against the whole sample on the right."""
-    out = {"run": [], "s": [], "n_labels": []}
+def _distance_sums(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+    """Per left row, run and label of the right block: summed distances and rows."""
+    out = []
     if not l.empty and not r.empty:
         d = np.sqrt(square_distances(stack(l["vec"]), stack(r["rvec"])))
         mine, theirs = np.stack(l["labels"].to_numpy()), np.stack(r["rlabels"].to_numpy())
         for run in range(theirs.shape[1]):
-            names, code = np.unique(theirs[:, run], return_inverse=True)
-            size = np.bincount(code, minlength=len(names)).astype(float)
+            names, code, size = np.unique(theirs[:, run], return_inverse=True, return_counts=True)
             order = np.argsort(code, kind="stable")
-            starts = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(int)
-            sums = np.add.reduceat(d[:, order], starts, axis=1)
-            own = np.searchsorted(names, mine[:, run])
-            rows = np.arange(len(l))
-            own_size = size[own]
-            a = sums[rows, own] / np.maximum(own_size - 1, 1)
-            means = sums / size
-            means[rows, own] = np.inf
-            b = means.min(axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                s = np.where((own_size > 1) & np.isfinite(b), (b - a) / np.maximum(a, b), 0.0)
-            out["run"].append(np.full(len(l), run))
-            out["s"].append(np.nan_to_num(s))
-            out["n_labels"].append(np.full(len(l), len(names)))
-    flat = {k: np.concatenate(v) if v else [] for k, v in out.items()}
-    return pd.DataFrame(flat).astype({"run": "int32", "s": "float64", "n_labels": "int32"})
-
-
-def silhouette(points: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
-    """(run, silhouette): mean Euclidean silhouette over the first ``sample`` rows in hash order.
-
-    The sample is the operator: it bounds the right side that every block of left rows is compared
-    with. Null when the sample holds fewer than two labels, or only singletons.
+            sums = np.add.reduceat(d[:, order], np.cumsum(size) - size, axis=1)
+            out.append(pd.DataFrame({
+                "id": np.repeat(l["id"].to_numpy(), len(names)), "run": run, "own": (mine[:, run, None] == names[None, :]).ravel(),
+                "label": np.tile(names, len(l)), "total": sums.ravel(), "n": np.tile(size, len(l))}))
+    empty = {"id": [], "run": [], "own": [], "label": [], "total": [], "n": []}
+    frame = pd.concat(out) if out else pd.DataFrame(empty)
+    return frame.astype({"id": "int64", "run": "int32", "own": "bool", "label": "int64", "total": "float64", "n": "int64"})
+
+
+def _exact_silhouette(points: DataFrame) -> DataFrame:
+    """Every row against every row, in pairs of blocks: a task sees one pair, sums per label leave it."""
+    points = materialize(points.withColumn("cell", F.lit(0)), "points")
+    n = points.count()
+    right = points.select(F.col("id").alias("rid"), F.col("vec").alias("rvec"), F.col("labels").alias("rlabels"), "cell")
+    parts = block_pairs(points, right, "id", "rid", 1, [n], _distance_sums, "id long, run int, own boolean, label long, total double, n long", left_counts=[n])
+    sums = parts.groupBy("id", "run", "own", "label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    own, other = F.col("own"), ~F.col("own")
+    row = sums.groupBy("id", "run").agg(
+        F.max(F.when(own, F.col("n"))).alias("size"), F.max(F.when(own, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
+        F.min(F.when(other, F.col("total") / F.col("n"))).alias("b"), F.count("*").alias("k"))
+    s = F.when((F.col("size") > 1) & F.col("b").isNotNull(), F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).otherwise(0.0)
+    per_run = row.groupBy("run").agg(F.avg(s).alias("s"), F.max("k").alias("k"))
+    return per_run.select("run", F.when((F.col("k") > 1) & (F.col("k") < n), F.col("s")).alias("silhouette"))
+
+
+def silhouette(points: DataFrame, sample: int | None = SAMPLE_ROWS) -> DataFrame:
+    """(run, silhouette): mean Euclidean silhouette over the first ``sample`` rows in hash order, or over all with None.
+
+    Null where the rows hold fewer than two labels, or only singletons.
     """
-    if sample > MAX_SAMPLE_ROWS:
-        raise ValueError(f"the sample is compared with itself; at most {MAX_SAMPLE_ROWS} rows")
-    drawn = materialize(points.orderBy(order_hash("id"), "id").limit(sample).withColumn("cell", F.lit(0)), "sample")
-    right = drawn.select(F.col("id").alias("rid"), F.col("vec").alias("rvec"), F.col("labels").alias("rlabels"), "cell")
-    # A right count of 1 keeps the (bounded) sample in one block, so each left row sees all of it.
-    per_row = block_pairs(drawn, right, "id", "rid", 1, [1], _silhouettes, "run int, s double, n_labels int", left_counts=[sample])
-    k, n = F.max("n_labels"), F.count("*")
-    return per_row.groupBy("run").agg(F.when((k > 1) & (k < n), F.avg("s")).alias("silhouette"))
+    if sample is None:
+        return _exact_silhouette(points)
+    return _exact_silhouette(points.orderBy(order_hash("id"), "id").limit(sample))
 
 
-def score_clusterings(df: DataFrame, id_col: str, features: Sequence[str], label_cols: Sequence[str], sample: int = SAMPLE_ROWS) -> DataFrame:
+def score_clusterings(df: DataFrame, id_col: str, features: Sequence[str], label_cols: Sequence[str], sample: int | None = SAMPLE_ROWS) -> DataFrame:
     """(clustering, n_clusters, inertia, silhouette, davies_bouldin, calinski_harabasz) per label column."""
     points = materialize(points_with_labels(df, id_col, features, label_cols), "points")
     stats = materialize(cluster_stats(points, len(features)), "stats")

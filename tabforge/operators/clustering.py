@@ -10,10 +10,9 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.functions.columns import order_hash
 from tabforge.operators.cluster_scores import SAMPLE_ROWS, score_clusterings
 from tabforge.operators.encoding import apply_standard, fit_standard
 from tabforge.operators.neighbors import knn_graph, square_distances, stack
@@ -57,17 +56,89 @@ def pca_project(df: DataFrame, id_col: str, features: Sequence[str], k: int | No
 
 # --- k-means ----------------------------------------------------------------------------------------
 
-INIT_ROWS = 5000
+START_ROUNDS = 3
 
 
-def _spread_start(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ start: each next centre is drawn in proportion to the squared distance from those chosen."""
-    chosen = [sample[rng.integers(len(sample))]]
-    d2 = ((sample - chosen[0]) ** 2).sum(axis=1)
+def _uniform(ids: np.ndarray, salt: int) -> np.ndarray:
+    """A number in (0, 1) per id and salt: a fixed scramble, so a rerun draws the same rows."""
+    with np.errstate(over="ignore"):
+        z = ids.astype(np.uint64) + np.uint64(salt + 1) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+    return ((z >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def _far_rows(chosen: list[np.ndarray], draw: int, salt: int):
+    """Per partition and start: ``draw`` rows of a weighted sample without replacement. A row's weight is its squared
+    distance from the rows chosen so far, its key an exponential waiting time; the shortest waits win."""
+    def fn(batches):
+        kept = [(np.empty(0), None) for _ in chosen]
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, ids = stack(pdf["vec"]), pdf["id"].to_numpy()
+            for i, points in enumerate(chosen):
+                d2 = square_distances(x, points).min(axis=1) if len(points) else np.ones(len(x))
+                wait = np.where(d2 > 0, -np.log(_uniform(ids, salt + 1000 * i)) / np.where(d2 > 0, d2, 1.0), np.inf)
+                key = np.concatenate([kept[i][0], wait])
+                rows = x if kept[i][1] is None else np.concatenate([kept[i][1], x])
+                near = np.argsort(key, kind="stable")[:draw]
+                near = near[np.isfinite(key[near])]
+                kept[i] = key[near], rows[near]
+        for i, (key, rows) in enumerate(kept):
+            if len(key):
+                yield pd.DataFrame({"start": np.full(len(key), i, dtype="int32"), "wait": key, "vec": list(rows)})
+    return fn
+
+
+def _candidate_weights(chosen: list[np.ndarray]):
+    """Per partition: how many rows are nearest to each candidate of each start."""
+    def fn(batches):
+        n = [np.zeros(len(points)) for points in chosen]
+        for pdf in batches:
+            if len(pdf):
+                x = stack(pdf["vec"])
+                for i, points in enumerate(chosen):
+                    n[i] += np.bincount(square_distances(x, points).argmin(axis=1), minlength=len(points))
+        for i, counts in enumerate(n):
+            yield pd.DataFrame({"start": np.full(len(counts), i, dtype="int32"), "candidate": np.arange(len(counts), dtype="int32"), "n": counts})
+    return fn
+
+
+def kmeans_starts(data: DataFrame, ks: Sequence[int], n_init: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """Centres to begin with for each (k, start), from all rows (k-means||).
+
+    Each round draws rows in proportion to their squared distance from those drawn before; all starts
+    share its pass. Candidates, weighted by the rows nearest to them, are reduced to k by k-means++ on
+    the driver: their number depends on k and the rounds only.
+    """
+    draw = 2 * max(ks)
+    chosen: list[np.ndarray] = [np.empty((0, 0)) for _ in range(n_init)]
+    for step in range(START_ROUNDS + 1):
+        wanted = draw if step else 1
+        found = data.select("id", "vec").mapInPandas(_far_rows(chosen, wanted, seed + 7919 * step), "start int, wait double, vec array<double>")
+        first = Window.partitionBy("start").orderBy("wait", "vec")
+        rows = found.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= wanted).collect()
+        for i in range(n_init):
+            new = [r["vec"] for r in rows if r["start"] == i]
+            if new:
+                chosen[i] = np.array(new) if not len(chosen[i]) else np.concatenate([chosen[i], np.array(new)])
+    weights = [np.zeros(len(points)) for points in chosen]
+    counted = data.select("vec").mapInPandas(_candidate_weights(chosen), "start int, candidate int, n double")
+    for r in counted.groupBy("start", "candidate").agg(F.sum("n").alias("n")).collect():
+        weights[r["start"]][r["candidate"]] = r["n"]
+    return {(k, i): _spread_start(chosen[i], weights[i], k, np.random.default_rng(seed + i)) for k in ks for i in range(n_init)}
+
+
+def _spread_start(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Weighted k-means++: each next centre is drawn in proportion to weight times squared distance from those chosen."""
+    chosen = [points[rng.choice(len(points), p=weights / weights.sum())]]
+    d2 = ((points - chosen[0]) ** 2).sum(axis=1)
     while len(chosen) < k:
-        weights = d2 / d2.sum() if d2.sum() > 0 else None
-        chosen.append(sample[rng.choice(len(sample), p=weights)])
-        d2 = np.minimum(d2, ((sample - chosen[-1]) ** 2).sum(axis=1))
+        share = weights * d2
+        chosen.append(points[rng.choice(len(points), p=share / share.sum() if share.sum() > 0 else None)])
+        d2 = np.minimum(d2, ((points - chosen[-1]) ** 2).sum(axis=1))
     return np.array(chosen)
 
 
@@ -104,12 +175,14 @@ def kmeans_fits(data: DataFrame, dim: int, ks: Sequence[int], n_init: int = 10,
     All fits of the sweep advance together: one pass over the rows per iteration serves every k and every
     start, instead of one pass per fit and iteration. A pass returns (clusters x dim) sums per
     partition, which are added up before they reach the driver: their number does not depend on the rows.
-    Starts are drawn from the first INIT_ROWS rows in hash order; the iterations use all rows.
+    Starts (``kmeans_starts``), the stopping tolerance and the iterations use all rows.
     """
     jobs = [(k, i) for k in ks for i in range(n_init)]
-    sample = np.array([r[0] for r in data.orderBy(order_hash("id"), "id").limit(INIT_ROWS).select("vec").collect()], dtype=float)
-    limit = tol * float(sample.var(axis=0).mean())
-    centers = {j: _spread_start(sample, j[0], np.random.default_rng(seed + j[1])) for j in jobs}
+    spread = data.agg(F.count("*"), *[F.var_pop(F.col("vec")[d]) for d in range(dim)]).first()
+    if not spread[0]:
+        raise ValueError("k-means needs rows")
+    limit = tol * float(np.mean([v or 0.0 for v in spread[1:]]))
+    centers = kmeans_starts(data, ks, n_init, seed)
     cost: dict[tuple[int, int], float] = {}
     moving, closing = list(jobs), False
     for step in range(max_iter + 1):

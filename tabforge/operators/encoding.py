@@ -24,11 +24,11 @@ def code_category(
 ) -> Column:
     """Category of a textual code.
 
-    Trim; a known prefix decides; else the number decides: ``first`` is a half-open range tested before
+    Trim white space of any kind; a known prefix decides; else the number decides: ``first`` is a half-open range tested before
     the closed ``ranges``. Null, text that is no number, and numbers in no range give ``default``. The
     range table is a handful of rows, so it is an expression and needs no join.
     """
-    text = F.trim(code)
+    text = F.regexp_replace(code, r"(?U)^\s+|\s+$", "")
     number = F.when(text.rlike(NUMBER), F.try_cast(text, "double")) if hasattr(F, "try_cast") else \
         F.when(text.rlike(NUMBER), text.try_cast("double"))
     result = F.lit(default)
@@ -82,11 +82,15 @@ def fill_unknown(df: DataFrame, columns: Sequence[str], value: str = "Unknown")
     return df.na.fill(value, subset=list(columns))
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 10_000) -> dict[str, list[str]]:
-    """Sorted distinct levels of category columns. Refuses more than ``max_levels`` in total."""
+def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
+    """Sorted distinct levels of category columns; each becomes an output column of its own.
+
+    ``max_levels``, where given, refuses more levels in total before any reaches the driver.
+    """
     long = df.unpivot([], [col(c).cast("string").alias(c) for c in columns], "column", "level")
-    rows = long.filter("level is not null").distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
+    found = long.filter("level is not null").distinct()
+    rows = (found if max_levels is None else found.limit(max_levels + 1)).collect()
+    if max_levels is not None and len(rows) > max_levels:
         raise ValueError(f"more than {max_levels} levels in {list(columns)}: not category columns")
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:

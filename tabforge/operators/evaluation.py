@@ -67,7 +67,7 @@ def curve_points(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> D
     points = running_totals(counts, "threshold", {"tp": "pos", "fp": "neg"}, by, descending=True)
     totals = points.groupBy(*by).agg(F.max("tp").alias("n_pos"), F.max("fp").alias("n_neg"))
     # one row per model or fold
-    joined = join_same(points, totals, by, small=True) if by else points.withColumns({
+    joined = join_same(points, totals, by) if by else points.withColumns({
         "n_pos": totals.select("n_pos").scalar(), "n_neg": totals.select("n_neg").scalar()})
     return joined.select(*by, "threshold", "tp", "fp", "n_pos", "n_neg")
 

@@ -20,7 +20,7 @@ from tabforge.operators import ranking
 from tabforge.operators.cleaning import without_prefix
 from tabforge.operators.encoding import apply_standard, fit_standard
 from tabforge.operators.folds import holdout, k_folds, with_class_weight
-from tabforge.operators.learners import LEARNERS, forest_importance
+from tabforge.operators.learners import ESTIMATORS, LEARNERS, fitted_importance, forest_importance
 from tabforge.operators.neighbors import smote
 from tabforge.session import materialize
 
@@ -67,21 +67,27 @@ REGRESSORS = [
 
 
 def find_experiment(name: str, experiments: Sequence[Experiment], fallback: str) -> Experiment:
-    """Experiment by name; an unknown name gives the fallback."""
+    """Experiment by name; an unknown name gives the fallback, from the registry where it isn't among ``experiments``."""
+    known = {e.name: e for e in (*CLASSIFIERS, *REGRESSORS)}
     by_name = {e.name: e for e in experiments}
-    return by_name.get(name, by_name[fallback])
+    return by_name.get(name) or by_name.get(fallback) or known[fallback]
 
 
 def feature_sets(
     df: DataFrame, features: Sequence[str], y: str, classify: bool, needed: Sequence[str] = ("all", "anova20", "forest30"),
     family: str | None = None, trees: int = 100,
 ) -> dict[str, list[str]]:
-    """Named feature lists: all, the best 20 by F score, the best 30 by forest importance, all but a prefix family."""
+    """Named feature lists: all, the best 20 by F score, the best 30 by forest importance or by mutual information,
+    those with variance, all but a prefix family."""
     sets = {"all": list(features)}
     if "without_family" in needed and family:
         sets["without_family"] = without_prefix(features, family)
     def best(scores: DataFrame, score: str, n: int) -> list[str]:
         return [r["feature"] for r in scores.orderBy(F.desc_nulls_last(score), "feature").limit(n).collect()]
+    if "variance" in needed:
+        sets["variance"] = [r["feature"] for r in ranking.variance_filter(df, features).filter("kept = 1").orderBy("feature").collect()]
+    if "mutual30" in needed:
+        sets["mutual30"] = best(ranking.mutual_information(df, features, y, numeric_target=not classify), "mutual_info", 30)
     if "anova20" in needed:
         f = ranking.anova_f(df, features, y) if classify else ranking.regression_f(df, features, y)
         sets["anova20"] = best(f, "f_score", 20)
@@ -112,14 +118,30 @@ def fit_predict(train: DataFrame, test: DataFrame, experiment: Experiment, featu
         table = materialize(_training_table(train.select("id", "y", *features), features, experiment.balance), "train")
         cache[key] = (table, fit_standard(table, features))
     table, scale = cache[key]
-    # Neighbour search needs unique ids: synthetic rows get negative ones of their own.
+    # Neighbour search needs unique ids: every training row gets one of its own from its id and copy number.
     if "_copy" in table.columns and experiment.learner == "nearest":
-        table = table.withColumn("id", F.when(F.col("_copy") < 0, F.col("id")).otherwise(-(F.col("id") * 100000 + F.col("_copy")) - 1))
+        table = table.withColumn("id", F.xxhash64("id", "_copy")).drop("_copy")
     elif "_copy" in table.columns and experiment.learner != "calibrated_svm":
         table = table.drop("_copy")
     return LEARNERS[experiment.learner](apply_standard(table, scale), apply_standard(test.select("id", "y", *features), scale), features, experiment.params)
 
 
+def model_importance(df: DataFrame, id_col: str, y: str, features: Sequence[str], experiment: Experiment, classify: bool, top: int = 20,
+                     family: str | None = None) -> DataFrame:
+    """(experiment, rank, feature, importance): the ``top`` features of one experiment's model, fitted on all rows.
+
+    No rows for a learner that isn't a tree, a forest or boosted.
+    """
+    data = prepare(df, id_col, y, features)
+    used = feature_sets(data, features, "y", classify, {experiment.features}, family)[experiment.features]
+    if experiment.learner not in ESTIMATORS:
+        return df.sparkSession.createDataFrame([], "experiment string, rank int, feature string, importance double")
+    table = materialize(_training_table(data, used, experiment.balance), "train")
+    scores = fitted_importance(apply_standard(table, fit_standard(table, used)), used, experiment.learner, experiment.params)
+    rows = sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:top]
+    return df.sparkSession.createDataFrame([(experiment.name, i + 1, f, v) for i, (f, v) in enumerate(rows)], "experiment string, rank int, feature string, importance double")
+
+
 def prepare(df: DataFrame, id_col: str, y: str, features: Sequence[str]) -> DataFrame:
     """(id long, y double, features double), nulls as 0."""
     return df.select(F.col(id_col).cast("long").alias("id"), col(y).cast("double").alias("y"),

@@ -19,7 +19,7 @@ def class_weights(df: DataFrame, y: str) -> DataFrame:
 def with_class_weight(df: DataFrame, y: str, out: str = "weight") -> DataFrame:
     """Attach the balanced weight to every row; the class table has one row per class."""
     w = class_weights(df, y).select(F.col("class").alias(y), F.col("weight").alias(out))
-    return join_same(df, w, [y], small=True)
+    return join_same(df, w, [y])
 
 
 def positive_scale(df: DataFrame, y: str) -> DataFrame:
@@ -35,9 +35,9 @@ def k_folds(df: DataFrame, id_col: str, k: int = 5, stratify: str | None = None,
 
 
 def holdout(df: DataFrame, id_col: str, share_test: float = 0.2, stratify: str | None = None, out: str = "is_test") -> DataFrame:
-    """1 for the first ``share_test`` of the rows in hash order, per class when stratified."""
+    """1 for the first ``share_test`` of the rows in hash order, rounded up; per class when stratified."""
     by = [stratify] if stratify else []
     ranked = bucketed_rank(df, id_col, by, "_rank")
     sizes = df.groupBy(*by).agg(F.count("*").alias("_size"))
-    ranked = join_same(ranked, sizes, by, small=True) if by else ranked.withColumn("_size", sizes.scalar())
-    return ranked.withColumn(out, (F.col("_rank") <= F.floor(F.col("_size") * F.lit(share_test))).cast("int")).drop("_rank", "_size")
+    ranked = join_same(ranked, sizes, by) if by else ranked.withColumn("_size", sizes.scalar())
+    return ranked.withColumn(out, (F.col("_rank") <= F.ceil(F.col("_size") * F.lit(share_test))).cast("int")).drop("_rank", "_size")

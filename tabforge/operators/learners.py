@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from tabforge.operators.clustering import assemble
 from tabforge.operators.folds import k_folds
 from tabforge.operators.neighbors import knn_vote
+from tabforge.session import materialize
 
 Learner = Callable[[DataFrame, DataFrame, Sequence[str], Mapping], DataFrame]
 SEED = 42
+DEEPEST = 30  # MLlib grows trees no deeper; an unlimited tree stops here
 
 
 def _weighted(estimator, train: DataFrame):
@@ -47,32 +49,30 @@ def _naive_bayes(train, test, features, p):
     return _classify(C.NaiveBayes(modelType="gaussian"), train, test, features)
 
 
-def _tree(train, test, features, p):
-    est = C.DecisionTreeClassifier(maxDepth=p["depth"], minInstancesPerNode=p.get("leaf", 1), maxBins=p.get("bins", 64), seed=SEED)
-    return _classify(_weighted(est, train), train, test, features)
+def _tree(p):
+    return C.DecisionTreeClassifier(maxDepth=p["depth"], minInstancesPerNode=p.get("leaf", 1), maxBins=p.get("bins", 64), seed=SEED)
 
 
-def _forest(train, test, features, p):
-    est = C.RandomForestClassifier(
-        numTrees=p["trees"], maxDepth=p.get("depth", 30), minInstancesPerNode=p.get("leaf", 1), maxBins=p.get("bins", 64),
+def _forest(p):
+    return C.RandomForestClassifier(
+        numTrees=p["trees"], maxDepth=p.get("depth", DEEPEST), minInstancesPerNode=p.get("leaf", 1), maxBins=p.get("bins", 64),
         featureSubsetStrategy="sqrt", seed=SEED)
-    return _classify(_weighted(est, train), train, test, features)
 
 
-def _boosted(train, test, features, p):
-    est = C.GBTClassifier(maxIter=p["trees"], stepSize=p["rate"], maxDepth=p["depth"], subsamplingRate=p["rows"],
-                          featureSubsetStrategy=str(p["columns"]), maxBins=p.get("bins", 64), seed=SEED)
-    return _classify(_weighted(est, train), train, test, features)
+def _boosted(p):
+    return C.GBTClassifier(maxIter=p["trees"], stepSize=p["rate"], maxDepth=p["depth"], subsamplingRate=p["rows"],
+                           featureSubsetStrategy=str(p["columns"]), maxBins=p.get("bins", 64), seed=SEED)
 
 
 def _calibrated_svm(train, test, features, p):
     """Linear SVM on each part of a 3-fold split, a logistic curve fitted on the held-out margins, mean probability."""
-    n = train.count()
-    parts = k_folds(train.withColumn("_row", F.col("id") * 1000 + F.coalesce("_copy", F.lit(0))), "_row", p.get("folds", 3), "y", "_part")
-    parts, test_vec = assemble(parts, features).persist(), assemble(test, features)
+    parts = k_folds(train.withColumn("_row", F.xxhash64("id", F.coalesce("_copy", F.lit(-1)))), "_row", p.get("folds", 3), "y", "_part")
+    parts, test_vec = assemble(materialize(parts, "svm"), features), assemble(test, features)
+    sizes = {r["_part"]: r["count"] for r in parts.groupBy("_part").count().collect()}  # one row per part
     margin = F.array(vector_to_array("rawPrediction")[1])
     out = test_vec
     for i in range(p.get("folds", 3)):
+        n = max(1, sum(size for part, size in sizes.items() if part != i))  # rows this machine is fitted on
         svm = C.LinearSVC(regParam=1.0 / (p["c"] * n), maxIter=p.get("iterations", 100), tol=1e-4, standardization=False, featuresCol="features", labelCol="y",
                           rawPredictionCol="rawPrediction", predictionCol="_p").fit(parts.filter(F.col("_part") != i))
         held = svm.transform(parts.filter(F.col("_part") == i)).withColumn("m", vector_to_array("rawPrediction")[1])
@@ -111,32 +111,51 @@ def _poisson(train, test, features, p):
     return _regress(est, train, test, features)
 
 
-def _tree_regressor(train, test, features, p):
-    est = R.DecisionTreeRegressor(maxDepth=p["depth"], minInstancesPerNode=p.get("leaf", 1), maxBins=p.get("bins", 64), seed=SEED)
-    return _regress(est, train, test, features)
+def _tree_regressor(p):
+    return R.DecisionTreeRegressor(maxDepth=p["depth"], minInstancesPerNode=p.get("leaf", 1), maxBins=p.get("bins", 64), seed=SEED)
 
 
-def _forest_regressor(train, test, features, p):
-    est = R.RandomForestRegressor(numTrees=p["trees"], maxDepth=p.get("depth", 30), minInstancesPerNode=p.get("leaf", 1),
-                                  maxBins=p.get("bins", 64), featureSubsetStrategy="all", seed=SEED)
-    return _regress(est, train, test, features)
+def _forest_regressor(p):
+    return R.RandomForestRegressor(numTrees=p["trees"], maxDepth=p.get("depth", DEEPEST), minInstancesPerNode=p.get("leaf", 1),
+                                   maxBins=p.get("bins", 64), featureSubsetStrategy="all", seed=SEED)
 
 
-def _boosted_regressor(train, test, features, p):
-    est = R.GBTRegressor(maxIter=p["trees"], stepSize=p["rate"], maxDepth=p["depth"], subsamplingRate=p["rows"],
-                         featureSubsetStrategy=str(p["columns"]), maxBins=p.get("bins", 64), seed=SEED)
-    return _regress(est, train, test, features)
+def _boosted_regressor(p):
+    return R.GBTRegressor(maxIter=p["trees"], stepSize=p["rate"], maxDepth=p["depth"], subsamplingRate=p["rows"],
+                          featureSubsetStrategy=str(p["columns"]), maxBins=p.get("bins", 64), seed=SEED)
+
+
+#: Learners whose fitted model has feature importances, as makers of MLlib estimators; True: classifiers.
+ESTIMATORS = {
+    "tree": (_tree, True), "forest": (_forest, True), "boosted": (_boosted, True),
+    "tree_regressor": (_tree_regressor, False), "forest_regressor": (_forest_regressor, False), "boosted_regressor": (_boosted_regressor, False),
+}
+
+
+def _of_estimator(name: str) -> Learner:
+    make, classify = ESTIMATORS[name]
+
+    def learner(train, test, features, p):
+        return _classify(_weighted(make(p), train), train, test, features) if classify else _regress(make(p), train, test, features)
+
+    return learner
+
+
+def fitted_importance(train: DataFrame, features: Sequence[str], name: str, params: Mapping) -> dict[str, float]:
+    """Importance of each feature in one of ``ESTIMATORS`` fitted on ``train``."""
+    make, classify = ESTIMATORS[name]
+    estimator = _weighted(make(params), train) if classify else make(params)
+    model = estimator.setFeaturesCol("features").setLabelCol("y").fit(assemble(train, features))
+    return dict(zip(features, (float(v) for v in model.featureImportances.toArray())))
 
 
 LEARNERS: dict[str, Learner] = {
-    "nearest": _nearest, "naive_bayes": _naive_bayes, "tree": _tree, "forest": _forest, "boosted": _boosted,
-    "calibrated_svm": _calibrated_svm, "perceptron": _perceptron,
-    "ridge": _ridge, "lasso": _lasso, "poisson": _poisson,
-    "tree_regressor": _tree_regressor, "forest_regressor": _forest_regressor, "boosted_regressor": _boosted_regressor,
+    "nearest": _nearest, "naive_bayes": _naive_bayes, "calibrated_svm": _calibrated_svm, "perceptron": _perceptron,
+    "ridge": _ridge, "lasso": _lasso, "poisson": _poisson, **{name: _of_estimator(name) for name in ESTIMATORS},
 }
 
 
-def forest_importance(df: DataFrame, features: Sequence[str], y: str, classify: bool, trees: int = 100, depth: int = 30) -> DataFrame:
+def forest_importance(df: DataFrame, features: Sequence[str], y: str, classify: bool, trees: int = 100, depth: int = DEEPEST) -> DataFrame:
     """(feature, importance) of a random forest; classes are weighted to balance."""
     from tabforge.operators.folds import with_class_weight
 

@@ -227,23 +227,27 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], y: str, k: int =
 
     The deficit is spread over the minority rows in hash order. Copy number j of a row moves towards
     its (hash(id, j) mod k)-th nearest minority neighbour by a fraction in [0, 1) that is arithmetic too,
-    so a rerun, or another engine, draws the same rows.
+    so a rerun, or another engine, draws the same rows. A single minority row has no neighbour and is
+    copied; with one class there is no deficit and no row.
     """
     counts = {r[y]: r["count"] for r in df.groupBy(y).count().collect()}  # two classes
     if len(counts) < 2:
-        return df.select(F.col(id_col).alias("id"), *features, y, F.lit(1).alias("synthetic")).limit(0)
+        return df.select(F.col(id_col).cast("long").alias("id"), F.lit(0).alias("j"), *[F.col(c).cast("double").alias(c) for c in features], y, F.lit(1).alias("synthetic")).limit(0)
     minority = min(counts, key=lambda c: (counts[c], -c))
     n_min, deficit = counts[minority], abs(counts[0] - counts[1])
     small = df.filter(F.col(y) == minority).select(F.col(id_col).cast("long").alias("id"), *[F.col(c).cast("double").alias(c) for c in features])
     small = materialize(small.withColumn("vec", F.array(*features)), "minority")
-    near = knn_join(small, small, "id", "id", "vec", k, exclude_self=True, **kw)
+    if n_min > 1:
+        near = knn_join(small, small, "id", "id", "vec", k, exclude_self=True, **kw)
+    else:
+        near = small.select("id", F.col("id").alias("neighbor"), F.lit(1).alias("rank"))
     ranked = bucketed_rank(small.select("id", "vec"), "id", (), "_rank")
     base, extra = divmod(deficit, n_min)
     n_near = min(k, n_min - 1)
     draws = (
         ranked.withColumn("j", F.explode(F.expr(f"filter(sequence(0, {base}), j -> j < {base} + int(_rank <= {extra}))")))
-        .withColumn("pick", (F.pmod(F.col("id") * 31 + F.col("j") * 17 + 7, F.lit(max(n_near, 1))) + 1).cast("int"))
-        .withColumn("gap", F.pmod(F.col("id") * 7919 + F.col("j") * 104729, F.lit(1000)) / F.lit(1000.0))
+        .withColumn("pick", (F.pmod(F.pmod("id", F.lit(max(n_near, 1))) * 31 + F.col("j") * 17 + 7, F.lit(max(n_near, 1))) + 1).cast("int"))
+        .withColumn("gap", F.pmod(F.pmod("id", F.lit(1000)) * 7919 + F.col("j") * 104729, F.lit(1000)) / F.lit(1000.0))
     )
     target = small.select(F.col("id").alias("neighbor"), F.col("vec").alias("_to"))
     moved = (

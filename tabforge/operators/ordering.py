@@ -6,6 +6,7 @@ ordered buckets, run the window inside a bucket, and add per-bucket offsets, whi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,18 +15,23 @@ from pyspark.sql import functions as F
 from tabforge.functions.columns import ORDER_HASH_RANGE, order_hash
 from tabforge.session import materialize
 
-BUCKETS = 64
+#: Rows that one window task may hold; the number of buckets follows from the number of rows.
+BUCKET_ROWS = 100_000
 
 
-def join_same(df: DataFrame, other: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+def bucket_count(rows: int) -> int:
+    return max(1, min(ORDER_HASH_RANGE, math.ceil(rows / BUCKET_ROWS)))
+
+
+def join_same(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner equi join where null keys match null keys, keeping ``df``'s key columns."""
     renamed = other.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return df.join(F.broadcast(renamed) if small else renamed, cond).drop(*[f"_r_{k}" for k in keys])
+    return df.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
 
 
 def _bucket_offsets(df: DataFrame, by: Sequence[str], bucket: str, sums: Mapping[str, Column]) -> DataFrame:
-    """Per (group, bucket) the totals of all earlier buckets; at most ``BUCKETS`` + 1 rows a group."""
+    """Per (group, bucket) the totals of all earlier buckets; one row a group and bucket."""
     before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*by, bucket).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     return totals.select(
@@ -39,19 +45,20 @@ def bucketed_rank(df: DataFrame, id_col: str, by: Sequence[str] = (), out: str =
     The hash is uniform, so equal slices of its range are equal-sized buckets and no statistics are
     needed. A group holding a third of the rows is spread over all its buckets.
     """
-    width = ORDER_HASH_RANGE // BUCKETS + 1
+    width = ORDER_HASH_RANGE // bucket_count(df.count()) + 1
     df = df.withColumn("_h", order_hash(id_col)).withColumn("_b", F.floor(F.col("_h") / width).cast("int"))
     offsets = _bucket_offsets(df, by, "_b", {"_n": F.lit(1)})
     within = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h", id_col))
-    # Without groups the offsets are BUCKETS rows; with groups their number is the data's, so Spark decides.
-    return join_same(df, offsets, [*by, "_b"], small=not by).withColumn(out, (within + F.col("_before__n")).cast("bigint")).drop("_h", "_b", "_before__n")
+    return join_same(df, offsets, [*by, "_b"]).withColumn(out, (within + F.col("_before__n")).cast("bigint")).drop("_h", "_b", "_before__n")
 
 
-def _split_points(df: DataFrame, by: Sequence[str], order: Column) -> dict[tuple, list[float]]:
+def _split_points(df: DataFrame, by: Sequence[str], order: Column, buckets: int) -> dict[tuple, list[float]]:
     """Approximate quantiles of ``order`` per group. Fetched once, because both halves of a running
-    total must use exactly the same cut points. Size: groups x BUCKETS numbers."""
-    probs = [i / BUCKETS for i in range(1, BUCKETS)]
-    rows = df.groupBy(*by).agg(F.percentile_approx(order, probs, 1000).alias("_q")).collect()
+    total must use exactly the same cut points. Size: groups x buckets numbers."""
+    if buckets < 2:
+        return {}
+    probs = [i / buckets for i in range(1, buckets)]
+    rows = df.groupBy(*by).agg(F.percentile_approx(order, probs, max(1000, 20 * buckets)).alias("_q")).collect()
     return {tuple(r[b] for b in by): sorted(set(r["_q"] or [])) for r in rows}
 
 
@@ -69,7 +76,7 @@ def running_totals(
     if not stored:
         df = materialize(df, "ordered")
     key = (-F.col(order) if descending else F.col(order)).cast("double")
-    splits = _split_points(df, by, key)
+    splits = _split_points(df, by, key, bucket_count(df.count()))
     tag = F.concat_ws("\x01", *[F.col(b).cast("string") for b in by]) if by else F.lit("")
     bucket = F.lit(0)
     if splits:
@@ -82,8 +89,7 @@ def running_totals(
     offsets = _bucket_offsets(df, by, "_b", {n: F.col(c) for n, c in sums.items()})
     last = -1 if exclusive else 0
     inside = Window.partitionBy(*by, "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, last)
-    # The offsets hold at most (groups x BUCKETS) rows, a bound set by the caller's group list.
-    joined = join_same(df, offsets, [*by, "_b"], small=True)
+    joined = join_same(df, offsets, [*by, "_b"])
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_before_{n}")).alias(n) for n, c in sums.items()],
@@ -108,7 +114,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     n = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     hits = (
-        ranked.join(F.broadcast(n), "column")  # one row per profiled column
+        ranked.join(n, "column")  # one row per profiled column
         .withColumn("prob", F.explode(probs_col))
         .withColumn("pos", F.col("prob") * (F.col("n") - 1))
         .withColumn("lo_pos", F.floor("pos")).withColumn("hi_pos", F.ceil("pos"))

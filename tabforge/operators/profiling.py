@@ -173,10 +173,10 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Bias-corrected skewness per column; null under three values."""
+    """Bias-corrected skewness per column; null under three values, 0 for a constant column."""
     def corrected(c):
         n = F.count(c).cast("double")
-        return F.when(n > 2, F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
+        return F.when(n > 2, F.when(F.min(c) == F.max(c), F.lit(0.0)).otherwise(F.skewness(c)) * F.sqrt(n * (n - 1)) / (n - 2))
     wide = df.agg(*[corrected(col(c)).alias(c) for c in columns])
     return wide.unpivot([], [col(c) for c in columns], "column", "skew")
 
@@ -245,18 +245,25 @@ def _fixed_bins(df: DataFrame, x: Column, lo: float, width: float, bins: int) ->
 
 
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Quartiles and whiskers (extreme values within 1.5 interquartile ranges) and the outlier count."""
+    """Quartiles and whiskers (extreme values within 1.5 interquartile ranges) and the outlier count.
+
+    A column without values has null statistics and no outliers.
+    """
     q = {}
     for r in exact_quantiles(df, columns, [0.25, 0.5, 0.75]).collect():  # 3 rows per column
         q.setdefault(r["column"], {})[r["prob"]] = r["quantile"]
     cells = []
     for c in columns:
+        if c not in q:
+            nothing = F.max(F.lit(None).cast("double"))
+            cells.append(F.struct(*[nothing.alias(n) for n in ("q1", "median", "q3", "whisker_low", "whisker_high")], (F.count("*") * 0).alias("n_outliers")).alias(c))
+            continue
         q1, q2, q3 = (q[c][p] for p in (0.25, 0.5, 0.75))
         lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
         x = col(c).cast("double")
         inside = (x >= lo) & (x <= hi)
         cells.append(F.struct(
-            F.lit(q1).alias("q1"), F.lit(q2).alias("median"), F.lit(q3).alias("q3"),
+            *[F.max(F.lit(v)).alias(n) for n, v in (("q1", q1), ("median", q2), ("q3", q3))],  # aggregates: nullable for every column
             F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
             F.count_if(~inside).alias("n_outliers"),
         ).alias(c))

@@ -60,8 +60,8 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_len: int = 4)
     shuffle. Catalyst broadcasts the candidate table while it is under the size threshold and shuffles
     it otherwise. Support is over all baskets, the empty ones included.
     """
-    if not 1 <= max_len <= 4:
-        raise ValueError("max_len must be between 1 and 4")
+    if max_len < 1:
+        raise ValueError("max_len must be at least 1")
     folded = materialize(baskets.groupBy("items").agg(F.count("*").alias("w")), "baskets")
     n = folded.agg(F.sum("w")).first()[0] or 0
     schema = "items array<string>, size int, n bigint, support double"
@@ -79,14 +79,22 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_len: int = 4)
         pairs = slim.select(F.explode(_pairs(F.col("items"))).alias("items"), "w").groupBy("items").agg(F.sum("w").alias("n"))
         level = materialize(_support(pairs, n, min_support), "itemsets")
         found.append(level)
+    held_sets: dict[int, DataFrame] = {}  # by size: the sets of three and more items that each basket holds
     for k in range(3, max_len + 1):
         tails = _candidates(level, k).groupBy("prefix").agg(F.collect_list(F.struct("a", "b")).alias("tails"))
-        prefixes = F.transform("items", lambda x: F.array(x)) if k == 3 else _pairs(F.col("items"))
-        held = slim.filter(F.size("items") >= k).select("items", "w", F.explode(prefixes).alias("prefix")).join(tails, "prefix")
-        hits = held.select("prefix", "w", F.explode(F.filter(
+        if k < 5:
+            prefixes = F.transform("items", lambda x: F.array(x)) if k == 3 else _pairs(F.col("items"))
+            parents = slim.filter(F.size("items") >= k).select("items", "w", F.explode(prefixes).alias("prefix"))
+        else:
+            parents = held_sets.pop(k - 2).filter(F.size("items") >= k)
+        hits = parents.join(tails, "prefix").select("items", "prefix", "w", F.explode(F.filter(
             "tails", lambda t: F.array_contains(F.col("items"), t["a"]) & F.array_contains(F.col("items"), t["b"])
         )).alias("t"))
-        counts = hits.select(F.concat("prefix", F.array("t.a", "t.b")).alias("items"), "w").groupBy("items").agg(F.sum("w").alias("n"))
+        hits = hits.select(F.col("items").alias("basket"), F.concat("prefix", F.array("t.a", "t.b")).alias("items"), "w")
+        if k + 2 <= max_len:
+            hits = materialize(hits, "hits")
+            held_sets[k] = hits.select(F.col("basket").alias("items"), "w", F.col("items").alias("prefix"))
+        counts = hits.groupBy("items").agg(F.sum("w").alias("n"))
         level = materialize(_support(counts, n, min_support), "itemsets")
         found.append(level)
     return reduce(DataFrame.unionByName, found).select("items", F.size("items").alias("size"), "n", "support")

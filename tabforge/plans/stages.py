@@ -195,7 +195,7 @@ def classify(encoded: DataFrame, experiments: Sequence[X.Experiment] = tuple(X.C
     predictions, counts = X.cross_validate(encoded, KEY, LABEL, features, experiments, classify=True)
     folds = materialize(X.classification_folds(predictions), "folds")
     results = materialize(X.classification_summary(folds, counts), "results")
-    best = X.find_experiment(results.orderBy(F.desc("roc_auc"), "experiment").first()["experiment"], experiments, experiments[0].name)
+    best = X.find_experiment(results.orderBy(F.desc("roc_auc"), "experiment").first()["experiment"], experiments, "forest_100_balanced")
     scored = X.holdout_predictions(encoded, KEY, LABEL, features, [best], classify=True)
     threshold = evaluation.best_threshold(scored, "y", "score").first()["threshold"]
     out = {
@@ -216,11 +216,12 @@ def regress(encoded: DataFrame, experiments: Sequence[X.Experiment] = tuple(X.RE
     predictions, counts = X.cross_validate(encoded, KEY, TARGET, features, experiments, classify=False, family="discharge_disposition")
     folds = materialize(X.regression_folds(predictions), "folds")
     results = materialize(X.regression_summary(folds, counts), "results")
-    best = X.find_experiment(results.orderBy("mae", "experiment").first()["experiment"], experiments, experiments[0].name)
+    best = X.find_experiment(results.orderBy("mae", "experiment").first()["experiment"], experiments, "least_squares_all")
     scored = X.holdout_predictions(encoded, KEY, TARGET, features, [best], classify=False, family="discharge_disposition")
     shapes = [profiling.fixed_histogram(scored, c, 0.5, 1.0, 15).withColumn("series", F.lit(c)) for c in ("y", "pred")]
     out = {
-        "target": tables.target_summary(encoded, TARGET), "target_box": profiling.box_stats(encoded, [TARGET]),
+        "target": tables.target_summary(encoded, TARGET), "target_counts": tables.target_counts(encoded, TARGET), "target_box": profiling.box_stats(encoded, [TARGET]),
+        "importance": X.model_importance(encoded, KEY, TARGET, features, best, classify=False, family="discharge_disposition"),
         "regression_feature_rankings": _rankings(encoded, features, TARGET, False, trees), "regression_results": results,
         "holdout": evaluation.regression_metrics(scored, "y", "pred", ["experiment"]), "errors": evaluation.error_summary(scored, "y", "pred"),
         "residual_histogram": profiling.histogram(evaluation.residuals(scored, "y", "pred"), "residual", 50),

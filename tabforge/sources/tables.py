@@ -39,9 +39,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def column_reference(df: DataFrame) -> DataFrame:
-    """Name and type of every column, in order: schema metadata, so the only rows are the columns."""
-    rows = [(i, name, dtype) for i, (name, dtype) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string")
+    """Name, type and number of values of every column, in order."""
+    cells = [F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"), F.lit(dtype).alias("dtype"), F.count(F.col(f"`{name}`")).alias("n_values"))
+             for i, (name, dtype) in enumerate(df.dtypes)]
+    return df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
 
 
 def flag_columns(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -63,9 +64,18 @@ def as_flags(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def target_summary(df: DataFrame, target: str) -> DataFrame:
-    """Mean, population deviation, minimum and maximum of a numeric target."""
+    """Count, mean, median, population deviation, minimum and maximum of a numeric target."""
+    from tabforge.operators.ordering import exact_quantiles
+
     y = F.col(target).cast("double")
+    median = exact_quantiles(df, [target], [0.5]).agg(F.max("quantile")).scalar()
     return df.agg(
         F.count(y).alias("n"), F.avg(y).alias("mean"), F.stddev_pop(y).alias("std"),
         F.min(y).alias("min"), F.max(y).alias("max"),
-    )
+    ).withColumn("median", median)
+
+
+def target_counts(df: DataFrame, target: str) -> DataFrame:
+    """(value, n) of the target's whole parts in order of the value; nulls are left out."""
+    value = F.col(target).cast("double").cast("long")
+    return df.filter(F.col(target).isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("n")).orderBy("value")
