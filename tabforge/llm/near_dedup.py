@@ -4,10 +4,12 @@ Each distinct set of five-word shingles gets one signature: one hash throws its
 smallest of each bin stands for it, and empty bins borrow from bins that a second hash names (optimal
 densification). Bands of the signature are bucket keys.
 
-1. Star: in every bucket each member is paired with the smallest one only, so a bucket of any size gives
-   as many pairs as members. Pairs are confirmed on the full sets, and components formed.
+1. Star: the centre of a bucket is its smallest member; each document is paired with the two centres it
+   shares most buckets with, so there are at most two pairs a document, whatever the size of a bucket.
+   Pairs are confirmed on the full sets, and components formed.
 2. The rest: members of a bucket that still lie in different components are compared by signature, and
-   likely pairs confirmed likewise. Pairs within a component can't change the result and aren't formed.
+   where that says likely, on the full sets, inside one task for each pair of chunks of the bucket. Pairs
+   within a component can't change the result; no pair travels.
 
 A link is only ever made by exact intersection and union sizes of full sets.
 """
@@ -31,10 +33,14 @@ SHINGLE_WORDS = 5
 #: Bands times rows is the number of bins. At similarity 0.75 all bands miss a pair with probability 3e-7.
 BANDS, BAND_ROWS = 40, 4
 BINS = BANDS * BAND_ROWS
-#: A pair of larger sets is likely when its signatures agree on this share of the bins, five deviations below 0.75.
-LIKELY, SMALL_SET = 0.58, 64
+#: A pair is likely when its signatures agree on this share of the bins, five deviations below 0.75.
+LIKELY = 0.58
+#: Signatures of smaller sets say little: such pairs are always compared.
+SMALL_SET = 64
+#: Centres that a member is first compared with.
+STAR_CENTRES = 2
 #: Members of one bucket, and of one side of a star, that meet in one place.
-CHUNK_ROWS = 1024
+CHUNK_ROWS = 512
 STAR_ROWS = 256
 #: Ids up to which the texts to be confirmed are picked by a broadcast; beyond, by a shuffled join.
 BROADCAST_IDS = 400_000
@@ -134,24 +140,29 @@ def _may_link(n_a: np.ndarray, n_b: np.ndarray, agree: np.ndarray) -> np.ndarray
 def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b) of the pairs, given with both sizes and signatures, that may link."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         a, b, n_a, n_b = (np.asarray(batch.column(i)) for i in range(4))
-        agree = (_matrix(batch.column(4)) == _matrix(batch.column(5))).mean(axis=1) if batch.num_rows else np.zeros(0)
-        keep = _may_link(n_a, n_b, agree)
+        keep = _may_link(n_a, n_b, (_matrix(batch.column(4)) == _matrix(batch.column(5))).mean(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
 
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents with these ids; the ids are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond."""
+    ids = materialize(ids, "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= 75 * union; ``docs`` has id and text.
 
     ``a`` is a star's centre. Its text goes once to each group of up to about ``STAR_ROWS`` of its partners.
     """
     pairs = materialize(pairs.distinct(), "pairs")
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_ROWS).alias("parts"))
     members = pairs.join(groups, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     centres = groups.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
@@ -186,35 +197,85 @@ def _similar(one: np.ndarray, other: np.ndarray) -> bool:
     return 100 * both >= 75 * (len(one) + len(other) - both)
 
 
-def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs across components; rows come sorted by (key, left, right), ``other`` first: each other meets each member."""
-    carried: pa.RecordBatch | None = None
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Whole groups of rows that come sorted by their first ``keys`` columns."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        if carried is not None:
-            batch = pa.Table.from_batches([carried, batch]).combine_chunks().to_batches()[0]
-        keys = np.stack([np.asarray(batch.column(i)) for i in range(3)])
-        change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        last = int(change[-1]) if len(change) else 0
-        yield _pairs_of(batch.slice(0, last), change[:-1] if len(change) else change)
-        carried = batch.slice(last)
-    if carried is not None and carried.num_rows:
-        yield _pairs_of(carried, np.zeros(0, np.int64))
-
-
-def _pairs_of(batch: pa.RecordBatch, change: np.ndarray) -> pa.RecordBatch:
-    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if batch.num_rows:
-        other, ids, root, n = (np.asarray(batch.column(i)) for i in (3, 4, 5, 6))
-        signature = _matrix(batch.column(7))
-        for start, end in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
-            split = start + int(other[start:end].sum())
-            for i in range(start, split):
-                rest = np.arange(split, end)
-                rest = rest[(root[rest] != root[i]) & (ids[rest] != ids[i])]
-                rest = rest[_may_link(n[rest], np.full(len(rest), n[i]), (signature[rest] == signature[i]).mean(axis=1))] if len(rest) else rest
-                out_a.append(np.minimum(ids[rest], ids[i]))
-                out_b.append(np.maximum(ids[rest], ids[i]))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+        if not batch.num_rows:
+            continue
+        key = np.stack([np.asarray(batch.column(i)) for i in range(keys)])
+        starts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(starts, starts[1:]):
+            if held and last != key[:, start].tolist():
+                yield _one(held)
+                held = []
+            last = key[:, start].tolist()
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield _one(held)
+
+
+def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def _group_pairs(key: int, other: np.ndarray, ids: np.ndarray, root: np.ndarray, n: np.ndarray, signature: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(row of an other, rows of the members it has to be compared with) in a bucket's pair of chunks.
+
+    A pair that shares several buckets is compared in the one of its first common band.
+    """
+    bands = band_keys(signature).view(np.int64)
+    members = np.flatnonzero(other == 0)
+    for i in np.flatnonzero(other == 1).tolist():
+        rest = members[(root[members] != root[i]) & (ids[members] != ids[i])]
+        if len(rest):
+            common = bands[rest] == bands[i]
+            here = bands[i][common.argmax(axis=1)] == key
+            rest = rest[here]
+            rest = rest[_may_link(n[rest], np.full(len(rest), n[i]), (signature[rest] == signature[i]).mean(axis=1))]
+        if len(rest):
+            yield i, rest
+
+
+OPEN = T.StructType([*[T.StructField(c, T.LongType()) for c in ("key", "left", "right")], T.StructField("other", T.IntegerType()), T.StructField("id", T.LongType()), T.StructField("root", T.LongType())])
+
+
+def _open_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a bucket's pair of chunks that take part in a comparison."""
+    out: list[pa.RecordBatch] = []
+    size = 0
+    for group in _grouped(batches, 3):
+        other, ids, root, n = (np.asarray(group.column(i)) for i in (3, 4, 5, 6))
+        used = np.zeros(group.num_rows, bool)
+        if other.any() and not other.all():
+            for i, rest in _group_pairs(int(group.column(0)[0].as_py()), other, ids, root, n, _matrix(group.column(7))):
+                used[i] = True
+                used[rest] = True
+        if used.any():
+            out.append(group.select(OPEN.names).filter(pa.array(used)))
+            size += out[-1].num_rows
+        if size > 10_000:
+            yield _one(out)
+            out, size = [], 0
+    if out:
+        yield _one(out)
+
+
+def _open_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the rows of a bucket's pair of chunks, now with their texts."""
+    for group in _grouped(batches, 3):
+        hashes, bounds = shingle_sets(*byte_column(group.column(6)))
+        full = np.flatnonzero(np.diff(bounds))  # an id of several texts may bring an empty one
+        group = group.take(pa.array(full))
+        sets = [hashes[bounds[i] : bounds[i + 1]] for i in full.tolist()]
+        other, ids, root = (np.asarray(group.column(i)) for i in (3, 4, 5))
+        found: list[tuple[int, int]] = []
+        if len(full):
+            signature = signatures(hashes, np.append(bounds[:-1][full], bounds[-1]))
+            for i, rest in _group_pairs(int(group.column(0)[0].as_py()), other, ids, root, np.array([len(s) for s in sets]), signature):
+                found += [(min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))) for j in rest.tolist() if _similar(sets[i], sets[j])]
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
 
 def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -224,9 +285,15 @@ def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _star_pairs(keys: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs of a bucket's smallest member (a) and each other member (b)."""
+    """Likely pairs of a bucket's smallest member (a) and another member (b).
+
+    A member takes the centres it shares most buckets with, ``STAR_CENTRES`` of them (ties: the smaller
+    id); what they don't connect, ``_rest_pairs`` compares.
+    """
     centres = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z").select("key", "a")
-    pairs = keys.join(centres, "key").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    shared = keys.join(centres, "key").filter("id <> a").groupBy(F.col("id").alias("b"), "a").agg(F.count("*").alias("n"))
+    ranked = shared.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "a"))), 1, STAR_CENTRES).alias("top"))
+    pairs = ranked.select("b", F.explode("top").alias("t")).select(F.col("t.a").alias("a"), "b")
     return _with_sketches(pairs, nodes).mapInArrow(_likely_pairs, PAIR)
 
 
@@ -236,11 +303,12 @@ def _with_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
 
-def _rest_pairs(keys: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Likely pairs of a bucket's members that lie in different components.
+def _rest_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between a bucket's members that lie in different components.
 
     Members outside the bucket's largest component (the others) meet all members; both sides are cut
-    into chunks, so a task sees one pair of chunks of a bucket of any size.
+    into chunks, so a task sees one pair of chunks of a bucket of any size. Signatures tell who may link
+    with whom; the texts of those rows, and no pairs, are then sent to be compared.
     """
     placed = keys.join(roots, "id")
     counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
@@ -254,8 +322,10 @@ def _rest_pairs(keys: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFram
     members = rows.select("key", spread("lefts").alias("left"), F.pmod(F.xxhash64("id"), F.col("rights")).alias("right"), F.lit(0).alias("other"), "id", "root")
     others = rows.filter("root <> main").select("key", F.pmod(F.xxhash64("id"), F.col("lefts")).alias("left"), spread("rights").alias("right"), F.lit(1).alias("other"), "id", "root")
     met = members.unionByName(others).join(nodes, "id").select("key", "left", "right", "other", "id", "root", "n", "signature")
-    met = met.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", F.desc("other"))
-    return met.mapInArrow(_open_pairs, PAIR)
+    met = met.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    rows = materialize(met.mapInArrow(_open_rows, OPEN), "open")
+    texts = _texts_of(rows.select("id").distinct(), docs)
+    return rows.join(texts, "id").select(*OPEN.names, "text").repartition("key", "left", "right").sortWithinPartitions("key", "left", "right").mapInArrow(_open_links, PAIR)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,7 +351,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = members.groupBy("id").agg(F.min("rep").alias("a"))
     several = members.select("id", "rep").join(least, "id").filter("rep <> a").select("a", F.col("rep").alias("b"))
     roots = _roots(nodes.select("id").distinct(), star.unionByName(several))
-    rest = _confirmed(_rest_pairs(keys, nodes, roots), texts)
+    rest = _rest_links(keys, nodes, roots, texts)
     ends = rest.join(roots.select(F.col("id").alias("a"), F.col("root").alias("r")), "a").join(roots.select(F.col("id").alias("b"), F.col("root").alias("s")), "b")
     joined = ends.filter("r <> s").select(F.least("r", "s").alias("a"), F.greatest("r", "s").alias("b"))
     merged = _roots(roots.select(F.col("root").alias("id")).distinct(), joined)
