@@ -109,7 +109,7 @@ def test_folds_partition_and_keep_class_shares(spark):
         s = [sizes[(y, f)] for f in range(5)]
         assert max(s) - min(s) <= 1
     split = folds.holdout(df, "id", 0.2, "y").groupBy("y").agg(F.sum("is_test").alias("t")).collect()
-    assert {r.y: r.t for r in split} == {0: 15, 1: 5}
+    assert {r.y: r.t for r in split} == {0: 16, 1: 6}  # a fifth of 77 and of 26, rounded up
 
 
 def test_profiles_on_empty_input(spark):
