@@ -166,8 +166,8 @@ SELECT eps, min_samples, n_clusters, n_noise, round_even(n_noise / (SELECT count
 def eps_grid(spark, sf):
     """The whole grid in shared passes. The radii span the 5-NN distances of these vectors."""
     labelled, grid = _grid(spark, sf, EPS, MIN_SAMPLES)
-    sizes = density.grid_report(materialize(labelled, "labels"), grid)
-    return sizes.select("eps", "min_samples", "n_clusters", "n_noise", "noise_pct")
+    sizes = density.grid_sizes(labelled, grid)
+    return sizes.select("eps", "min_samples", "n_clusters", "n_noise", F.bround("pct", 1).alias("noise_pct"))
 
 
 @query("eps_grid_scores")

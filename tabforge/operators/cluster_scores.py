@@ -71,6 +71,34 @@ def davies_bouldin(points: DataFrame, stats: DataFrame) -> DataFrame:
     return each.select("run", F.array_max(ratios).alias("worst")).groupBy("run").agg(F.avg("worst").alias("davies_bouldin"))
 
 
+def _silhouettes(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+    """Silhouette of every left row and run against the whole sample on the right."""
+    out = {"run": [], "s": [], "n_labels": []}
+    if not l.empty and not r.empty:
+        d = np.sqrt(square_distances(stack(l["vec"]), stack(r["rvec"])))
+        mine, theirs = np.stack(l["labels"].to_numpy()), np.stack(r["rlabels"].to_numpy())
+        for run in range(theirs.shape[1]):
+            names, code = np.unique(theirs[:, run], return_inverse=True)
+            size = np.bincount(code, minlength=len(names)).astype(float)
+            order = np.argsort(code, kind="stable")
+            starts = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(int)
+            sums = np.add.reduceat(d[:, order], starts, axis=1)
+            own = np.searchsorted(names, mine[:, run])
+            rows = np.arange(len(l))
+            own_size = size[own]
+            a = sums[rows, own] / np.maximum(own_size - 1, 1)
+            means = sums / size
+            means[rows, own] = np.inf
+            b = means.min(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                s = np.where((own_size > 1) & np.isfinite(b), (b - a) / np.maximum(a, b), 0.0)
+            out["run"].append(np.full(len(l), run))
+            out["s"].append(np.nan_to_num(s))
+            out["n_labels"].append(np.full(len(l), len(names)))
+    flat = {k: np.concatenate(v) if v else [] for k, v in out.items()}
+    return pd.DataFrame(flat).astype({"run": "int32", "s": "float64", "n_labels": "int32"})
+
+
 def _distance_sums(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
     """Per left row, run and label of the right block: summed distances and rows."""
     out = []
@@ -108,11 +136,17 @@ def _exact_silhouette(points: DataFrame) -> DataFrame:
 def silhouette(points: DataFrame, sample: int | None = SAMPLE_ROWS) -> DataFrame:
     """(run, silhouette): mean Euclidean silhouette over the first ``sample`` rows in hash order, or over all with None.
 
-    Null where the rows hold fewer than two labels, or only singletons.
+    A sample is compared with itself as one right-hand block, so its size, the caller's choice, bounds a
+    task; over all rows, both sides are cut into blocks and per-label sums leave a task, one for each row,
+    run and label. Null where the rows hold fewer than two labels, or only singletons.
     """
     if sample is None:
         return _exact_silhouette(points)
-    return _exact_silhouette(points.orderBy(order_hash("id"), "id").limit(sample))
+    drawn = materialize(points.orderBy(order_hash("id"), "id").limit(sample).withColumn("cell", F.lit(0)), "sample")
+    right = drawn.select(F.col("id").alias("rid"), F.col("vec").alias("rvec"), F.col("labels").alias("rlabels"), "cell")
+    per_row = block_pairs(drawn, right, "id", "rid", 1, [1], _silhouettes, "run int, s double, n_labels int", left_counts=[sample])
+    k, n = F.max("n_labels"), F.count("*")
+    return per_row.groupBy("run").agg(F.when((k > 1) & (k < n), F.avg("s")).alias("silhouette"))
 
 
 def score_clusterings(df: DataFrame, id_col: str, features: Sequence[str], label_cols: Sequence[str], sample: int | None = SAMPLE_ROWS) -> DataFrame:
