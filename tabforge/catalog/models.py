@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tabforge.catalog.registry import query
 from tabforge.operators import evaluation as V
 from tabforge.operators import experiments as X
