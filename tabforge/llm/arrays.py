@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,19 @@ U64 = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):  # another C library
+    _trim = None
+
+
+def release() -> None:
+    """Hand freed memory back to the system: Python workers stay alive between tasks, beside an executor that needs it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary array; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -46,6 +60,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 2
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+    release()
 
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -98,7 +113,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i up to n; kept up to a few MB per worker process."""
+    """base**i and base**-i for i up to n; kept up to 16 MB per base and worker process."""
     up, down = _powers.get(base, (None, None))
     if up is None or len(up) <= n:
         size = max(n + 1, 1 << 16)
@@ -106,7 +121,7 @@ def _powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up[0] = down[0] = 1
         np.multiply.accumulate(up, out=up)
         np.multiply.accumulate(down, out=down)
-        if size <= 8 << 20:
+        if size <= 1 << 20:
             _powers[base] = (up, down)
     return up, down
 

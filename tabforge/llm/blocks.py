@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -17,24 +18,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.llm.arrays import byte_column
+from tabforge.llm.arrays import byte_column, release
 
 #: Bytes of text in a block, on average; a longer text is a block's alone or shares it.
 BLOCK_BYTES = 3 << 20
+#: A bucket holds about the keys of so many blocks.
+BLOCKS_PER_BUCKET = 4
 #: Stands for a null id: after all others. Equal ids are one document.
 NO_ID = (1 << 63) - 1
 
 PACKED = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("block", T.LongType()), T.StructField("payload", T.BinaryType())])
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, total: int | None = None, more: tuple[Column, ...] = ()) -> tuple[DataFrame, int]:
-    """(block, id, text, more) of every row, dealt out by block, and the number of blocks, which grows with the ``total`` bytes of text."""
+class Deal(NamedTuple):
+    """Documents by block, and how they and their keys are dealt out.
+
+    Blocks and buckets grow with the text and bound what a task holds at a time; the partitions, each of
+    which works through its blocks or buckets one after the other, are those of the session.
+    """
+
+    rows: DataFrame
+    n_blocks: int
+    n_buckets: int
+    partitions: int
+
+
+def dealt(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, total: int | None = None, more: tuple[Column, ...] = ()) -> Deal:
+    """(block, id, text, more) of every row, dealt out by block; the number of blocks follows from the ``total`` bytes of text."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"), *more)
     if total is None:
         total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = F.pmod(F.xxhash64("id"), F.lit(n))
-    return rows.select(block.alias("block"), *rows.columns).repartition(n, "block"), n
+    return Deal(rows.select(block.alias("block"), *rows.columns).repartition(partitions, "block"), n, max(-(-n // BLOCKS_PER_BUCKET), min(n, 32)), partitions)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -93,16 +110,21 @@ def packed_rows(block: int, bucket: np.ndarray, n_buckets: int, columns: list[np
     return pa.table([pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64()), pa.array(payloads, pa.binary())], names=PACKED.names)
 
 
-def reduced(sent: DataFrame, n_buckets: int, answer: Callable[[list[list[np.ndarray]]], list[bytes | None]]) -> DataFrame:
+def by_bucket(sent: DataFrame, deal: Deal) -> DataFrame:
+    return sent.repartition(deal.partitions, "bucket")
+
+
+def reduced(sent: DataFrame, deal: Deal, answer: Callable[[list[list[np.ndarray]]], list[bytes | None]]) -> DataFrame:
     """(bucket, block, payload) answers: ``answer`` sees the payloads of one bucket and replies to each, or not."""
 
     def run(table: pa.Table) -> pa.Table:
         replies = answer([unpack(p.as_py()) for p in table.column("payload")])
         keep = [i for i, r in enumerate(replies) if r is not None]
         kept = table.take(pa.array(keep, pa.int64()))
+        release()
         return pa.table([kept.column("bucket"), kept.column("block"), pa.array([replies[i] for i in keep], pa.binary())], names=PACKED.names)
 
-    return sent.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(run, PACKED)
+    return by_bucket(sent, deal).groupBy("bucket").applyInArrow(run, PACKED)
 
 
 def joined(records: list[list[np.ndarray]], column: int, kind=None) -> np.ndarray:
@@ -124,14 +146,21 @@ def replies_by_bucket(table: pa.Table) -> dict[int, list[np.ndarray]]:
     return {b: unpack(p) for b, p in zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist())}
 
 
-def each_block(blocked: DataFrame, fn: Callable[[Block], pa.Table], schema: T.StructType) -> DataFrame:
-    return blocked.groupBy("block").applyInArrow(lambda table: fn(Block(table)), schema)
+def each_block(deal: Deal, fn: Callable[[Block], pa.Table], schema: T.StructType) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        out = fn(Block(table))
+        release()
+        return out
+
+    return deal.rows.groupBy("block").applyInArrow(run, schema)
 
 
-def with_replies(blocked: DataFrame, replies: DataFrame, fn: Callable[[Block, pa.Table], Iterator[pa.Table] | pa.Table], schema: T.StructType) -> DataFrame:
+def with_replies(deal: Deal, replies: DataFrame, fn: Callable[[Block, pa.Table], Iterator[pa.Table] | pa.Table], schema: T.StructType) -> DataFrame:
     """``fn`` sees each block with the answers to it."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return fn(Block(left), right)
+        out = fn(Block(left), right)
+        release()
+        return out
 
-    return blocked.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+    return deal.rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)

@@ -133,11 +133,6 @@ def _longest(position: np.ndarray, suffix: np.ndarray, text: np.ndarray, tests:
     return text[head], item[head], position[head], size[head]
 
 
-def _lists(values: list[pa.Array], names: list[str], rows: np.ndarray, n: int) -> pa.Array:
-    offsets = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, names))
-
-
 def _blocks(tests: DataFrame, item_col: str, text_col: str, block_bytes: int):
     """The items, block by block; each reaches the driver alone and holds about ``block_bytes`` of text."""
     items = tests.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).filter("i is not null and t is not null")

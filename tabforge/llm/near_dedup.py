@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.llm.arrays import BASES, U64, Rolling, byte_column, cut_words, lowered, mixed, ranges, text_slices
+from tabforge.llm.arrays import BASES, U64, Rolling, byte_column, cut_words, lowered, mixed, ranges, release, text_slices
 from tabforge.llm.window_dedup import WORD_BYTES
 from tabforge.operators.components import connected_components
 from tabforge.session import materialize
@@ -214,6 +214,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Record
             held.append(batch.slice(start, end - start))
     if held:
         yield _one(held)
+    release()
 
 
 def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -331,9 +331,10 @@ def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
 
 
 def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, block_bytes: int, many_phrases: int, more: tuple) -> DataFrame:
-    blocked, n = dealt(docs, id_col, text_col, block_bytes, more=more)
-    first = reduced(each_block(blocked, _send_phrases(n, length), PACKED), n, _judge_phrases(many_phrases))
-    second = reduced(with_replies(blocked, first, _send_questions(n, length), PACKED), n, _answer_questions(length))
+    deal = dealt(docs, id_col, text_col, block_bytes, more=more)
+    n = deal.n_buckets
+    first = reduced(each_block(deal, _send_phrases(n, length), PACKED), deal, _judge_phrases(many_phrases))
+    second = reduced(with_replies(deal, first, _send_questions(n, length), PACKED), deal, _answer_questions(length))
     replies = first.unionByName(second.withColumn("bucket", F.col("bucket") + n))
-    result = T.StructType([*RESULT.fields, *[f for f in blocked.schema if f.name == "row"]])
-    return with_replies(blocked, replies, _finish(n, length, bool(more)), result)
+    result = T.StructType([*RESULT.fields, *[f for f in deal.rows.schema if f.name == "row"]])
+    return with_replies(deal, replies, _finish(n, length, bool(more)), result)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.llm.arrays import BASES, U64, Rolling, byte_column, cut_words, lowered, mixed, text_slices
-from tabforge.llm.blocks import BLOCK_BYTES, NO_ID, PACKED, Block, dealt, each_block, joined, pack, reduced, replies_by_bucket, smallest, unpack, with_replies
+from tabforge.llm.blocks import BLOCK_BYTES, NO_ID, PACKED, Block, by_bucket, dealt, each_block, joined, pack, reduced, replies_by_bucket, smallest, unpack, with_replies
 from tabforge.llm.window_dedup import WORD_BYTES
 
 END = U64(0x2F0B4C47A5D1)
@@ -367,19 +367,20 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     """
     more = (held_out.alias("held_out"), (~held_out).alias("learn"))
     size, n_tokens = _measure(docs.select(F.col(text_col).cast("string").alias("text"), (~held_out).alias("learn")))
-    blocked, n = dealt(docs, id_col, text_col, block_bytes, size, more)
+    deal = dealt(docs, id_col, text_col, block_bytes, size, more)
+    n = deal.n_buckets
     model = Model(n_tokens, n, least_share, spread_share, least_gain, DEPTH)
-    sent = each_block(blocked, lambda block: Words(Tokens(block), n).sent(), PACKED).repartition(n, "bucket")
+    sent = by_bucket(each_block(deal, lambda block: Words(Tokens(block), n).sent(), PACKED), deal)
     vocabulary = _vocabulary(sent)
-    told = reduced(sent, n, _add_words)
+    told = reduced(sent, deal, _add_words)
     for depth in range(1, DEPTH + 1):
         def send(block: Block, replies: pa.Table, depth: int = depth) -> pa.Table:
             return _walk(block, Answers(replies, n), model, depth).sent()
 
-        pairs = with_replies(blocked, told, send, PACKED).repartition(n, "bucket")
-        answer = reduced(pairs, n, _add_pairs(model, wide=False)).withColumn("bucket", F.col("bucket") + depth * n)
-        told = told.unionByName(answer).unionByName(_wide_states(pairs, model, depth, n))
-    found = with_replies(blocked, told, _scored(model), RESULT).crossJoin(F.broadcast(vocabulary))  # one row
+        pairs = by_bucket(with_replies(deal, told, send, PACKED), deal)
+        answer = reduced(pairs, deal, _add_pairs(model, wide=False)).withColumn("bucket", F.col("bucket") + depth * n)
+        told = told.unionByName(answer).unionByName(_wide_states(pairs, model, depth, deal.n_blocks))
+    found = with_replies(deal, told, _scored(model), RESULT).crossJoin(F.broadcast(vocabulary))  # one row
     scale = F.log10(F.lit(float(n_tokens)) + 0.1 * (F.col("v") + 1))
     return found.select("id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"),
                         (F.col("known_sum") - F.col("n_tokens") * scale).alias("base_score"), "score")

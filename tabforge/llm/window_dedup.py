@@ -194,8 +194,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     fewer words has no window. Rows with one id are one document, each with its own result; a row with a
     null id comes after all others and never makes another lose words.
     """
-    blocked, n = dealt(docs, id_col, text_col, block_bytes)
-    first = reduced(each_block(blocked, _send_cores(n, length), PACKED), n, _judge_cores)
-    second = reduced(with_replies(blocked, first, _send_windows(n, length), PACKED), n, _judge_windows)
+    deal = dealt(docs, id_col, text_col, block_bytes)
+    n = deal.n_buckets
+    first = reduced(each_block(deal, _send_cores(n, length), PACKED), deal, _judge_cores)
+    second = reduced(with_replies(deal, first, _send_windows(n, length), PACKED), deal, _judge_windows)
     replies = first.unionByName(second.withColumn("bucket", F.col("bucket") + n))
-    return with_replies(blocked, replies, _finish(n, length), RESULT)
+    return with_replies(deal, replies, _finish(n, length), RESULT)
