@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,9 @@ from pyspark.sql import types as T
 from tabforge.llm.arrays import byte_column, ranges, text_slices
 
 NONE = np.int64(1) << np.int64(62)
-CACHED_PIECES = 200_000
+CACHED_PIECES = 100_000
+#: Bytes of text or ids that a task works on at a time.
+SLICE_BYTES = 2 << 20
 #: First bytes of the code points above ASCII that can be white space.
 WIDE_SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 
@@ -51,21 +55,27 @@ class Codec:
         self.token_starts, self.token_lengths = np.cumsum(lengths) - lengths, lengths
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
-        pairs = {}
+        self.size = size
+        self.cache: dict[bytes, bytes] = {}
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(left token and right token as one key, ascending; rank of the token they make); decoding needs none of it."""
+        keys, ranks = array("q"), array("q")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left * size + right] = rank
-        self.size = size
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
-        self.cache: dict[bytes, bytes] = {}
+                    keys.append(left * self.size + right)
+                    ranks.append(rank)
+        order = np.argsort(np.array(keys))
+        return np.array(keys)[order], np.array(ranks)[order]
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
+        known, ranks = self.pairs
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, ranks[at], NONE)
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of every piece; pieces are grouped by the power of two that holds their bytes."""
@@ -214,7 +224,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(vocabulary, pattern)
-        for part in text_slices(batches, "_text"):
+        for part in text_slices(batches, "_text", SLICE_BYTES):
             ids, counts = codec.encode_texts(*byte_column(part.column(len(own))))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(own)], _binary(ids, counts), pa.array(counts)], names=[*own, "ids", "n_tokens"])
 
@@ -229,7 +239,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(vocabulary, pattern)
-        for part in text_slices(batches, ids_col):
+        for part in text_slices(batches, ids_col, SLICE_BYTES):
             raw, offsets = byte_column(part.column(part.schema.get_field_index(ids_col)))
             decoded, counts = codec.decode(raw.view("<u4").astype(np.int64), offsets // 4)
             yield pa.RecordBatch.from_arrays([*part.columns, _binary(decoded, counts)], names=[*part.schema.names, to])
