@@ -1,15 +1,13 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-The root is the word distribution; a context of one or two words is a candidate when its share of the
-training tokens is at least ``least_share``, which bounds the tree, and stays when its next-word
-distribution diverges from that of its suffix: the log-likelihood gain must exceed one nat per
-different next word and ``least_gain`` nats per occurrence. A state mixes its own counts with its
+The root is the word distribution; a context of up to ``depth`` words is a candidate when the training
+tokens hold it ``least_count`` times, at any size of the corpus, and stays when its next-word distribution diverges from that of its suffix: the log-likelihood gain must exceed one nat per different next word and ``least_gain`` nats per occurrence. A state mixes its own counts with its
 suffix's distribution (Witten-Bell), and each token is scored in the longest state that its past ends in.
 
 Counts come from the whole corpus: blocks of documents send their distinct words, then the distinct
 (context, word) pairs of candidates, to buckets that add them up, test the contexts and answer with the
 totals. A context too frequent for one bucket is spread over all by its next word, and its sums are added.
-Words are known by 48-bit hashes, the words after one context by 32 bits.
+Words are known by 48-bit hashes, contexts by 64 bits, the words after one context by 40 bits.
 """
 
 from __future__ import annotations
@@ -23,14 +21,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.llm.arrays import BASES, U64, Rolling, byte_column, cut_words, lowered, mixed, text_slices
-from tabforge.llm.blocks import BLOCK_BYTES, NO_ID, PACKED, Block, by_bucket, dealt, each_block, joined, pack, reduced, replies_by_bucket, smallest, unpack, with_replies
+from tabforge.llm.blocks import BLOCK_BYTES, NO_ID, PACKED, Block, by_bucket, dealt, each_block, groups, joined, pack, reduced, replies_by_bucket, smallest, unpack, with_replies
 from tabforge.llm.window_dedup import WORD_BYTES
 
 END = U64(0x2F0B4C47A5D1)
-#: A candidate's least share of the training tokens; from ``SPREAD_SHARE`` on its pairs are spread over the buckets.
-LEAST_SHARE, SPREAD_SHARE = 5e-5, 5e-4
+#: A candidate's least occurrences in the training tokens.
+LEAST_COUNT = 2
+#: Share of the training tokens from which on a context's pairs are spread over the buckets.
+SPREAD_SHARE = 5e-4
 #: Nats per occurrence that a context must gain over its suffix.
 LEAST_GAIN = 0.02
+#: Words of the longest context, where the caller names no other number.
 DEPTH = 2
 
 
@@ -91,6 +92,10 @@ def _bucket(key: np.ndarray, n_buckets: int) -> np.ndarray:
     return (mixed(key) % U64(n_buckets)).astype(np.int64)
 
 
+def _split40(key: np.ndarray) -> list[np.ndarray]:
+    return [(key >> U64(8)).astype(np.uint32), (key & U64(0xFF)).astype(np.uint8)]
+
+
 def _split48(key: np.ndarray) -> list[np.ndarray]:
     return [(key >> U64(16)).astype(np.uint32), (key & U64(0xFFFF)).astype(np.uint16)]
 
@@ -154,9 +159,10 @@ def _vocabulary(sent: DataFrame) -> DataFrame:
 class Model:
     """Sizes that every step shares."""
 
-    def __init__(self, n_tokens: int, n_buckets: int, least_share: float, spread_share: float, least_gain: float, depth: int):
+    def __init__(self, n_tokens: int, n_buckets: int, least_count: int, least_share: float, spread_share: float, least_gain: float, depth: int):
         self.n_tokens, self.n_buckets, self.least_gain, self.depth = n_tokens, n_buckets, least_gain, depth
-        self.least, self.spread = max(2.0, least_share * n_tokens), max(2.0, spread_share * n_tokens)
+        self.least = max(least_count, least_share * n_tokens)
+        self.spread = max(2.0, self.least, spread_share * n_tokens)
 
 
 class Level:
@@ -167,16 +173,16 @@ class Level:
         self.tokens, self.model, self.depth = tokens, model, depth
         self.at = np.flatnonzero(there & (context_count >= model.least))
         self.context, self.context_count = context[self.at], context_count[self.at]
-        pair = mixed(self.context ^ (tokens.word[self.at] * U64(0xC2B2AE3D27D4EB4F))) >> U64(32)
-        self.key, self.suffix = _pair_key(self.context, pair), suffix[self.at]
+        self.pair = mixed(self.context ^ (tokens.word[self.at] * U64(0xC2B2AE3D27D4EB4F))) >> U64(24)
+        self.suffix = suffix[self.at]
         wide = self.context_count >= model.spread
-        bucket = _bucket(np.where(wide, self.key, self.context), model.n_buckets)
-        self.distinct = Distinct(model.n_buckets, bucket, self.key)
+        bucket = _bucket(np.where(wide, self.pair, self.context), model.n_buckets)
+        self.distinct = Distinct(model.n_buckets, bucket, _pair_key(*np.unique(self.context, return_inverse=True), self.pair))
         self.local = self.distinct.counted(tokens.learned[self.at])
 
     def sent(self) -> pa.Table:
         d = self.distinct
-        context, count, pair = self.context[d.one], self.context_count[d.one], self.key[d.one].astype(np.uint32)
+        context, count, pair = self.context[d.one], self.context_count[d.one], self.pair[d.one]
         surprise = np.clip(np.rint(-8 * np.log2(self.suffix[d.one])), 0, 255).astype(np.uint8)
         buckets, payloads = [], []
         for b in np.flatnonzero(np.diff(d.bounds)).tolist():
@@ -184,7 +190,7 @@ class Level:
             head = _heads(context[part])
             sizes = np.diff(np.append(head, part.stop - part.start))
             buckets.append(b)
-            payloads.append(pack(context[part][head], smallest(sizes), smallest(count[part][head]), pair[part], *squeezed(self.local[part]), surprise[part]))
+            payloads.append(pack(context[part][head], smallest(sizes), smallest(count[part][head]), *_split40(pair[part]), *squeezed(self.local[part]), surprise[part]))
         return _rows(self.tokens.block.number, buckets, payloads)
 
     def answered(self, replies: dict[int, list[np.ndarray]], wide: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -204,30 +210,37 @@ class Level:
         return total[d.of], kinds[d.of]
 
 
-def _pair_key(context: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """A context's upper 32 bits and the 32-bit hash of a word after it, as one sortable key."""
-    return (context & U64(0xFFFFFFFF00000000)) | pair
+def _pair_key(contexts: np.ndarray, rank: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """A context's rank and the 40-bit hash of a word after it, as one sortable key."""
+    if len(contexts) <= 1 << 24:
+        return (rank.astype(U64) << U64(40)) | pair
+    order, number = groups(rank, pair)
+    key = np.empty(len(order), U64)
+    key[order] = number
+    return key
 
 
 def _heads(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
 
-def _add_pairs(model: Model, wide: bool):
-    """Answers of a bucket, or (``wide``) its sums for contexts that are spread: (context, kinds, gain, count) packed."""
+def _add_pairs(model: Model, wide: bool, last: bool = False):
+    """Answers of a bucket (``last``: no longer context is counted by them), or (``wide``) its sums for contexts that are spread: (context, kinds, gain, count) packed."""
 
     def run(payloads: list[list[np.ndarray]]):
         sizes = [p[1].astype(np.int64) for p in payloads]
-        context = np.concatenate([np.repeat(p[0], n) for p, n in zip(payloads, sizes)])
+        each = np.concatenate(sizes)
+        contexts, rank = np.unique(joined(payloads, 0), return_inverse=True)
+        context = np.repeat(joined(payloads, 0), each)
         count = np.concatenate([np.repeat(p[2].astype(np.int64), n) for p, n in zip(payloads, sizes)])
-        local = np.concatenate([stretched(p[4], p[5]) for p in payloads])
-        key = _pair_key(context, joined(payloads, 3))
+        local = np.concatenate([stretched(p[5], p[6]) for p in payloads])
+        key = _pair_key(contexts, np.repeat(rank, each), (joined(payloads, 3, U64) << U64(8)) | joined(payloads, 4, U64))
         order = np.argsort(key)
         head = _heads(key[order])
         number = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
         total = np.bincount(number, weights=local[order])
         first = order[head]
-        gain = np.where(total > 0, total * (np.log(np.maximum(total, 1) / count[first]) + joined(payloads, 6)[first] * (np.log(2) / 8)), 0.0)
+        gain = np.where(total > 0, total * (np.log(np.maximum(total, 1) / count[first]) + joined(payloads, 7)[first] * (np.log(2) / 8)), 0.0)
         starts = _heads(context[first])
         of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(first))))
         kinds = np.bincount(of, weights=total > 0).astype(np.int64)
@@ -241,7 +254,9 @@ def _add_pairs(model: Model, wide: bool):
         total_all[order] = total[number]
         state_all[order] = state[of][number]
         useful[order] = (spread | (state > 0))[of][number]
-        useful = (useful | (total_all >= model.least)) & (total_all != local)
+        if not last:
+            useful |= total_all >= model.least
+        useful &= total_all != local
         out, at = [], 0
         for p, n in zip(payloads, sizes):
             end = at + int(n.sum())
@@ -290,14 +305,14 @@ def _wide_states(sent: DataFrame, model: Model, level: int, n_blocks: int) -> Da
 class Answers:
     """What a block was told so far, level by level."""
 
-    def __init__(self, table: pa.Table, n_buckets: int):
+    def __init__(self, table: pa.Table, n_buckets: int, depth: int):
         bucket = np.asarray(table.column("bucket"), np.int64)
         self.levels = []
-        for level in range(DEPTH + 1):
+        for level in range(depth + 1):
             mine = pa.array((bucket >= level * n_buckets) & (bucket < (level + 1) * n_buckets))
             self.levels.append({b - level * n_buckets: r for b, r in replies_by_bucket(table.filter(mine)).items()})
         self.wide = []
-        for level in range(DEPTH + 1):
+        for level in range(depth + 1):
             rows = [unpack(p.as_py()) for p in table.filter(pa.array(bucket == -1 - level)).column("payload")]
             self.wide.append({"context": rows[0][0], "kinds": rows[0][1]} if rows else {"context": np.zeros(0, U64), "kinds": np.zeros(0, np.int64)})
 
@@ -331,7 +346,7 @@ RESULT = T.StructType([T.StructField("id", T.LongType()), T.StructField("held_ou
 
 def _scored(model: Model):
     def run(block: Block, replies: pa.Table) -> pa.Table:
-        tokens, known, probability = _walk(block, Answers(replies, model.n_buckets), model, model.depth + 1)
+        tokens, known, probability = _walk(block, Answers(replies, model.n_buckets, model.depth), model, model.depth + 1)
         starts = np.cumsum(tokens.counts) - tokens.counts
         sums = [np.add.reduceat(x, starts) if len(starts) else x for x in ((known > 0).astype(np.int64), np.log10(known + 0.1), np.log10(probability))]
         ids = pa.array(block.ids, mask=block.ids == NO_ID)
@@ -355,11 +370,12 @@ def _measure(rows: DataFrame) -> tuple[int, int]:
     return total[0] or 0, total[1] or 0
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", least_share: float = LEAST_SHARE,
-                    spread_share: float = SPREAD_SHARE, least_gain: float = LEAST_GAIN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", least_share: float = 0.0, spread_share: float = SPREAD_SHARE,
+                    least_gain: float = LEAST_GAIN, block_bytes: int = BLOCK_BYTES, least_count: int = LEAST_COUNT, depth: int = DEPTH) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    Learned from are the rows for which ``held_out`` is false (not null). ``n_known`` counts tokens seen in
+    Learned from are the rows for which ``held_out`` is false (not null). Contexts have up to ``depth``
+    words and ``least_count`` occurrences, and a ``least_share`` of the training tokens where one is given. ``n_known`` counts tokens seen in
     training, ``base_score`` is the smoothed unigram log10 probability, ``score`` the model's: the root
     gives a word its count over the training tokens plus one, and any unseen word 1 over that. Null and
     empty texts are one end token. Repeated rows count and are scored each; nothing learned scores
@@ -369,17 +385,17 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     size, n_tokens = _measure(docs.select(F.col(text_col).cast("string").alias("text"), (~held_out).alias("learn")))
     deal = dealt(docs, id_col, text_col, block_bytes, size, more)
     n = deal.n_buckets
-    model = Model(n_tokens, n, least_share, spread_share, least_gain, DEPTH)
+    model = Model(n_tokens, n, least_count, least_share, spread_share, least_gain, depth)
     sent = by_bucket(each_block(deal, lambda block: Words(Tokens(block), n).sent(), PACKED), deal)
     vocabulary = _vocabulary(sent)
     told = reduced(sent, deal, _add_words)
-    for depth in range(1, DEPTH + 1):
-        def send(block: Block, replies: pa.Table, depth: int = depth) -> pa.Table:
-            return _walk(block, Answers(replies, n), model, depth).sent()
+    for level in range(1, depth + 1):
+        def send(block: Block, replies: pa.Table, level: int = level) -> pa.Table:
+            return _walk(block, Answers(replies, n, depth), model, level).sent()
 
         pairs = by_bucket(with_replies(deal, told, send, PACKED), deal)
-        answer = reduced(pairs, deal, _add_pairs(model, wide=False)).withColumn("bucket", F.col("bucket") + depth * n)
-        told = told.unionByName(answer).unionByName(_wide_states(pairs, model, depth, deal.n_blocks))
+        answer = reduced(pairs, deal, _add_pairs(model, wide=False, last=level == depth)).withColumn("bucket", F.col("bucket") + level * n)
+        told = told.unionByName(answer).unionByName(_wide_states(pairs, model, level, deal.n_blocks))
     found = with_replies(deal, told, _scored(model), RESULT).crossJoin(F.broadcast(vocabulary))  # one row
     scale = F.log10(F.lit(float(n_tokens)) + 0.1 * (F.col("v") + 1))
     return found.select("id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"),

@@ -126,6 +126,48 @@ def test_suffix_tree_lm(spark, spread):
         assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], abs=1e-6)
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_lm_learns_rare_contexts(spark, depth):
+    """Contexts of a few occurrences among 160,000 tokens, at every depth, by the same counts as a small corpus has."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(200))) for i in range(800)]
+    phrase = "r0 r1 r2 r3 r0 r1 r4 r5"
+    rows += [(i, f"w{i % 7} {phrase}") for i in range(900, 940) if not held(i)][:4] + [(i, phrase) for i in range(1000, 1100) if held(i)][:2]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10))
+    found = suffix_tree_lm.score_documents(df, remainder == 0, block_bytes=100_000, depth=depth).collect()
+    train = [tokens(t) for d, t in rows if not held(d)]
+    n, c, after = sum(map(len, train)), Counter(w for t in train for w in t), defaultdict(Counter)
+    for t in train:
+        for k in range(1, depth + 1):
+            for i in range(k, len(t)):
+                after[tuple(t[i - k : i])][t[i]] += 1
+    kept = {}
+
+    def p(past, w):
+        if not past:
+            return max(c[w], 1) / (n + 1)
+        lower, mine = p(past[1:], w), after.get(past, {})
+        total, kinds = sum(mine.values()), len(mine)
+        if past not in kept:
+            gain = sum(x * (math.log(x / total) + round(-8 * math.log2(p(past[1:], y))) / 8 * math.log(2)) for y, x in mine.items())
+            kept[past] = total >= 2 and gain > kinds and gain >= suffix_tree_lm.LEAST_GAIN * total
+        return (mine.get(w, 0) + kinds * lower) / (total + kinds) if kept[past] else lower
+
+    got = {r.id: r.score for r in found}
+    assert len(got) == len(rows)
+    for d, t in rows[::40] + rows[800:]:
+        x = tokens(t)
+        assert got[d] == pytest.approx(sum(math.log10(p(tuple(x[max(0, i - depth) : i]), w)) for i, w in enumerate(x)), abs=1e-6)
+    assert any(kept[k] for k in kept if len(k) == depth and k[0].startswith("r"))
+
+
+def test_contexts_that_share_upper_bits_stay_apart():
+    contexts = np.array([1 << 32 | 5, 1 << 32 | 9, 1 << 32 | 5, 1 << 32 | 9], np.uint64)
+    key = suffix_tree_lm._pair_key(*np.unique(contexts, return_inverse=True), np.array([1, 2, 3, 1], np.uint64))
+    assert np.argsort(key).tolist() == [0, 2, 3, 1]
+
+
 def test_lm_of_an_empty_table(spark):
     assert suffix_tree_lm.score_documents(spark.createDataFrame([], "doc_id long, text string"), F.lit(False)).count() == 0
 
