@@ -1,8 +1,8 @@
 """Main text of web pages: site templates and marked furniture are removed, the article's blocks stay.
 
-A page is read into a tree of its block elements. The subtrees of containers are hashed, Spark counts
-on how many different pages of a host each hash stands, and subtrees that recur on many of them are the
-host's template. Extraction takes the article (or the main element, or the body), leaves out template
+A page is read into a tree of its block elements. The subtrees are hashed, also those inside an article,
+Spark counts on how many different pages of a host each hash stands, and subtrees that recur on many of
+them are the host's template. Extraction takes the article (or the main element, or the body), leaves out template
 subtrees and elements that say by name, role or class that they are menus, notices, forms and the like,
 and returns the remaining blocks.
 """
@@ -30,6 +30,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption dd dt caption td th tr tbody thead tfoot html body article main".split())
+WHOLE = frozenset("html body article main".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table ul li dd dt".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 FENCES = frozenset("table ul ol dl td th template object html body article main section div".split())
@@ -144,26 +145,41 @@ def _digest(node: Node) -> int:
     return node.digest
 
 
-def subtrees(root: Node) -> set[int]:
-    """Hashes of the containers that a site's template may hold: no prose elements, nothing inside an article or main element."""
+def subtrees(root: Node, prose: bool = False) -> set[int]:
+    """Hashes of the elements that a site's template may hold: containers, with ``prose`` also paragraphs, headings, cells and so on."""
     found: set[int] = set()
+    never = WHOLE if prose else PROSE
     stack = [root]
     while stack:
         node = stack.pop()
-        if node.tag not in PROSE and node is not root:
+        if node.tag not in never and node is not root:
             found.add(node.digest)
-        if node.tag not in ("article", "main") or node.marked:
-            stack.extend(p for p in node.parts if isinstance(p, Node))
+        stack.extend(p for p in node.parts if isinstance(p, Node))
     return found
 
 
+def content_key(root: Node) -> int | None:
+    """Hash of the outermost articles, else main elements, of a page; None if it has none."""
+    for tag in ("article", "main"):
+        found, stack = [], [root]
+        while stack:
+            node = stack.pop()
+            if node.tag == tag and not node.marked:
+                found.append(node.digest)
+            else:
+                stack.extend(p for p in reversed(node.parts) if isinstance(p, Node))
+        if found:
+            return xxhash.xxh64_intdigest(b"".join(d.to_bytes(8, "little") for d in found))
+    return None
+
+
 def main_nodes(root: Node, template: frozenset[int]) -> list[Node]:
     """The outermost articles; else main elements, else elements whose role or class says content, else the whole page."""
     levels: dict[str, list[Node]] = {"article": [], "main": [], "content": []}
     stack = [(root, frozenset())]
     while stack:
         node, above = stack.pop()
-        if node.marked or node.digest in template and node.tag not in PROSE and not _holds_article(node):
+        if node.marked or node.digest in template and not _holds_article(node):
             continue
         kind = node.tag if node.tag in ("article", "main") else "content" if node.content else ""
         if kind and kind not in above:
@@ -187,7 +203,7 @@ def blocks(node: Node, template: frozenset[int], inside: bool = False) -> Iterat
         if block := spaced("".join(text)):
             yield block
         text = []
-        if part.marked or inside and part.tag == "article" or not inside and part.digest in template and part.tag not in PROSE:
+        if part.marked or inside and part.tag == "article" or part.digest in template:
             continue  # an article within an article is a reader's comment
         yield from blocks(part, template, inside or part.tag == "article")
     if block := spaced("".join(text)):
@@ -206,29 +222,32 @@ def host_of(url_col: str):
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, prose: bool = False) -> DataFrame:
     """(host, hashes): subtrees that stand on at least ``least_pages`` different pages of a host and on ``least_share`` of them.
 
-    Pages with equal html count once, so copies of a page don't make it a template. The number of
+    Pages with equal html, or with equal articles (else main elements), count once, so copies of a page or
+    of its article don't make it a template. ``prose`` elements are counted where asked. The number of
     hashes of a host is at most the subtrees of a page over ``least_share``.
     """
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("page", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("page", T.LongType()), T.StructField("content", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, keys, found = batch.column(0), [], []
+            hosts, keys, contents, found = batch.column(0), [], [], []
             for page in batch.column(1):
                 text = page.as_py()
                 root = parse(text)
                 _digest(root)
                 keys.append(_signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))))
-                found.append([_signed(h) for h in subtrees(root)])
-            yield pa.RecordBatch.from_arrays([hosts, pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
+                own = content_key(root)
+                contents.append(keys[-1] if own is None else _signed(own))
+                found.append([_signed(h) for h in subtrees(root, prose)])
+            yield pa.RecordBatch.from_arrays([hosts, pa.array(keys, pa.int64()), pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
 
     rows = pages.select(host_of(url_col).alias("host"), F.col(html_col).cast("string").alias("html")).filter("host is not null and html is not null")
-    seen = materialize(rows.mapInArrow(run, schema).groupBy("host", "page").agg(F.first("hashes").alias("hashes")), "subtrees")
-    sizes = seen.groupBy("host").agg(F.count("*").alias("n_pages"))
-    counts = seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
+    seen = materialize(rows.mapInArrow(run, schema).groupBy("host", "page").agg(F.first("content").alias("content"), F.first("hashes").alias("hashes")), "subtrees")
+    sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("n_pages"))
+    counts = seen.select("host", "content", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).filter(F.col("n") >= least_pages)
     often = counts.join(sizes, "host").filter(F.col("n") >= F.col("n_pages") * least_share)
     return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
@@ -242,7 +261,8 @@ def extract(pages: DataFrame, id_cols: list[str] | None = None, url_col: str = "
 
     Null and empty html give an empty text. A page without a host has no template. Repeated rows are
     extracted alike; no row, block or length is dropped. A page without an article or main element
-    keeps all that neither its host's template nor an element's marks remove.
+    keeps all that neither its host's template nor an element's marks remove. With ``prose`` in ``limits``
+    recurring paragraphs, headings, cells and so on are template too, else only containers are.
     """
     own = id_cols or ["page_id", url_col]
     names = [f"k{i}" for i in range(len(own))]

@@ -76,7 +76,7 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_main_text")
 def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page, its site's template and marked furniture removed."""
-    return main_text.extract(table(spark, sf, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    return main_text.extract(table(spark, sf, "pages"), prose=True).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 @query("op1_suffix_dedup")

@@ -76,3 +76,17 @@ def test_templates_are_removed(spark):
     assert all(got[i] == f"story {i}\ncommon" for i in range(8)) and all(got[20 + i] == "only copy" for i in range(5))
     assert got[30] == got[31] == "Home News Shop\nstory 0\ncommon" and got[32] == got[33] == ""
     assert main_text.extract(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_boilerplate_inside_the_article_is_removed(spark, tag):
+    promo, author = "<div><span>Try our plans</span></div>", "<section><b>Written by the desk</b></section>"
+    rows = [(i, f"http://a.org/{i}", f"<{tag}><h1>Title {i}</h1>{promo}<p>story {i}</p><p>All rights reserved</p><table><tr><td>row {i}<td>Total</table>{author}</{tag}>") for i in range(5)]
+    same = f"<{tag}><p>one story</p><p>in two parts</p></{tag}>"  # an article under other menus is one page
+    rows += [(10 + i, f"http://a.org/s{i}", f"<div>menu {i}</div>{same}") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(pages, prose=True).collect()}
+    assert all(got[i] == f"Title {i}\nstory {i}\nrow {i}" for i in range(5))
+    assert all(got[10 + i] == "one story\nin two parts" for i in range(4))
+    kept = {r.page_id: r.text for r in main_text.extract(pages).collect()}
+    assert all(kept[i] == f"Title {i}\nstory {i}\nAll rights reserved\nrow {i}\nTotal" for i in range(5))
