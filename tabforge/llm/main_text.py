@@ -21,9 +21,8 @@ from pyspark.sql import types as T
 
 from tabforge.session import materialize
 
-#: A subtree belongs to a host's template when it stands on so many of its different pages, and on this share of them.
+#: A subtree belongs to a host's template when it stands on so many of its different pages.
 LEAST_PAGES = 3
-LEAST_SHARE = 0.01
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -222,34 +221,36 @@ def host_of(url_col: str):
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, prose: bool = False) -> DataFrame:
-    """(host, hashes): subtrees that stand on at least ``least_pages`` different pages of a host and on ``least_share`` of them.
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = 0.0, prose: bool = False) -> DataFrame:
+    """(host, page, hashes): those subtrees of a page that stand on at least ``least_pages`` different pages of its host.
 
-    Pages with equal html, or with equal articles (else main elements), count once, so copies of a page or
-    of its article don't make it a template. ``prose`` elements are counted where asked. The number of
-    hashes of a host is at most the subtrees of a page over ``least_share``.
+    ``page`` is the hash of the html. Pages with equal html, or with equal articles (else main elements),
+    count once, so copies of a page or of its article don't make it a template. ``prose`` elements are
+    counted where asked. A ``least_share`` asks for that share of a host's different pages as well.
     """
     schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("page", T.LongType()), T.StructField("content", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, keys, contents, found = batch.column(0), [], [], []
-            for page in batch.column(1):
-                text = page.as_py()
-                root = parse(text)
+            contents, found = [], []
+            for key, page in zip(batch.column(1), batch.column(2)):
+                root = parse(page.as_py())
                 _digest(root)
-                keys.append(_signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))))
                 own = content_key(root)
-                contents.append(keys[-1] if own is None else _signed(own))
+                contents.append(key.as_py() if own is None else _signed(own))
                 found.append([_signed(h) for h in subtrees(root, prose)])
-            yield pa.RecordBatch.from_arrays([hosts, pa.array(keys, pa.int64()), pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
 
-    rows = pages.select(host_of(url_col).alias("host"), F.col(html_col).cast("string").alias("html")).filter("host is not null and html is not null")
+    html = F.col(html_col).cast("string")
+    rows = pages.select(host_of(url_col).alias("host"), F.xxhash64(html).alias("page"), html.alias("html")).filter("host is not null and html is not null")
     seen = materialize(rows.mapInArrow(run, schema).groupBy("host", "page").agg(F.first("content").alias("content"), F.first("hashes").alias("hashes")), "subtrees")
-    sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("n_pages"))
-    counts = seen.select("host", "content", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).filter(F.col("n") >= least_pages)
-    often = counts.join(sizes, "host").filter(F.col("n") >= F.col("n_pages") * least_share)
-    return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    pairs = seen.select("host", "page", "content", F.explode("hashes").alias("hash"))
+    often = pairs.groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).filter(F.col("n") >= least_pages)
+    if least_share > 0:
+        sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("n_pages"))
+        often = often.join(sizes, "host").filter(F.col("n") >= F.col("n_pages") * least_share)
+    own = pairs.select("host", "page", "hash").join(often.select("host", "hash"), ["host", "hash"])
+    return own.groupBy("host", "page").agg(F.collect_list("hash").alias("hashes"))
 
 
 def _signed(h: int) -> int:
@@ -268,18 +269,15 @@ def extract(pages: DataFrame, id_cols: list[str] | None = None, url_col: str = "
     names = [f"k{i}" for i in range(len(own))]
     found = materialize(templates(pages, url_col, html_col, **limits), "templates")
     rows = pages.select(*[F.col(c).alias(n) for c, n in zip(own, names)], host_of(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
-    rows = rows.join(found, "host", "left").select(*names, "html", "hashes")
+    rows = rows.withColumn("page", F.xxhash64("html")).join(found, ["host", "page"], "left").select(*names, "html", "hashes")
     schema = T.StructType([*[f for f in rows.schema if f.name in names], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, last = [], (None, frozenset())
+            texts = []
             for page, hashes in zip(batch.column(len(names)), batch.column(len(names) + 1)):
-                hashes = hashes.as_py()
-                if hashes != last[0]:
-                    last = hashes, frozenset(h & 0xFFFFFFFFFFFFFFFF for h in hashes or ())
                 page = page.as_py()
-                texts.append(main_text(page, last[1]) if page else "")
+                texts.append(main_text(page, frozenset(h & 0xFFFFFFFFFFFFFFFF for h in hashes.as_py() or ())) if page else "")
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string())], names=[*names, "text"])
 
     return rows.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(names, own)], "text")

@@ -90,3 +90,12 @@ def test_boilerplate_inside_the_article_is_removed(spark, tag):
     assert all(got[10 + i] == "one story\nin two parts" for i in range(4))
     kept = {r.page_id: r.text for r in main_text.extract(pages).collect()}
     assert all(kept[i] == f"Title {i}\nstory {i}\nAll rights reserved\nrow {i}\nTotal" for i in range(5))
+
+
+def test_template_of_a_large_host(spark):
+    rows = [(i, f"http://big.org/{i}", f"<body>{'<div>Section menu</div>' if i < 3 else ''}{'<div>Twice only</div>' if i < 2 else ''}<div>text {i}</div></body>") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(pages).collect()}
+    assert all(got[i] == ("Twice only\n" if i < 2 else "") + f"text {i}" for i in range(600))
+    hashes = [len(r.hashes) for r in main_text.templates(pages).collect()]
+    assert hashes == [1, 1, 1]  # a page gets its own hashes, not its host's
