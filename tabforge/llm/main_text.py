@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,10 +49,11 @@ _RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 class Node:
     """A block element; ``parts`` are its texts and child elements in page order."""
 
-    __slots__ = ("tag", "parts", "marked", "content", "digest")
+    __slots__ = ("tag", "parts", "marked", "content", "digest", "holds")
 
     def __init__(self, tag: str, marked: bool = False, content: bool = False):
         self.tag, self.parts, self.marked, self.content, self.digest = tag, [], marked, content, 0
+        self.holds = False  # an article or main element
 
 
 def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
@@ -75,6 +77,12 @@ def parse(page: str) -> Node:
     """The tree of block elements; inline markup and comments leave only their text, scripts and styles nothing."""
     root = Node("html")
     stack = [root]
+    still = Counter()  # open elements by tag
+
+    def close(k: int) -> None:
+        still.subtract(s.tag for s in stack[k:])
+        del stack[k:]
+
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
@@ -88,11 +96,11 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in INLINE or tag in VOID:
+            if tag in INLINE or tag in VOID or not still[tag]:
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
             continue
         if tag in RAW:
@@ -104,26 +112,27 @@ def parse(page: str) -> Node:
             continue
         if tag in INLINE:
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and still["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in ("table", "td", "th", "caption", "button", "object", "template"):
                     break
         if tag in SIBLINGS:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in SIBLINGS[tag]:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in FENCES:
                     break
-        if tag in ("html", "body") and (tag == "html" or any(s.tag == "body" for s in stack)):
+        if tag in ("html", "body") and (tag == "html" or still["body"]):
             continue
         node = Node(tag, *_marks(tag, m[3]))
         stack[-1].parts.append(node)
         if tag not in VOID:
             stack.append(node)
+            still[tag] += 1
     return root
 
 
@@ -132,16 +141,22 @@ def spaced(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
-def _digest(node: Node) -> int:
-    """Hash of a subtree: its tag and, in order, its texts and the hashes of its children."""
-    h = xxhash.xxh64(node.tag)
-    for part in node.parts:
-        if isinstance(part, Node):
-            h.update(_digest(part).to_bytes(8, "little"))
-        elif text := " ".join(part.split()):
-            h.update(b"\0" + text.encode("utf-8", "surrogatepass"))
-    node.digest = h.intdigest()
-    return node.digest
+def _digest(root: Node) -> None:
+    """Hash of each subtree: its tag and, in order, its texts and the hashes of its children; and whether it holds an article."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(p for p in node.parts if isinstance(p, Node))
+    for node in reversed(order):  # children before parents
+        h = xxhash.xxh64(node.tag)
+        for part in node.parts:
+            if isinstance(part, Node):
+                h.update(part.digest.to_bytes(8, "little"))
+                node.holds |= part.holds or part.tag in ("article", "main")
+            elif text := " ".join(part.split()):
+                h.update(b"\0" + text.encode("utf-8", "surrogatepass"))
+        node.digest = h.intdigest()
 
 
 def subtrees(root: Node, prose: bool = False) -> set[int]:
@@ -178,7 +193,7 @@ def main_nodes(root: Node, template: frozenset[int]) -> list[Node]:
     stack = [(root, frozenset())]
     while stack:
         node, above = stack.pop()
-        if node.marked or node.digest in template and not _holds_article(node):
+        if node.marked or node.digest in template and not node.holds:
             continue
         kind = node.tag if node.tag in ("article", "main") else "content" if node.content else ""
         if kind and kind not in above:
@@ -188,25 +203,26 @@ def main_nodes(root: Node, template: frozenset[int]) -> list[Node]:
     return levels["article"] or levels["main"] or levels["content"] or [root]
 
 
-def _holds_article(node: Node) -> bool:
-    return any(isinstance(p, Node) and (p.tag in ("article", "main") or _holds_article(p)) for p in node.parts)
-
-
 def blocks(node: Node, template: frozenset[int], inside: bool = False) -> Iterator[str]:
     """Texts of the blocks below ``node`` in page order, furniture and template subtrees left out."""
-    text: list[str] = []
-    for part in node.parts:
-        if isinstance(part, str):
-            text.append(part)
-            continue
-        if block := spaced("".join(text)):
-            yield block
-        text = []
-        if part.marked or inside and part.tag == "article" or part.digest in template:
-            continue  # an article within an article is a reader's comment
-        yield from blocks(part, template, inside or part.tag == "article")
-    if block := spaced("".join(text)):
-        yield block
+    stack = [(iter(node.parts), inside, [])]
+    while stack:
+        parts, inside, text = stack[-1]
+        for part in parts:
+            if isinstance(part, str):
+                text.append(part)
+                continue
+            if block := spaced("".join(text)):
+                yield block
+            text.clear()
+            if part.marked or inside and part.tag == "article" or part.digest in template:
+                continue  # an article within an article is a reader's comment
+            stack.append((iter(part.parts), inside or part.tag == "article", []))
+            break
+        else:
+            if block := spaced("".join(text)):
+                yield block
+            stack.pop()
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:

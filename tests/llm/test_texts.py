@@ -99,3 +99,10 @@ def test_template_of_a_large_host(spark):
     assert all(got[i] == ("Twice only\n" if i < 2 else "") + f"text {i}" for i in range(600))
     hashes = [len(r.hashes) for r in main_text.templates(pages).collect()]
     assert hashes == [1, 1, 1]  # a page gets its own hashes, not its host's
+
+
+def test_a_page_of_5000_open_divs(spark):
+    deep = "<div>" * 5000 + "deep text"
+    rows = [(1, "http://a.org/1", deep), (2, "http://a.org/2", "<main>" + deep), (3, "http://a.org/3", deep + "<article>inner"), (4, "http://a.org/4", "<p>flat")]
+    got = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), prose=True).collect()}
+    assert got == {1: "deep text", 2: "deep text", 3: "inner", 4: "flat"}
