@@ -52,7 +52,7 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 def op3_token_records(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document, written to record files in order of the id and read back."""
     path = scratch_path(spark, "token-records")
-    token_records.write_records(table(spark, sf, "documents"), f"{path}/records", public_tokenizers.path("word_bpe_49k.json"))
+    token_records.write_records(table(spark, sf, "documents"), f"{path}/records", public_tokenizers.path("word_bpe_49k.json"), special=True)
     token_records.write_index(spark, f"{path}/records", f"{path}/index")
     records = token_records.read_records(spark, f"{path}/records").select("shard", "row", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     found = token_records.with_starts(records, spark.read.parquet(f"{path}/index"))

@@ -9,6 +9,7 @@ under its own commit protocol; it ends a file with a line feed, which is no fram
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -110,7 +111,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.tokenizer.encode_special_tokens = True  # for pieces; added tokens are found before texts are cut
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("an added token is normalized, stripped or a single word")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        self.any_added = re.compile(b"|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))) if added else None
         self.cache: dict[bytes, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
@@ -126,18 +132,35 @@ class PieceEncoder:
                     self.cache[values[i]] = out[i]
         return out
 
-    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text)."""
+    def added_places(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the vocabulary's added tokens in the texts as they stand."""
+        raw = data.tobytes()
+        if self.any_added is None or not any(c in raw for c in self.added):
+            return []
+        bounds = offsets.tolist()
+        return [(*m.span(), self.added[m[0]]) for a, b in zip(bounds, bounds[1:]) for m in self.any_added.finditer(raw, a, b)]
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray, special: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text); with ``special`` added tokens of the vocabulary have their own ids."""
+        added = self.added_places(data, offsets) if special else []
         data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+        for a, b, _ in added:
+            data[a:b] = 32  # a border on both sides, as white space is
         starts, ends = piece_bounds(data, offsets)
-        if not len(starts):
+        if not len(starts) and not added:
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         joined = data[ranges(starts, ends - starts)]
         bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
         codes = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(joined)]).dictionary_encode()
         found = self.pieces(codes.dictionary.to_pylist())
-        sizes = np.array([len(f) for f in found], np.int64) // 4
         index = np.asarray(codes.indices)
+        if added:
+            index = np.concatenate([index, len(found) + np.arange(len(added))])
+            found = [*found, *[np.array([i], np.uint32).tobytes() for _, _, i in added]]
+            starts = np.concatenate([starts, np.array([a for a, _, _ in added], np.int64)])
+            order = np.argsort(starts)
+            starts, index = starts[order], index[order]
+        sizes = np.array([len(f) for f in found], np.int64) // 4
         ids = np.frombuffer(b"".join(found), np.uint32)[ranges((np.cumsum(sizes) - sizes)[index], sizes[index])]
         total = np.concatenate([[0], np.cumsum(sizes[index])])
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
@@ -152,12 +175,12 @@ def encoder_of(vocabulary: str) -> PieceEncoder:
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 1, id_col: str = "doc_id",
-                  text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
+                  text_col: str = "text", shard_bytes: int = SHARD_BYTES, special: bool = False) -> None:
     """Encode every text and write the ids to record files under ``path``, in ascending order of the id.
 
     Null and empty texts give a record with the end id alone. Null ids come first; rows with one id
-    stay side by side in no set order. Strings of special tokens are ordinary text. Rows are dealt out
-    by ranges of the id; file names carry the order. An empty table writes no record.
+    stay side by side in no set order. Strings of special tokens are ordinary text, or with ``special``
+    one id each, as the vocabulary file has them. Rows are dealt out by ranges of the id; file names carry the order. An empty table writes no record.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = f.read()
@@ -167,7 +190,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
         held: list[bytes] = []
         size = 0
         for part in text_slices(batches, "text", 8 << 20):
-            ids, counts = encoder.texts(*byte_column(part.column(1)))
+            ids, counts = encoder.texts(*byte_column(part.column(1)), special)
             ids = ids.astype(f"<u{encoder.width}")
             end = b"" if end_id is None else np.array([end_id], ids.dtype).tobytes()
             last = np.cumsum(counts)

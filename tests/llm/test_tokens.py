@@ -89,6 +89,17 @@ def test_records_round_trip(spark, texts):
     assert got == want
 
 
+def test_special_tokens_have_their_ids(spark, texts):
+    tokenizer = Tokenizer.from_file(WORDS)
+    more = ["a <|endoftext|> b", "a<|endoftext|>'s", "<|endoftext|>", "<|startoftext|><|endoftext|>x", "a <|ENDOFTEXT|> b", "<|endoftext", "|>", "<<|endoftext|>>", "e<|endoftext|>\u0301 1<|endoftext|>2"]
+    rows = list(enumerate([*texts, *more]))
+    path = scratch_path(spark, "records-special")
+    token_records.write_records(spark.createDataFrame(rows, "doc_id long, text string"), path, WORDS, special=True)
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in token_records.read_records(spark, path).collect()}
+    assert got == {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for d, t in rows}
+    assert got[len(texts)] == [320, 49407, 321, 1]
+
+
 def test_damage_is_found():
     content = bytearray(token_records.frame(5, b"\1\0\2\0", 2) + token_records.frame(None, b"", 2) + b"\n")
     found = list(token_records.frames(bytes(content)))
