@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, main_text, near_dedup, neighbours, quality, suffix_dedup, suffix_tree_lm, token_records, window_dedup
+from tabforge.llm import byte_bpe, decontaminate, line_dedup, main_text, near_dedup, neighbours, quality, suffix_dedup, suffix_tree_lm, token_records, window_dedup
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,22 @@ def op10_suffix_tree_lm(spark: SparkSession, sf: str) -> DataFrame:
     """Unigram and suffix-tree log10 probability of every document, learned from nine tenths of them."""
     scored = suffix_tree_lm.score_documents(table(spark, sf, "documents"), remainder("doc_id", 10) == 0)
     return scored.withColumnRenamed("id", "doc_id").withColumn("held_out", F.coalesce("held_out", F.lit(False)))
+
+
+OP11_SQL = r"""
+WITH lines AS (
+  SELECT r, doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos
+        FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+common AS (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT coalesce(doc_id, -1)) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN common c ON lines.key = c.key GROUP BY r
+"""
+
+
+@query("op11_line_dedup", OP11_SQL)
+def op11_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the lines that ten documents or more share."""
+    kept = line_dedup.remove_common_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
