@@ -16,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.session import materialize
+
 #: The key is the line without these at both ends, A-Z lower-cased (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The leading bits of a hash that number its range: 65,536 ranges.
 RANGE_BITS = 16
 #: A range of more lines than this, and than four average ranges, is cut into slices of documents.
-SLICE_LINES = 100_000
+SLICE_LINES = 2_000
 
 
 def split_lines(text: Column) -> Column:
@@ -69,7 +71,7 @@ def dropped_lines(docs: DataFrame, least_docs: int = 10, least_length: int = 1,
     Rows with one id are one document, and so are all rows with a null id. ``keep_first`` spares the first
     line of each key by id (null last), ``row`` and position; in copies of that row as well.
     """
-    lines = line_keys(docs, least_length, id_col, text_col)
+    lines = materialize(line_keys(docs, least_length, id_col, text_col), "line-keys")  # read for the histogram, then dealt out
     slices = crowded_spans(lines, slice_lines)
     crowded = F.broadcast(docs.sparkSession.createDataFrame(list(slices.items()), "span long, n_slices int"))  # under a quarter of the 65,536 ranges
     whole = _streamed(lines.join(crowded, "span", "left_anti") if slices else lines, ["span", "hash", "check"]).filter(F.col("n_docs") >= least_docs)
