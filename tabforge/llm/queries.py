@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import byte_bpe, decontaminate, line_dedup, main_text, near_dedup, neighbours, quality, suffix_dedup, suffix_tree_lm, token_records, window_dedup
+from tabforge.llm import byte_bpe, conversation_repair, decontaminate, hard_negatives, line_dedup, main_text, near_dedup, neighbours, quality, suffix_dedup, suffix_tree_lm, token_records, window_dedup
 from tabforge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,98 @@ def op11_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the lines that ten documents or more share."""
     kept = line_dedup.remove_common_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH numbers AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM numbers a JOIN numbers b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Three hard negatives for each of the five best positives of every fiftieth vector."""
+    rows = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("id") % 50 == 0)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE crc_steps AS (
+  SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_steps WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM crc_steps WHERE step = 8),
+cases AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT)) % 20 AS fate
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM cases WHERE fate <> 0),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS n,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM damaged),
+faulty AS (
+  SELECT *, substr(role, 1, 1) AS c, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM seen),
+stats AS (
+  SELECT conv_id, count(*) AS n_rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (n > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+moves(p, role, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+gaps_closed(p, q, cost, marks) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 2, 3, 'I'), (1, 3, 6, 'II'), (2, 3, 3, 'I'), (3, 2, 3, 'I')),
+edits AS (
+  SELECT conv_id, n, p, p AS q, 4 AS cost, 'D' AS edit, NULL::VARCHAR AS line FROM faulty, (SELECT unnest(range(4)) AS p)
+  UNION ALL SELECT conv_id, n, p, q, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', faulty.role || ':' || text FROM faulty JOIN moves ON c = moves.role WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, n, p, q, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R', CASE q WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || text
+  FROM faulty, moves WHERE moves.role <> 's' AND fault NOT IN ('blank', 'duplicate')),
+-- One step a row: insertions, then an edit; the least (cost, audit) of each state goes on.
+steps AS (
+  SELECT g.p, e.conv_id, e.n, e.q, g.cost + e.cost AS cost, g.marks || e.edit AS marks,
+         CASE len(g.marks) WHEN 0 THEN [] WHEN 1 THEN [CASE g.q WHEN 2 THEN 'user:' ELSE 'assistant:' END] ELSE ['user:', 'assistant:'] END || CASE WHEN e.line IS NULL THEN [] ELSE [e.line] END AS lines
+  FROM gaps_closed g JOIN edits e ON g.q = e.p),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS n, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM stats
+  UNION ALL
+  SELECT conv_id, n, q, cost, audit, lines FROM (
+    SELECT w.conv_id, s.n, s.q, w.cost + s.cost AS cost, w.audit || s.marks AS audit, w.lines || s.lines AS lines
+    FROM walk w JOIN steps s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND s.n = w.n + 1 AND s.p = w.q)
+  QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+ends AS (
+  SELECT w.conv_id, w.cost + g.cost AS cost, w.audit || g.marks AS audit,
+         w.lines || CASE len(g.marks) WHEN 0 THEN [] WHEN 1 THEN ['assistant:'] ELSE ['user:', 'assistant:'] END AS lines
+  FROM walk w JOIN stats s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.n = s.n_rows JOIN gaps_closed g ON g.p = w.q AND g.q IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + g.cost, w.audit || g.marks) = 1)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN stats ON ids.conv_id IS NOT DISTINCT FROM stats.conv_id LEFT JOIN ends ON ids.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage."""
+    rows = table(spark, sf, "conversations")
+    found = conversation_repair.repair(conversation_repair.damaged(rows))
+    ids = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    joined = ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
