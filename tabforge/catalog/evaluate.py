@@ -8,7 +8,7 @@ from tabforge.catalog.frames_sql import DOCUMENTS, SCORED, VISITS
 from tabforge.catalog.registry import query
 from tabforge.functions.columns import rounded
 from tabforge.operators import evaluation as V
-from tabforge.operators import folds, ranking
+from tabforge.operators import folds, information, ranking
 from tabforge.plans import frames
 from tabforge.plans.frames import DOCUMENT_COLUMNS
 from tabforge.session import materialize
@@ -266,6 +266,53 @@ def mutual_info_numeric(spark, sf):
     return _round(ranking.mutual_information(frames.visits(spark, sf), VISIT_FEATURES, "n_lines", numeric_target=True), "mutual_info")
 
 
+def _psi(n: str) -> str:
+    """Digamma of a whole number, from the table ``psi``."""
+    return f"(SELECT list(p ORDER BY i) FROM psi)[{n}]"
+
+
+_PSI = "psi AS (SELECT i, sum(CASE WHEN i > 1 THEN 1.0::DOUBLE / (i - 1) ELSE 0 END) OVER (ORDER BY i) - 0.57721566490153286 AS p FROM range(1, (SELECT count(*) + 2 FROM feats)) t(i))"
+
+
+def _near_class_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS feature, round(greatest(any_value({_psi('n')}) + avg({_psi('near')}) - avg({_psi('n_label')}) - avg({_psi('inside')}), 0), 6) + 0.0 AS mutual_info FROM (
+  SELECT a.doc_id, any_value(radius) AS radius, any_value(n_label) AS n_label, any_value(n) AS n,
+         CASE WHEN any_value(radius) = 0 THEN count(*) FILTER (a.toxic = b.toxic AND a.{c} = b.{c}) ELSE any_value(found) END AS near,
+         count(*) FILTER (abs(a.{c}::DOUBLE - b.{c}::DOUBLE) < radius OR (radius = 0 AND a.{c} = b.{c})) AS inside
+  FROM (SELECT *, count(*) OVER () AS n, count(*) OVER (PARTITION BY toxic) AS n_label FROM feats) a, feats b,
+       (SELECT id, max(dist) AS radius, count(*) AS found FROM (
+          SELECT x.doc_id AS id, abs(x.{c}::DOUBLE - y.{c}::DOUBLE) AS dist FROM feats x JOIN feats y ON x.toxic = y.toxic AND x.doc_id <> y.doc_id
+          QUALIFY row_number() OVER (PARTITION BY x.doc_id ORDER BY dist) <= 3) GROUP BY id) k
+  WHERE k.id = a.doc_id GROUP BY a.doc_id)"""
+
+
+@query("mutual_info_neighbors", f"WITH {DOCUMENTS}, {_PSI} " + " UNION ALL ".join(_near_class_sql(c) for c in DOCUMENT_COLUMNS))
+def mutual_info_neighbors(spark, sf):
+    """M4, class target, by three nearest neighbours."""
+    return _round(information.mutual_information_class(frames.document_features(spark, sf), DOCUMENT_COLUMNS, "toxic"), "mutual_info")
+
+
+def _near_number_sql(c: str, y: str) -> str:
+    return f"""SELECT '{c}' AS feature, round(greatest(any_value({_psi('n')}) + avg({_psi('near')}) - avg({_psi('inside_x')}) - avg({_psi('inside_y')}), 0), 6) + 0.0 AS mutual_info FROM (
+  WITH p AS (SELECT doc_id, coalesce({c}::DOUBLE / nullif((SELECT stddev_pop({c}::DOUBLE) FROM feats), 0), 0) AS x,
+                    coalesce({y}::DOUBLE / nullif((SELECT stddev_pop({y}::DOUBLE) FROM feats), 0), 0) AS y FROM feats),
+  d AS (SELECT a.doc_id AS id, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy, a.doc_id = b.doc_id AS own FROM p a, p b),
+  k AS (SELECT id, max(dist) AS radius, count(*) AS found FROM (
+    SELECT id, greatest(dx, dy) AS dist FROM d WHERE NOT own QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist) <= 3) GROUP BY id)
+  SELECT d.id, (SELECT count(*) FROM feats) AS n, CASE WHEN any_value(radius) = 0 THEN count(*) FILTER (dx = 0 AND dy = 0) ELSE any_value(found) END AS near,
+         count(*) FILTER (dx < radius OR (radius = 0 AND dx = 0)) AS inside_x, count(*) FILTER (dy < radius OR (radius = 0 AND dy = 0)) AS inside_y
+  FROM d JOIN k USING (id) GROUP BY d.id)"""
+
+
+NUMBER_FEATURES = [c for c in DOCUMENT_COLUMNS if c != "n_chars"]
+
+
+@query("mutual_info_neighbors_numeric", f"WITH {DOCUMENTS}, {_PSI} " + " UNION ALL ".join(_near_number_sql(c, "n_chars") for c in NUMBER_FEATURES))
+def mutual_info_neighbors_numeric(spark, sf):
+    """M4, numeric target, by three nearest neighbours."""
+    return _round(information.mutual_information_number(frames.document_features(spark, sf), NUMBER_FEATURES, "n_chars"), "mutual_info")
+
+
 _RANKED = f"""f AS ({' UNION ALL '.join(_anova_sql(c) for c in DOCUMENT_COLUMNS)}), m AS ({' UNION ALL '.join(_mi_sql(c, 'feats', 'toxic') for c in DOCUMENT_COLUMNS)})"""
 
 

@@ -35,6 +35,16 @@ def kth_distance(spark, sf):
     return d.withColumn("dist", rounded(F.col("dist")))
 
 
+@query("kth_distance_blocks", """WITH p AS (SELECT c_custkey AS id, [c_acctbal::DOUBLE / 1000, c_nationkey::DOUBLE] AS v FROM customer),
+d AS (SELECT a.id, list_distance(a.v, b.v) AS dist FROM p a, p b)
+SELECT id, round(dist, 6) AS dist FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist) = 7""")
+def kth_distance_blocks(spark, sf):
+    """J7 over many small blocks: a row meets only the blocks that its seventh neighbour can lie in."""
+    vec = F.array(F.col("c_acctbal").cast("double") / 1000, F.col("c_nationkey").cast("double")).alias("vec")
+    d = N.kth_distance(load_table(spark, sf, "customer", "c_custkey", vec), "c_custkey", "vec", 7, block=64)
+    return d.withColumn("dist", rounded(F.col("dist")))
+
+
 @query("elbow_curve", f"""WITH {_E}, d AS (SELECT a.vec_id AS id, list_distance(a.v, b.v) AS dist FROM e a, e b),
 k AS (SELECT id, dist FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist) = 5)
 SELECT id, round(dist, 6) AS dist, row_number() OVER (ORDER BY round(dist, 6) DESC, (id * 7919 + 104729) % 1000003, id)::BIGINT AS position FROM k""")

@@ -9,12 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import col, order_hash, square_distance
-from tabforge.operators.neighbors import block_pairs, square_distances, stack
+from tabforge.operators.boxes import BLOCK_ROWS, Columns, block_join, every_pair, hash_blocks, square_distances
 from tabforge.session import materialize
 
 SAMPLE_ROWS = 5000
@@ -54,75 +53,80 @@ def calinski_harabasz(stats: DataFrame) -> DataFrame:
     return out.select("run", k.alias("n_clusters"), F.col("within").alias("inertia"), score.alias("calinski_harabasz"))
 
 
+def _worst_ratio(l: Columns, r: Columns) -> Columns:
+    """Per left cluster the greatest (s_i + s_j) / d_ij against the others of the right block; 0 where centres coincide."""
+    d = np.sqrt(square_distances(l["center"], r["center"]))
+    ratio = np.divide(l["s"][:, None] + r["s"][None, :], d, out=np.zeros_like(d), where=d > 0)
+    ratio[l["label"][:, None] == r["label"][None, :]] = -1.0
+    return {"run": l["run"], "label": l["label"], "worst": ratio.max(axis=1)}
+
+
 def davies_bouldin(points: DataFrame, stats: DataFrame) -> DataFrame:
     """(run, davies_bouldin): mean over clusters of the worst (s_i + s_j) / d_ij; null for one cluster.
 
-    The rows are joined to their centroid once. The comparison of clusters runs inside one array per
-    run: its length is the number of clusters.
+    The rows are joined to their centroid once. The clusters of a run are compared in pairs of blocks,
+    of which only each cluster's worst ratio is left.
     """
     centers = stats.select("run", "label", "center")
     mean_dist = _long(points).join(centers, ["run", "label"]).groupBy("run", "label").agg(
         F.avg(F.sqrt(square_distance(F.col("vec"), F.col("center")))).alias("s"))
-    packed = mean_dist.join(centers, ["run", "label"]).groupBy("run").agg(F.collect_list(F.struct("label", "s", "center")).alias("cs"))
-    each = packed.select("run", F.explode("cs").alias("i"), "cs")
-    ratios = F.transform("cs", lambda j: F.when(
-        j["label"] != F.col("i")["label"],
-        F.coalesce(F.try_divide(j["s"] + F.col("i")["s"], F.sqrt(square_distance(j["center"], F.col("i")["center"]))), F.lit(0.0))))
-    return each.select("run", F.array_max(ratios).alias("worst")).groupBy("run").agg(F.avg("worst").alias("davies_bouldin"))
+    per_run = -(-(stats.groupBy("run").count().agg(F.max("count")).first()[0] or 1) // BLOCK_ROWS)
+    block = F.col("run").cast("long") * per_run + F.pmod(F.xxhash64("label"), F.lit(per_run))
+    clusters = materialize(mean_dist.join(centers, ["run", "label"]).withColumn("block", block), "clusters")
+    blocks = clusters.select("run", "block").distinct()
+    pairs = blocks.withColumnRenamed("block", "lb").join(blocks.withColumnRenamed("block", "rb"), "run").select("lb", "rb", F.lit(0.0).alias("gap"))
+    worst = block_join(clusters, clusters, pairs, _worst_ratio, "run int, label long, worst double").groupBy("run", "label").agg(F.max("worst").alias("worst"))
+    return worst.groupBy("run").agg(F.when(F.count("*") > 1, F.avg("worst")).alias("davies_bouldin"))
 
 
-def _silhouettes(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+def _silhouettes(l: Columns, r: Columns) -> Columns:
     """Silhouette of every left row and run against the whole sample on the right."""
-    out = {"run": [], "s": [], "n_labels": []}
-    if not l.empty and not r.empty:
-        d = np.sqrt(square_distances(stack(l["vec"]), stack(r["rvec"])))
-        mine, theirs = np.stack(l["labels"].to_numpy()), np.stack(r["rlabels"].to_numpy())
-        for run in range(theirs.shape[1]):
-            names, code = np.unique(theirs[:, run], return_inverse=True)
-            size = np.bincount(code, minlength=len(names)).astype(float)
-            order = np.argsort(code, kind="stable")
-            starts = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(int)
-            sums = np.add.reduceat(d[:, order], starts, axis=1)
-            own = np.searchsorted(names, mine[:, run])
-            rows = np.arange(len(l))
-            own_size = size[own]
-            a = sums[rows, own] / np.maximum(own_size - 1, 1)
-            means = sums / size
-            means[rows, own] = np.inf
-            b = means.min(axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                s = np.where((own_size > 1) & np.isfinite(b), (b - a) / np.maximum(a, b), 0.0)
-            out["run"].append(np.full(len(l), run))
-            out["s"].append(np.nan_to_num(s))
-            out["n_labels"].append(np.full(len(l), len(names)))
-    flat = {k: np.concatenate(v) if v else [] for k, v in out.items()}
-    return pd.DataFrame(flat).astype({"run": "int32", "s": "float64", "n_labels": "int32"})
-
-
-def _distance_sums(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+    out: dict[str, list] = {"run": [], "s": [], "n_labels": []}
+    d = np.sqrt(square_distances(l["vec"], r["vec"]))
+    for run in range(r["labels"].shape[1]):
+        names, code = np.unique(r["labels"][:, run], return_inverse=True)
+        size = np.bincount(code, minlength=len(names)).astype(float)
+        order = np.argsort(code, kind="stable")
+        starts = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(int)
+        sums = np.add.reduceat(d[:, order], starts, axis=1)
+        own = np.searchsorted(names, l["labels"][:, run])
+        rows = np.arange(len(own))
+        own_size = size[own]
+        a = sums[rows, own] / np.maximum(own_size - 1, 1)
+        means = sums / size
+        means[rows, own] = np.inf
+        b = means.min(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = np.where((own_size > 1) & np.isfinite(b), (b - a) / np.maximum(a, b), 0.0)
+        out["run"].append(np.full(len(own), run))
+        out["s"].append(np.nan_to_num(s))
+        out["n_labels"].append(np.full(len(own), len(names)))
+    return {k: np.concatenate(v) for k, v in out.items()}
+
+
+def _distance_sums(l: Columns, r: Columns) -> Columns:
     """Per left row, run and label of the right block: summed distances and rows."""
-    out = []
-    if not l.empty and not r.empty:
-        d = np.sqrt(square_distances(stack(l["vec"]), stack(r["rvec"])))
-        mine, theirs = np.stack(l["labels"].to_numpy()), np.stack(r["rlabels"].to_numpy())
-        for run in range(theirs.shape[1]):
-            names, code, size = np.unique(theirs[:, run], return_inverse=True, return_counts=True)
-            order = np.argsort(code, kind="stable")
-            sums = np.add.reduceat(d[:, order], np.cumsum(size) - size, axis=1)
-            out.append(pd.DataFrame({
-                "id": np.repeat(l["id"].to_numpy(), len(names)), "run": run, "own": (mine[:, run, None] == names[None, :]).ravel(),
-                "label": np.tile(names, len(l)), "total": sums.ravel(), "n": np.tile(size, len(l))}))
-    empty = {"id": [], "run": [], "own": [], "label": [], "total": [], "n": []}
-    frame = pd.concat(out) if out else pd.DataFrame(empty)
-    return frame.astype({"id": "int64", "run": "int32", "own": "bool", "label": "int64", "total": "float64", "n": "int64"})
+    out: dict[str, list] = {"id": [], "run": [], "own": [], "label": [], "total": [], "n": []}
+    d = np.sqrt(square_distances(l["vec"], r["vec"]))
+    for run in range(r["labels"].shape[1]):
+        names, code, size = np.unique(r["labels"][:, run], return_inverse=True, return_counts=True)
+        sums = np.add.reduceat(d[:, np.argsort(code, kind="stable")], np.cumsum(size) - size, axis=1)
+        out["id"].append(np.repeat(l["id"], len(names)))
+        out["run"].append(np.full(sums.size, run))
+        out["own"].append((l["labels"][:, run, None] == names[None, :]).ravel())
+        out["label"].append(np.tile(names, len(d)))
+        out["total"].append(sums.ravel())
+        out["n"].append(np.tile(size, len(d)))
+    return {k: np.concatenate(v) for k, v in out.items()}
 
 
 def _exact_silhouette(points: DataFrame) -> DataFrame:
-    """Every row against every row, in pairs of blocks: a task sees one pair, sums per label leave it."""
-    points = materialize(points.withColumn("cell", F.lit(0)), "points")
+    """Every row against every row, in pairs of blocks: a task sees one left block, sums per label leave it."""
+    points = materialize(points, "points")
     n = points.count()
-    right = points.select(F.col("id").alias("rid"), F.col("vec").alias("rvec"), F.col("labels").alias("rlabels"), "cell")
-    parts = block_pairs(points, right, "id", "rid", 1, [n], _distance_sums, "id long, run int, own boolean, label long, total double, n long", left_counts=[n])
+    blocked = hash_blocks(points, n, "id")
+    n_blocks = max(1, -(-n // BLOCK_ROWS))
+    parts = block_join(blocked, blocked, every_pair(n_blocks, n_blocks, points.sparkSession), _distance_sums, "id long, run int, own boolean, label long, total double, n long")
     sums = parts.groupBy("id", "run", "own", "label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own, other = F.col("own"), ~F.col("own")
     row = sums.groupBy("id", "run").agg(
@@ -142,9 +146,9 @@ def silhouette(points: DataFrame, sample: int | None = SAMPLE_ROWS) -> DataFrame
     """
     if sample is None:
         return _exact_silhouette(points)
-    drawn = materialize(points.orderBy(order_hash("id"), "id").limit(sample).withColumn("cell", F.lit(0)), "sample")
-    right = drawn.select(F.col("id").alias("rid"), F.col("vec").alias("rvec"), F.col("labels").alias("rlabels"), "cell")
-    per_row = block_pairs(drawn, right, "id", "rid", 1, [1], _silhouettes, "run int, s double, n_labels int", left_counts=[sample])
+    drawn = materialize(points.orderBy(order_hash("id"), "id").limit(sample), "sample")
+    pairs = every_pair(max(1, -(-sample // BLOCK_ROWS)), 1, points.sparkSession)
+    per_row = block_join(hash_blocks(drawn, sample, "id"), drawn.withColumn("block", F.lit(0).cast("long")), pairs, _silhouettes, "run int, s double, n_labels int")
     k, n = F.max("n_labels"), F.count("*")
     return per_row.groupBy("run").agg(F.when((k > 1) & (k < n), F.avg("s")).alias("silhouette"))
 

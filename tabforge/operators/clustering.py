@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.operators.agglomerative import NEIGHBORS, TOP_CLUSTERS, cut_labels, merge_steps, merge_tree
 from tabforge.operators.cluster_scores import SAMPLE_ROWS, score_clusterings
 from tabforge.operators.encoding import apply_standard, fit_standard
-from tabforge.operators.neighbors import knn_graph, square_distances, stack
+from tabforge.operators.neighbors import square_distances, stack
 from tabforge.session import materialize
 
-MAX_MICRO_CLUSTERS = 1000
-
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
@@ -241,135 +238,27 @@ def best_k(table: DataFrame) -> int:
 
 # --- agglomerative ----------------------------------------------------------------------------------
 
-def micro_clusters(df: DataFrame, id_col: str, features: Sequence[str], m: int, seed: int = 42) -> DataFrame:
-    """(id, features..., micro): rows assigned to at most ``m`` small k-means clusters."""
-    data = materialize(assemble(df, features), "micro")
-    model = KMeans(k=m, seed=seed, maxIter=20, featuresCol="features", predictionCol="micro").fit(data)
-    return model.transform(data).drop("features")
-
-
-def merge_order(sizes: np.ndarray, centers: np.ndarray, edges: Iterable[tuple[int, int]], linkage: str) -> list[tuple[int, int, float]]:
-    """Merges (a, b, height) of summaries along neighbour edges; b is absorbed by a.
-
-    Works on a bounded number of cluster summaries (MAX_MICRO_CLUSTERS), never on rows. Ward costs come
-    from sizes and centres and are exact for the summaries; complete and average use distances between
-    centres. Parts that no edge connects are joined by their closest pair first.
-    """
-    size, center = sizes.astype(float).copy(), centers.astype(float).copy()
-    near: list[dict[int, float]] = [{} for _ in size]
-
-    def cost(a: int, b: int) -> float:
-        d2 = float(((center[a] - center[b]) ** 2).sum())
-        return size[a] * size[b] / (size[a] + size[b]) * d2 if linkage == "ward" else d2 ** 0.5
-
-    def connect(a: int, b: int) -> None:
-        near[a][b] = near[b][a] = cost(a, b)
-
-    part = np.arange(len(size))
-    for a, b in edges:
-        if a != b:
-            connect(a, b)
-            part[part == part[b]] = part[a]
-    while len(np.unique(part)) > 1:
-        inside = part == part[0]
-        i, o = np.flatnonzero(inside), np.flatnonzero(~inside)
-        d = ((center[i][:, None, :] - center[o][None, :, :]) ** 2).sum(axis=2)
-        x, y = np.unravel_index(d.argmin(), d.shape)
-        connect(int(i[x]), int(o[y]))
-        part[part == part[o[y]]] = part[0]
-
-    alive = np.ones(len(size), dtype=bool)
-    heap = [(c, a, b) for a in range(len(size)) for b, c in near[a].items() if a < b]
-    heapq.heapify(heap)
-    merges = []
-    while heap:
-        c, a, b = heapq.heappop(heap)
-        if not (alive[a] and alive[b]) or near[a].get(b) != c:
-            continue
-        merges.append((a, b, c))
-        alive[b] = False
-        links = {k: (near[a].get(k), near[b].get(k)) for k in {*near[a], *near[b]} - {a, b}}
-        total = size[a] + size[b]
-        center[a] = (size[a] * center[a] + size[b] * center[b]) / total
-        for k, (da, db) in links.items():
-            near[k].pop(b, None)
-            if linkage != "ward" and da is not None and db is not None:
-                new = max(da, db) if linkage == "complete" else (size[a] * da + size[b] * db) / total
-            else:
-                new = da if db is None else db
-            near[a][k] = near[k][a] = new
-        size[a] = total
-        near[a].pop(b, None)
-        near[b].clear()
-        for k in near[a]:
-            if linkage == "ward":
-                near[a][k] = near[k][a] = cost(a, k)
-            heapq.heappush(heap, (near[a][k], min(a, k), max(a, k)))
-    return merges
-
-
-def cut(n: int, merges: Sequence[tuple[int, int, float]], k: int) -> list[int]:
-    """Label 0..k-1 of each of ``n`` summaries after stopping the merges at ``k`` clusters."""
-    owner = list(range(n))
-    for a, b, _ in merges[: max(0, n - k)]:
-        owner = [a if o == b else o for o in owner]
-    names = {o: i for i, o in enumerate(sorted(set(owner)))}
-    return [names[o] for o in owner]
-
-
 def agglomerative_labels(
-    df: DataFrame, id_col: str, features: Sequence[str], linkages: Sequence[str], ks: Sequence[int], micro: int = MAX_MICRO_CLUSTERS,
-    neighbors: int | None = 10,
+    df: DataFrame, id_col: str, features: Sequence[str], linkages: Sequence[str], ks: Sequence[int], neighbors: int = NEIGHBORS, top: int = TOP_CLUSTERS,
 ) -> tuple[DataFrame, list[str], DataFrame]:
     """Standardised rows with a label column ``<linkage>_k<k>`` per setting, those columns' names, and the
-    merge table (linkage, step, a, b, height).
-
-    Rows are summarised into micro-clusters; the k-nearest-neighbour graph of all rows is folded to
-    edges between them. ``neighbors=None`` leaves the graph out: every pair of summaries may merge.
-    """
-    if micro > MAX_MICRO_CLUSTERS:
-        raise ValueError(f"at most {MAX_MICRO_CLUSTERS} micro-clusters")
-    spark = df.sparkSession
+    merge table (linkage, step, a, b, height) of all rows."""
     rows = materialize(standardized(df, features), "rows")
-    micro = max(max(ks), min(micro, rows.count() // 10))
-    labelled = materialize(micro_clusters(rows, id_col, features, micro), "micro")
-    stats = labelled.groupBy("micro").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in features]).orderBy("micro").collect()  # <= micro rows
-    index = {r["micro"]: i for i, r in enumerate(stats)}
-    sizes = np.array([r["n"] for r in stats])
-    centers = np.array([[r[c] for c in features] for r in stats])
-    if neighbors is None:
-        edges = [(i, j) for i in range(len(stats)) for j in range(i + 1, len(stats))]
-    else:
-        points = labelled.select(F.col(id_col).cast("long").alias("id"), F.array(*features).alias("vec"))
-        of = labelled.select(F.col(id_col).cast("long").alias("_id"), "micro")
-        graph = knn_graph(points, "id", "vec", neighbors)
-        folded = (
-            graph.join(of.withColumnsRenamed({"_id": "src", "micro": "a"}), "src").join(of.withColumnsRenamed({"_id": "dst", "micro": "b"}), "dst")
-            .filter("a < b").select("a", "b").distinct()
-        )
-        edges = [(index[r["a"]], index[r["b"]]) for r in folded.collect()]  # <= micro^2 / 2 pairs of summaries
-    names, columns, steps = [], [[r["micro"]] for r in stats], []
-    for linkage in linkages:
-        merges = merge_order(sizes, centers, edges, linkage)
-        steps += [(linkage, i + 1, int(stats[a]["micro"]), int(stats[b]["micro"]), float(h)) for i, (a, b, h) in enumerate(merges)]
-        for k in ks:
-            names.append(f"{linkage}_k{k}")
-            for row, label in zip(columns, cut(len(stats), merges, k)):
-                row.append(label)
-    mapping = spark.createDataFrame([tuple(r) for r in columns], "micro int, " + ", ".join(f"{n} int" for n in names))
-    merge_table = spark.createDataFrame(steps, "linkage string, step int, a int, b int, height double")
-    return labelled.join(F.broadcast(mapping), "micro").drop("micro"), names, merge_table  # one row per micro-cluster
+    points = rows.select(F.col(id_col).cast("long").alias("id"), F.array(*features).alias("vec"))
+    tree = merge_tree(points, linkages, neighbors, top)
+    labels, names = cut_labels(points.select("id"), tree, linkages, ks)
+    return rows.join(labels.withColumnRenamed("id", id_col), id_col), names, merge_steps(tree)
 
 
 def agglomerative_sweep(
     df: DataFrame, id_col: str, features: Sequence[str], linkages: Sequence[str] = ("ward", "complete", "average"),
-    ks: Sequence[int] = range(2, 9), micro: int = MAX_MICRO_CLUSTERS, neighbors: int = 10, min_size: int = 10, sample: int = SAMPLE_ROWS,
+    ks: Sequence[int] = range(2, 9), neighbors: int = NEIGHBORS, min_size: int = 10, sample: int = SAMPLE_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Score table (linkage, k, silhouette, davies_bouldin, calinski_harabasz) and the labelled rows.
 
     Settings with fewer than two clusters or a cluster under ``min_size`` rows are left out.
     """
-    labelled, names, _ = agglomerative_labels(df, id_col, features, linkages, ks, micro, neighbors)
+    labelled, names, _ = agglomerative_labels(df, id_col, features, linkages, ks, neighbors)
     labelled = materialize(labelled, "labels")
     sizes = labelled.unpivot([], names, "clustering", "label").groupBy("clustering", "label").agg(F.count("*").alias("n"))
     usable = sizes.groupBy("clustering").agg(F.min("n").alias("smallest"), F.count("*").alias("k")).filter(
@@ -385,11 +274,11 @@ def agglomerative_sweep(
     ), labelled
 
 
-def compare_methods(df: DataFrame, id_col: str, features: Sequence[str], n_init: int = 10, micro: int = MAX_MICRO_CLUSTERS,
+def compare_methods(df: DataFrame, id_col: str, features: Sequence[str], n_init: int = 10, neighbors: int = NEIGHBORS,
                     sample: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
-    """(method, silhouette, davies_bouldin, calinski_harabasz): k-means 4 and 6, ward 4 and complete 4 without a graph."""
+    """(method, silhouette, davies_bouldin, calinski_harabasz): k-means 4 and 6, ward 4 and complete 4."""
     means = kmeans_labels(df, id_col, features, [4, 6], n_init, seed)
-    trees, _, _ = agglomerative_labels(df, id_col, features, ["ward", "complete"], [4], micro, neighbors=None)
+    trees, _, _ = agglomerative_labels(df, id_col, features, ["ward", "complete"], [4], neighbors)
     joined = means.join(trees.select(id_col, "ward_k4", "complete_k4"), id_col)
     names = {"k4": "KMeans_k4", "k6": "KMeans_k6", "ward_k4": "Hierarchical_ward_k4", "complete_k4": "Hierarchical_complete_k4"}
     scores = score_clusterings(joined.withColumnsRenamed(names), id_col, features, list(names.values()), sample)

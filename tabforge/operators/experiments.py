@@ -49,7 +49,7 @@ CLASSIFIERS = [
     Experiment("forest_200_tuned_balanced", "forest", {"trees": 200, "depth": 20, "leaf": 5}, "forest30", "weights"),
     Experiment("boosted_100", "boosted", _BOOST, "all", "scale"),
     Experiment("calibrated_svm_top20", "calibrated_svm", {"c": 1.0}, "anova20", "smote"),
-    Experiment("perceptron_top30", "perceptron", {"hidden": [128, 64], "iterations": 200}, "forest30", "smote"),
+    Experiment("perceptron_top30", "perceptron", {"hidden": [128, 64], "iterations": 200, "alpha": 0.001}, "forest30", "smote"),
 ]
 
 REGRESSORS = [

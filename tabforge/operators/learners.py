@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.operators import gradient
 from tabforge.operators.clustering import assemble
 from tabforge.operators.folds import k_folds
 from tabforge.operators.neighbors import knn_vote
@@ -65,29 +66,21 @@ def _boosted(p):
 
 
 def _calibrated_svm(train, test, features, p):
-    """Linear SVM on each part of a 3-fold split, a logistic curve fitted on the held-out margins, mean probability."""
-    parts = k_folds(train.withColumn("_row", F.xxhash64("id", F.coalesce("_copy", F.lit(-1)))), "_row", p.get("folds", 3), "y", "_part")
-    parts, test_vec = assemble(materialize(parts, "svm"), features), assemble(test, features)
-    sizes = {r["_part"]: r["count"] for r in parts.groupBy("_part").count().collect()}  # one row per part
-    margin = F.array(vector_to_array("rawPrediction")[1])
-    out = test_vec
-    for i in range(p.get("folds", 3)):
-        n = max(1, sum(size for part, size in sizes.items() if part != i))  # rows this machine is fitted on
-        svm = C.LinearSVC(regParam=1.0 / (p["c"] * n), maxIter=p.get("iterations", 100), tol=1e-4, standardization=False, featuresCol="features", labelCol="y",
-                          rawPredictionCol="rawPrediction", predictionCol="_p").fit(parts.filter(F.col("_part") != i))
-        held = svm.transform(parts.filter(F.col("_part") == i)).withColumn("m", vector_to_array("rawPrediction")[1])
-        sigmoid = C.LogisticRegression(featuresCol="mv", labelCol="y", probabilityCol="pv", rawPredictionCol="rv", predictionCol="_q").fit(assemble(held, ["m"], "mv"))
-        scored = svm.transform(out).withColumn("m", vector_to_array("rawPrediction")[1])
-        out = sigmoid.transform(assemble(scored, ["m"], "mv")).withColumn(f"_s{i}", vector_to_array("pv")[1]).drop(
-            "rawPrediction", "_p", "m", "mv", "pv", "rv", "_q")
+    """Squared-hinge linear machine without each part of a 3-fold split, a sigmoid fitted on the margins of that part, mean probability."""
     k = p.get("folds", 3)
-    score = sum((F.col(f"_s{i}") for i in range(1, k)), F.col("_s0")) / k
-    return out.select("id", "y", score.alias("score"), (score > 0.5).cast("double").alias("pred"))
+    parts = k_folds(train.withColumn("_row", F.xxhash64("id", F.coalesce("_copy", F.lit(-1)))), "_row", k, "y", "_part")
+    parts = materialize(parts, "svm")
+    machines = gradient.squared_hinge(parts, features, "y", p["c"], F.col("_part"), k)
+    own = gradient.margins(features, machines)[F.col("_part").cast("int")]
+    curves = gradient.sigmoids(parts, own, "y", F.col("_part"), k)
+    scored = test.withColumn("_m", gradient.margins(features, machines))
+    score = sum((1 / (1 + F.exp(-(F.col("_m")[i] * float(a) + float(b)))) for i, (a, b) in enumerate(curves)), F.lit(0.0)) / k
+    return scored.select("id", "y", score.alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("double"))
 
 
 def _perceptron(train, test, features, p):
-    est = C.MultilayerPerceptronClassifier(layers=[len(features), *p["hidden"], 2], maxIter=p["iterations"], seed=SEED)
-    return _classify(est, train, test, features)
+    model = gradient.fit_perceptron(train, features, "y", p["hidden"], p.get("alpha", 0.001), p["iterations"], seed=SEED)
+    return test.select("id", "y", model.score(features).alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("double"))
 
 
 def _ridge(train, test, features, p):

@@ -1,186 +1,146 @@
 """Exact neighbour joins in Euclidean space without a cross join.
 
-Points are cut into cells around pivots. A cell j can hold a point within r of x only if
-d(x, pivot_j) - radius_j <= r, so a row visits only the cells its radius reaches. Inside a cell both
-sides are cut into blocks of bounded size; a task sees one block pair, computes the distance matrix
-with numpy and returns per left row only what the operator needs (its best k, a count, a label), never
-the pairs. A cell that holds a third of the rows is simply many block pairs. Copies of a vector are
-collapsed before any of this, so a group of copies costs one point.
+Rows lie in blocks of a Z-curve (``operators/boxes.py``). A first pass searches each left row's own
+block, which bounds the distance of its k-th neighbour; a second visits only the blocks whose boxes lie
+within the bound of some row, and in a task only the rows that reach the box. What leaves a task is, per
+left row, its best k, never the pairs. Copies of a vector are collapsed before any of this, so a group
+of copies costs one point.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import order_hash
+from tabforge.operators.boxes import (
+    BLOCK_ROWS, Columns, arrow_table, block_join, box_span, boxes, columns_of, fit_curve, greatest_differences, lay_out, reachable, rows_of, runs_of, square_distances,
+)
 from tabforge.operators.ordering import bucketed_rank, running_totals
 from tabforge.session import materialize
 
-BLOCK_ROWS = 1024
-MAX_CELLS = 1024
-
 
 def stack(s: pd.Series) -> np.ndarray:
     return np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.empty((0, 0))
 
 
-def square_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances, one dimension at a time: exact for equal points, no (a x b x d) array."""
-    out = np.zeros((len(a), len(b)))
-    if len(a) and len(b):
-        for j in range(a.shape[1]):
-            diff = a[:, j, None] - b[None, :, j]
-            out += diff * diff
-    return out
-
-
-@dataclass(frozen=True)
-class Cells:
-    """Pivots with the number of points and the radius of each cell; at most MAX_CELLS entries."""
-
-    pivots: np.ndarray
-    counts: list[int]
-    radius: np.ndarray
-
-    def nearest(self, vec: Column) -> Column:
-        """struct(cell, dist) of the nearest pivot."""
-        pivots = self.pivots
+# --- k nearest neighbours ---------------------------------------------------------------------------
 
-        @F.pandas_udf("cell int, dist double")
-        def assign(v: pd.Series) -> pd.DataFrame:
-            d2 = square_distances(stack(v), pivots) if len(v) else np.empty((0, len(pivots)))
-            cell = d2.argmin(axis=1) if len(v) else np.empty(0, dtype=int)
-            return pd.DataFrame({"cell": cell.astype("int32"), "dist": np.sqrt(d2[np.arange(len(v)), cell])})
+FOUND = "id long, neighbor long, dist double"
 
-        return assign(vec)
 
-    def reach(self, vec: Column, bound: Column) -> Column:
-        """Array of the cells that may hold a point within ``bound``; a null bound reaches all of them."""
-        pivots, radius, alive = self.pivots, self.radius, np.array(self.counts) > 0
+def _best(df: DataFrame, k: int) -> DataFrame:
+    """The k nearest per id; ties by neighbour id. The rank filter is pushed below the shuffle."""
+    w = Window.partitionBy("id").orderBy("dist", "neighbor")
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
-        @F.pandas_udf("array<int>")
-        def cells(v: pd.Series, r: pd.Series) -> pd.Series:
-            if not len(v):
-                return pd.Series([], dtype=object)
-            low = np.sqrt(square_distances(stack(v), pivots)) - radius[None, :]
-            limit = r.astype("float64").fillna(np.inf).to_numpy()
-            limit = limit * (1 + 1e-9) + 1e-9  # rounding must not lose a neighbour
-            return pd.Series([np.flatnonzero(ok).astype("int32") for ok in (low <= limit[:, None]) & alive[None, :]])
 
-        return cells(vec, bound)
+def _nearest(l: Columns, r: Columns, k: int, greatest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(places on the right, distances) of the k nearest of each left row, ties by neighbour id."""
+    by_id = np.argsort(r["id"], kind="stable")
+    d = (greatest_differences if greatest else square_distances)(l["vec"], r["vec"][by_id])
+    if d.shape[1] > 4 * k:
+        # All that could be among the k, ties with the last included, then in order.
+        last = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+        width = int((d <= last).sum(axis=1).max(initial=0))
+        near = np.sort(np.argpartition(d, min(width, d.shape[1] - 1), axis=1)[:, :width], axis=1)
+        order = np.argsort(np.take_along_axis(d, near, axis=1), axis=1, kind="stable")[:, :k]
+        near = np.take_along_axis(near, order, axis=1)
+    else:
+        near = np.argsort(d, axis=1, kind="stable")[:, :k]
+    dist = np.take_along_axis(d, near, axis=1)
+    return by_id[near], dist if greatest else np.sqrt(dist)
+
+
+def _top_k(k: int, greatest: bool):
+    """The k nearest right rows of the left rows whose ``reach`` touches the right block's box."""
+    def fn(l: Columns, r: Columns) -> Columns:
+        low, high = r["vec"].min(axis=0), r["vec"].max(axis=0)
+        apart = np.maximum(np.maximum(low - l["vec"], l["vec"] - high), 0)
+        gap = apart.max(axis=1, initial=0) if greatest else np.sqrt((apart * apart).sum(axis=1))
+        reach = np.where(np.isnan(l["reach"]), np.inf, l["reach"]) * (1 + 1e-9) + 1e-9
+        l = rows_of(l, gap <= reach)
+        if not len(l["id"]):
+            return {"id": np.zeros(0), "neighbor": np.zeros(0), "dist": np.zeros(0)}
+        near, dist = _nearest(l, r, k, greatest)
+        return {"id": np.repeat(l["id"], near.shape[1]), "neighbor": r["id"][near.ravel()], "dist": dist.ravel()}
+    return fn
 
 
-def fit_cells(points: DataFrame, id_col: str, vec: str, block: int = BLOCK_ROWS, max_cells: int = MAX_CELLS) -> tuple[Cells, DataFrame]:
-    """Cells for ``points`` and the points with their cell.
+def _own_blocks(placed: DataFrame, k: int, greatest: bool) -> DataFrame:
+    """(grp, id, vec, block, run, neighbors, dists, reach) of the left rows (side 0): the nearest right rows (side 1) of their own block.
 
-    Pivots are the first points in hash order, about one per block. What reaches the driver is the
-    pivots and two numbers per cell.
+    ``reach`` is the distance of the k-th, null where the block has fewer.
     """
-    n = points.count()
-    m = max(1, min(max_cells, math.ceil(n / block)))
-    rows = points.orderBy(order_hash(id_col), id_col).limit(m).select(vec).collect()
-    pivots = np.unique(np.array([r[0] for r in rows], dtype=np.float64), axis=0) if rows else np.zeros((1, 1))
-    bare = Cells(pivots, [0] * len(pivots), np.zeros(len(pivots)))
-    placed = points.withColumn("_c", bare.nearest(F.col(vec))).withColumns({"cell": F.col("_c.cell"), "_cell_dist": F.col("_c.dist")}).drop("_c")
-    placed = materialize(placed, "cells")
-    counts, radius = [0] * len(pivots), np.zeros(len(pivots))
-    for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("_cell_dist").alias("r")).collect():
-        counts[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
-    return Cells(pivots, counts, radius), placed.drop("_cell_dist")
-
-
-def _per_cell(values: Sequence[int], cell: Column) -> Column:
-    return F.array(*[F.lit(int(v)) for v in values])[cell]
-
-
-def block_pairs(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str, n_cells: int, right_counts: Sequence[int],
-    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, block: int = BLOCK_ROWS,
-    left_counts: Sequence[int] | None = None,
-) -> DataFrame:
-    """Run ``fn`` on every pair of a left and a right block of the same cell.
+    schema = "id long, vec array<double>, block long, run long, neighbors array<long>, dists array<double>, reach double, grp string"
 
-    Both frames carry a ``cell`` column. Each left row meets every right row of its cell exactly once.
-    """
-    if left_counts is None:
-        left_counts = [0] * n_cells
-        for r in left.groupBy("cell").count().collect():  # one number per cell
-            left_counts[r["cell"]] = r["count"]
-    nl = [max(1, math.ceil(c / block)) for c in left_counts]
-    nr = [max(1, math.ceil(c / block)) for c in right_counts]
-    cell = F.col("cell")
-    lb = F.pmod(F.xxhash64(left_id), _per_cell(nl, cell).cast("long")).cast("int")
-    rb = F.pmod(F.xxhash64(right_id), _per_cell(nr, cell).cast("long")).cast("int")
-    l_side = left.withColumn("_lb", lb).withColumn("_rb", F.explode(F.sequence(F.lit(0), _per_cell(nr, cell) - 1)))
-    r_side = right.withColumn("_rb", rb).withColumn("_lb", F.explode(F.sequence(F.lit(0), _per_cell(nl, cell) - 1)))
-    keys = ["cell", "_lb", "_rb"]
-    # Both sides may stem from one table: fresh names give the right keys identities of their own.
-    r_side = r_side.withColumnsRenamed({k: f"{k}_r" for k in keys})
-    return l_side.groupBy(*keys).cogroup(r_side.groupBy(*[f"{k}_r" for k in keys])).applyInPandas(fn, schema)
+    def run(table: pa.Table) -> pa.Table:
+        grp = table.column("grp")[0].as_py()
+        rows = columns_of(table.drop_columns(["grp"]))
+        l, r = rows_of(rows, rows["side"] == 0), rows_of(rows, rows["side"] == 1)
+        near, dist = _nearest(l, r, k, greatest) if len(l["id"]) and len(r["id"]) else (np.zeros((len(l["id"]), 0), np.int64), np.zeros((len(l["id"]), 0)))
+        l["neighbors"], l["dists"] = r["id"][near] if len(r["id"]) else near, dist
+        reach = dist[:, -1] if near.shape[1] == k else np.full(len(near), np.nan)
+        out = arrow_table(l | {"reach": reach, "grp": np.full(len(near), grp, object)}, schema)
+        return out if near.shape[1] == k else out.set_column(6, "reach", pa.nulls(len(near), pa.float64()))
 
+    return placed.groupBy("block").applyInArrow(run, schema)
 
-# --- k nearest neighbours ---------------------------------------------------------------------------
 
-def _best(df: DataFrame, k: int) -> DataFrame:
-    """The k nearest per id; ties by neighbour id. The rank filter is pushed below the shuffle."""
-    w = Window.partitionBy("id").orderBy("dist", "neighbor")
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+def _with_reach(lefts: DataFrame, rights: DataFrame, k: int, size: int, greatest: bool) -> DataFrame:
+    """Left boxes without a reach get the greatest distance of the run, of those that hold k right rows, where it is least."""
+    full = runs_of(rights, size).filter(F.col("n") >= k).select("grp", F.col("low").alias("r_low"), F.col("high").alias("r_high"))
+    span = box_span("l", "r", greatest)
+    open_ends = lefts.filter("reach is null").select("grp", "block", "run", "n", F.col("low").alias("l_low"), F.col("high").alias("l_high"))
+    bounded = open_ends.join(full, "grp", "left").groupBy("grp", "block", "run").agg(
+        F.first("n").alias("n"), F.first("l_low").alias("low"), F.first("l_high").alias("high"), F.min(span).alias("reach"))
+    return lefts.filter("reach is not null").unionByName(bounded)
 
 
-def _top_k(k: int):
-    def fn(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if l.empty or r.empty:
-            return pd.DataFrame({"id": [], "neighbor": [], "dist": []}).astype({"id": "int64", "neighbor": "int64", "dist": "float64"})
-        r = r.sort_values("neighbor", kind="stable")
-        d2 = square_distances(stack(l["vec"]), stack(r["rvec"]))
-        order = np.argsort(d2, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(l)), order.shape[1])
-        return pd.DataFrame({
-            "id": l["id"].to_numpy()[rows], "neighbor": r["neighbor"].to_numpy()[order.ravel()],
-            "dist": np.sqrt(d2[rows, order.ravel()]),
-        })
-    return fn
+def nearest_lists(left: DataFrame, right: DataFrame, k: int, greatest: bool = False, block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(id, neighbor, dist, rank) of the k nearest right rows of the same group, and the left rows (grp, id, vec) as a table.
+
+    Both frames are (grp string, id, vec). Left ids tell rows apart across groups. Distances are
+    Euclidean, or with ``greatest`` the greatest difference in any dimension.
+    """
+    both = materialize(left.select("grp", "id", "vec").withColumn("side", F.lit(0)).unionByName(right.select("grp", "id", "vec").withColumn("side", F.lit(1))), "points")
+    curve = fit_curve(both, block=2 * block)
+    placed = lay_out(both, curve, block=2 * block)
+    own = materialize(_own_blocks(placed, k, greatest), "near")
+    found = own.select("id", F.inline(F.arrays_zip(F.col("neighbors").alias("neighbor"), F.col("dists").alias("dist"))))
+    if curve.rows > 2 * block:
+        rights = placed.filter("side = 1").select("id", "vec", "block")
+        left_boxes = boxes(own, curve.size, F.when(F.count_if(F.col("reach").isNull()) == 0, F.max("reach")).alias("reach"))
+        right_boxes = materialize(boxes(placed.filter("side = 1"), curve.size), "boxes")
+        pairs = reachable(_with_reach(left_boxes, right_boxes, k, curve.size, greatest), right_boxes, curve.size, greatest).filter("lb <> rb")
+        found = found.unionByName(block_join(own.select("id", "vec", "block", "reach"), rights, pairs, _top_k(k, greatest), FOUND))
+    return _best(found, k), own.select("grp", "id", "vec")
 
 
 def knn_join(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str, vec: str, k: int, exclude_self: bool = False,
-    block: int = BLOCK_ROWS, max_cells: int = MAX_CELLS,
+    left: DataFrame, right: DataFrame, left_id: str, right_id: str, vec: str, k: int, exclude_self: bool = False, block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(id, neighbor, dist, rank): the exact k nearest right rows of every left row, ties by neighbour id.
 
     Ids are integers, ``vec`` is an array of doubles in both frames. ``exclude_self`` drops the row with
-    the same id. Pass one searches the own cell and bounds the k-th distance of each row; pass two
-    visits only the other cells within that bound. Among copies of a right vector only the k + 1
-    smallest ids can ever be chosen, so only they take part; copies on the left are searched once.
+    the same id. Among copies of a right vector only the k + 1 smallest ids can ever be chosen, so only
+    they take part; copies on the left are searched once.
     """
     wanted = k + 1 if exclude_self else k
     l = left.select(F.col(left_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-    r = right.select(F.col(right_id).cast("long").alias("neighbor"), F.col(vec).cast("array<double>").alias("rvec"))
-    copies = Window.partitionBy("rvec").orderBy("neighbor")
-    r = r.withColumn("_n", F.row_number().over(copies)).filter(F.col("_n") <= wanted).drop("_n")
+    r = right.select(F.col(right_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    copies = Window.partitionBy("vec").orderBy("id")
+    r = r.withColumn("_n", F.row_number().over(copies)).filter(F.col("_n") <= wanted)
     searched = l.groupBy("vec").agg(F.min("id").alias("id"))
-    cells, r = fit_cells(r, "neighbor", "rvec", block, max_cells)
-    m = len(cells.pivots)
-    schema = "id long, neighbor long, dist double"
-    own = searched.withColumn("cell", cells.nearest(F.col("vec"))["cell"])
-    found = block_pairs(own, r, "id", "neighbor", m, cells.counts, _top_k(wanted), schema, block)
-    if m > 1:
-        found = materialize(_best(found, wanted).drop("rank"), "near")
-        bound = found.groupBy("id").agg(F.when(F.count("*") == wanted, F.max("dist")).alias("bound"))
-        others = (
-            own.withColumnRenamed("cell", "own").join(bound, "id", "left")
-            .withColumn("cell", F.explode(cells.reach(F.col("vec"), F.col("bound")))).filter("cell <> own").select("id", "vec", "cell")
-        )
-        found = found.unionByName(block_pairs(others, r, "id", "neighbor", m, cells.counts, _top_k(wanted), schema, block))
-    lists = _best(found, wanted).groupBy("id").agg(F.collect_list(F.struct("neighbor", "dist")).alias("near"))
-    by_vec = searched.join(lists, "id").select("vec", "near")
+    one = F.lit("").alias("grp")
+    near, kept = nearest_lists(searched.select(one, "id", "vec"), r.select(one, "id", "vec"), wanted, block=block)
+    lists = near.groupBy("id").agg(F.collect_list(F.struct("neighbor", "dist")).alias("near"))
+    by_vec = kept.join(lists, "id").select("vec", "near")
     hits = l.join(by_vec, "vec").select("id", F.inline("near"))
     return _best(hits.filter("neighbor <> id") if exclude_self else hits, k)
 

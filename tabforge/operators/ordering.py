@@ -1,7 +1,8 @@
 """Ranks, running totals and neighbours-in-order that never put one whole group into one task.
 
 A window over an unbounded group runs in a single task. The operators here cut every group into
-ordered buckets, run the window inside a bucket, and add per-bucket offsets, which are few.
+ordered buckets (slices of a uniform hash, or range partitions), run the window inside a bucket, and
+add per-bucket offsets, which are few.
 """
 
 from __future__ import annotations
@@ -52,48 +53,40 @@ def bucketed_rank(df: DataFrame, id_col: str, by: Sequence[str] = (), out: str =
     return join_same(df, offsets, [*by, "_b"]).withColumn(out, (within + F.col("_before__n")).cast("bigint")).drop("_h", "_b", "_before__n")
 
 
-def _split_points(df: DataFrame, by: Sequence[str], order: Column, buckets: int) -> dict[tuple, list[float]]:
-    """Approximate quantiles of ``order`` per group. Fetched once, because both halves of a running
-    total must use exactly the same cut points. Size: groups x buckets numbers."""
-    if buckets < 2:
-        return {}
-    probs = [i / buckets for i in range(1, buckets)]
-    rows = df.groupBy(*by).agg(F.percentile_approx(order, probs, max(1000, 20 * buckets)).alias("_q")).collect()
-    return {tuple(r[b] for b in by): sorted(set(r["_q"] or [])) for r in rows}
+def range_parts(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """``df`` as a table of consecutive ranges of ``order``, numbered by ``_b``.
+
+    Spark draws the range bounds from a sample, so ranges are about equal and there are as many as the
+    session has shuffle partitions. The number is written with the row: all that reads it sees one cut.
+    """
+    return materialize(df.repartitionByRange(*order).withColumn("_b", F.spark_partition_id()), "ranges")
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = (), descending: bool = False,
-    exclusive: bool = False, stored: bool = False,
+    df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = (), descending: bool = False, exclusive: bool = False,
 ) -> DataFrame:
     """Running totals of columns in the order of a numeric column, per group.
 
-    ``df`` must hold one row per (group, order value) -- aggregate first. ``by`` names a short list of
-    groups (columns of a profile, models of a comparison). ``sums`` maps output name to input column.
-    ``exclusive`` leaves the row's own value out. The input is read three times (cut points, bucket
-    totals, rows), so it is written out first unless ``stored`` says it already is a table.
+    ``df`` must hold one row per (group, order value) -- aggregate first. ``sums`` maps output name to
+    input column. ``exclusive`` leaves the row's own value out. Rows are cut into ranges of (group,
+    value); a range adds one offset per group that it holds.
     """
-    if not stored:
-        df = materialize(df, "ordered")
     key = (-F.col(order) if descending else F.col(order)).cast("double")
-    splits = _split_points(df, by, key, bucket_count(df.count()))
-    tag = F.concat_ws("\x01", *[F.col(b).cast("string") for b in by]) if by else F.lit("")
-    bucket = F.lit(0)
-    if splits:
-        pairs = []
-        for group, points in splits.items():
-            pairs += [F.lit("\x01".join(str(g) for g in group)), F.array(*[F.lit(float(p)) for p in points]).cast("array<double>")]
-        points_of = F.create_map(*pairs)[tag]
-        bucket = F.size(F.filter(points_of, lambda p: p < key))
-    df = df.withColumn("_k", key).withColumn("_b", bucket)
-    offsets = _bucket_offsets(df, by, "_b", {n: F.col(c) for n, c in sums.items()})
+    placed = range_parts(df.withColumn("_k", key), [*by, "_k"])
+    offsets = _bucket_offsets(placed, by, "_b", {n: F.col(c) for n, c in sums.items()})
     last = -1 if exclusive else 0
     inside = Window.partitionBy(*by, "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, last)
-    joined = join_same(df, offsets, [*by, "_b"])
+    joined = join_same(placed, offsets, [*by, "_b"])
     return joined.select(
-        *df.columns,
-        *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_before_{n}")).alias(n) for n, c in sums.items()],
-    ).drop("_k", "_b")
+        *df.columns, *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_before_{n}")).alias(n) for n, c in sums.items()])
+
+
+def range_rank(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), out: str = "rank") -> DataFrame:
+    """1-based rank inside each ``by`` group in the order of several columns; rows equal in all of them in any order."""
+    placed = range_parts(df, [*by, *order])
+    offsets = _bucket_offsets(placed, by, "_b", {"_n": F.lit(1)})
+    within = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))
+    return join_same(placed, offsets, [*by, "_b"]).select(*df.columns, (within + F.col("_before__n")).cast("bigint").alias(out))
 
 
 def value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -110,7 +103,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     that cover position prob * (n - 1).
     """
     counts = materialize(value_counts_long(df, columns), "counts")
-    ranked = running_totals(counts, "value", {"hi": "cnt"}, by=["column"], stored=True)
+    ranked = running_totals(counts, "value", {"hi": "cnt"}, by=["column"])
     n = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
     probs_col = F.array(*[F.lit(float(p)) for p in probs])
     hits = (

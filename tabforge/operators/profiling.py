@@ -11,56 +11,64 @@ from pyspark.sql import types as T
 
 from tabforge.functions.columns import col, correlation, is_true, share
 from tabforge.operators.ordering import exact_quantiles
-
-
-def _numeric(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+from tabforge.session import materialize
 
 
 def _cell_counts(df: DataFrame) -> DataFrame:
-    """(column, value as text, cnt) for every column: one shuffle, pre-aggregated, nulls kept."""
-    return df.unpivot([], [col(c).cast("string").alias(c) for c in df.columns], "column", "value") \
-        .groupBy("column", "value").agg(F.count("*").alias("cnt"))
+    """(column, value as text, cnt) for every column, nulls kept: one scan and one shuffle, pre-aggregated, written out."""
+    cells = df.unpivot([], [col(c).cast("string").alias(c) for c in df.columns], "column", "value")
+    return materialize(cells.groupBy("column", "value").agg(F.count("*").alias("cnt")), "cells")
+
+
+def _typed_cell(place: int, f: T.StructField) -> Column:
+    """(place, whole, real, text) of a cell in the narrowest form that tells its values apart; a missing one is null in all."""
+    c = col(f.name)
+    whole, real, text = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        whole = c.cast("long")
+    elif isinstance(f.dataType, T.DateType):
+        whole = F.unix_date(c).cast("long")
+    elif isinstance(f.dataType, T.TimestampType):
+        whole = F.unix_micros(c)
+    elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        real = c.cast("double")
+    else:
+        text = c.cast("string")
+    return F.struct(F.lit(place).alias("place"), whole.alias("whole"), real.alias("real"), text.alias("text"))
 
 
 def column_profile(df: DataFrame, top: int = 4) -> DataFrame:
     """column, dtype, n_missing, pct_missing, n_unique, min, mean, max, std, top_values.
 
-    Counting distinct values of many columns in one aggregate would copy every row once per column
-    per distinct; counting (column, value) pairs first keeps a single pre-aggregated shuffle and gives
-    missing, distinct and top values together.
+    The table is scanned once: each row gives its cells, typed, and those are counted by value in one
+    pre-aggregated shuffle. Missing, distinct and top values and the moments all come from the counts.
     """
-    cells = _cell_counts(df)
-    counts = cells.groupBy("column").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("cnt")).otherwise(0)).alias("n_missing"),
-        F.count("value").alias("n_unique"),
-        F.sum("cnt").alias("n_rows"),
-    )
-    types = df.dtypes
-    text = [c for c, t in types if t == "string"]
-    ranked = Window.partitionBy("column").orderBy(F.desc("cnt"), "value")
+    fields = df.schema.fields
+    cells = df.select(F.inline(F.array(*[_typed_cell(i, f) for i, f in enumerate(fields)])))
+    cells = materialize(cells.groupBy("place", "whole", "real", "text").agg(F.count("*").alias("cnt")), "cells")
+    there = F.coalesce(F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull(), F.lit(False))
+    numeric = F.array(*[F.lit(isinstance(f.dataType, T.NumericType)) for f in fields])[F.col("place")]
+    number = F.when(numeric, F.coalesce(F.col("real"), F.col("whole").cast("double"), F.col("text").try_cast("double")))
+    cells = cells.withColumn("number", number)
+    n = F.sum(F.when(F.col("number").isNotNull(), F.col("cnt")))
+    counts = cells.groupBy("place").agg(
+        F.sum(F.when(there, 0).otherwise(F.col("cnt"))).alias("n_missing"), F.count_if(there).alias("n_unique"), F.sum("cnt").alias("n_rows"),
+        F.min("number").alias("min"), F.max("number").alias("max"), n.alias("n_numbers"), F.try_divide(F.sum(F.col("number") * F.col("cnt")), n).alias("mean"))
+    around = cells.join(F.broadcast(counts.select("place", "mean")), "place")  # one row a column
+    spread = around.groupBy("place").agg(F.sum(F.col("cnt") * (F.col("number") - F.col("mean")) * (F.col("number") - F.col("mean"))).alias("squares"))
+    names = F.array(*[F.lit(f.name) for f in fields])[F.col("place")]
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])[F.col("place")]
+    is_text = F.array(*[F.lit(isinstance(f.dataType, T.StringType)) for f in fields])[F.col("place")]
+    ranked = Window.partitionBy("place").orderBy(F.desc("cnt"), "text")
     tops = (
-        cells.filter(F.col("column").isin(text) & F.col("value").isNotNull())
-        .withColumn("rn", F.row_number().over(ranked)).filter(F.col("rn") <= top)
-        .groupBy("column").agg(F.array_sort(F.collect_list(F.struct("rn", "value", "cnt"))).alias("t"))
-        .select("column", F.array_join(F.transform("t", lambda s: F.concat_ws("=", s["value"], s["cnt"])), ", ").alias("top_values"))
+        cells.filter(is_text & F.col("text").isNotNull()).withColumn("rn", F.row_number().over(ranked)).filter(F.col("rn") <= top)
+        .groupBy("place").agg(F.array_sort(F.collect_list(F.struct("rn", "text", "cnt"))).alias("t"))
+        .select("place", F.array_join(F.transform("t", lambda s: F.concat_ws("=", s["text"], s["cnt"])), ", ").alias("top_values"))
     )
-    numeric = _numeric(df)
-    out = counts.join(tops, "column", "left")
-    if numeric:
-        wide = df.agg(*[
-            F.struct(F.min(col(c)).cast("double").alias("min"), F.avg(col(c)).alias("mean"),
-                     F.max(col(c)).cast("double").alias("max"), F.stddev_samp(col(c)).alias("std")).alias(c)
-            for c in numeric
-        ]).unpivot([], [col(c) for c in numeric], "column", "s").select("column", "s.*")
-        out = out.join(wide, "column", "left")
-    else:
-        out = out.withColumns({c: F.lit(None).cast("double") for c in ("min", "mean", "max", "std")})
-    pairs = [F.lit(x) for item in types for x in item]
-    return out.select(
-        "column", F.create_map(*pairs)[F.col("column")].alias("dtype"), "n_missing",
-        (share(F.col("n_missing"), F.col("n_rows")) * 100).alias("pct_missing"), "n_unique",
-        "min", "mean", "max", "std", "top_values",
+    std = F.sqrt(F.when(F.col("n_numbers") > 1, F.col("squares") / (F.col("n_numbers") - 1)))
+    return counts.join(spread, "place").join(tops, "place", "left").select(
+        names.alias("column"), types.alias("dtype"), "n_missing", (share(F.col("n_missing"), F.col("n_rows")) * 100).alias("pct_missing"), "n_unique",
+        "min", "mean", "max", std.alias("std"), "top_values",
     )
 
 

@@ -5,20 +5,38 @@ An itemset is a sorted array of strings: canonical, so it can be a join key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import col
 from tabforge.functions.measures import MEASURES, rule_measures
 from tabforge.session import materialize
 
+#: Different baskets, and items in them, of a shard.
+SHARD_BASKETS, SHARD_ITEMS = 1 << 16, 1 << 22
 
-def baskets_from_rows(df: DataFrame, tid: str = "tid", item: str = "item") -> DataFrame:
-    """(items) per transaction from long (tid, item) rows. A basket is as large as the item vocabulary at most."""
-    return df.groupBy(tid).agg(F.sort_array(F.collect_set(item)).alias("items")).select("items")
+
+def baskets_from_rows(df: DataFrame, tid: str = "tid", item: str = "item", min_support: float = 0.0) -> DataFrame:
+    """(items) per transaction from long (tid, item) rows.
+
+    With ``min_support``, items in a smaller share of the transactions are left out before a basket is
+    put together, which then is no longer than there are frequent items; a basket may become empty.
+    """
+    rows = df.select(col(tid).alias("tid"), col(item).alias("item"))
+    if min_support <= 0:
+        return rows.groupBy("tid").agg(F.sort_array(F.collect_set("item")).alias("items")).select("items")
+    pairs = materialize(rows.distinct(), "pairs")
+    tids = pairs.select("tid").distinct()
+    least = tids.count() * min_support
+    frequent = pairs.filter("item is not null").groupBy("item").count().filter(F.col("count") >= least)
+    kept = pairs.join(frequent, "item", "left_semi").groupBy("tid").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    none = F.array().cast("array<string>")
+    return tids.join(kept.withColumnRenamed("tid", "_tid"), F.col("tid").eqNullSafe(F.col("_tid")), "left").select(F.coalesce("items", none).alias("items"))
 
 
 def baskets_from_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -26,79 +44,122 @@ def baskets_from_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.array_compact(F.array(*[F.when(col(c) > 0, F.lit(c)) for c in sorted(columns)])).alias("items"))
 
 
-def _support(counts: DataFrame, n: int, min_support: float) -> DataFrame:
-    return counts.withColumn("support", F.col("n") / F.lit(n)).filter(F.col("support") >= min_support)
-
-
-def _pairs(items: Column) -> Column:
-    """All ordered pairs of a sorted array."""
-    return F.flatten(F.transform(
-        items, lambda x, i: F.transform(F.slice(items, i + 2, F.greatest(F.size(items) - i - 1, F.lit(0))), lambda y: F.array(x, y))
-    ))
-
-
-def _candidates(frequent: DataFrame, k: int) -> DataFrame:
-    """Size-k candidates: two frequent sets sharing their first k-2 items, every other subset frequent too."""
-    head, last = F.slice("items", 1, k - 2), F.element_at("items", -1)
-    left = frequent.select(head.alias("prefix"), last.alias("a"))
-    right = frequent.select(head.alias("prefix"), last.alias("b"))
-    cands = left.join(right, "prefix").filter("a < b")
-    for drop in range(k - 2):  # subsets without the last or last but one item are the two parents
-        kept = [F.col("prefix")[i] for i in range(k - 2) if i != drop]
-        subset = F.array(*kept, F.col("a"), F.col("b"))
-        cands = cands.withColumn("_sub", subset).join(frequent.select(F.col("items").alias("_sub")), "_sub", "left_semi").drop("_sub")
-    return cands
-
-
-def frequent_itemsets(baskets: DataFrame, min_support: float, max_len: int = 4) -> DataFrame:
+# --- itemsets ----------------------------------------------------------------------------------------
+
+class Shard:
+    """Baskets of a shard as one bit row an item, and their weights as binary digits."""
+
+    def __init__(self, table: pa.Table, wanted: np.ndarray | None = None, least: float = 0.0):
+        items, weights = table.column("items").combine_chunks(), np.asarray(table.column("w").combine_chunks(), np.int64)
+        self.weight = int(weights.sum())
+        encoded = pc.dictionary_encode(items.flatten())
+        names, codes = np.array(encoded.dictionary.to_pylist(), object), np.asarray(encoded.indices, np.int64)
+        rows = np.asarray(pc.list_parent_indices(items), np.int64)
+        counts = np.bincount(codes, weights[rows], len(names))
+        keep = np.flatnonzero(counts >= least) if wanted is None else np.flatnonzero(np.isin(names, wanted))
+        keep = keep[np.argsort(names[keep], kind="stable")] if len(keep) else keep
+        self.names, self.counts = names[keep], counts[keep].astype(np.int64)
+        place = np.full(len(names), -1)
+        place[keep] = np.arange(len(keep))
+        self.bits = np.zeros((len(keep), -(-len(weights) // 64)), np.uint64)
+        for start in range(0, len(codes), 1 << 20):
+            at, row = place[codes[start : start + (1 << 20)]], rows[start : start + (1 << 20)]
+            at, row = at[at >= 0], row[at >= 0]
+            np.bitwise_or.at(self.bits, (at, row // 64), np.uint64(1) << (row % 64).astype(np.uint64))
+        digits = range(int(weights.max(initial=0)).bit_length())
+        self.planes = [(1 << d, self._mask((weights >> d) & 1)) for d in digits if ((weights >> d) & 1).any()]
+
+    @staticmethod
+    def _mask(flags: np.ndarray) -> np.ndarray:
+        padded = np.zeros(-(-len(flags) // 64) * 64, np.uint8)
+        padded[: len(flags)] = flags
+        return np.packbits(padded, bitorder="little").view(np.uint64)
+
+    def count(self, bits: np.ndarray) -> np.ndarray:
+        """Weight of the baskets in each bit row."""
+        return sum(value * np.bitwise_count(bits & mask).sum(axis=-1, dtype=np.int64) for value, mask in self.planes)
+
+    def frequent(self, least: float, max_len: int) -> Iterator[tuple[tuple[int, ...], int]]:
+        """Sets of items, as places in ``names``, of at least that weight: each set is extended by later items that were
+        frequent beside its last."""
+        everything = np.arange(len(self.names))
+        todo = [((), None, everything[self.counts >= least], self.counts[self.counts >= least])]
+        while todo:
+            prefix, bits, last, counts = todo.pop()
+            for i, (item, n) in enumerate(zip(last.tolist(), counts.tolist())):
+                found = (*prefix, item)
+                yield found, n
+                later = last[i + 1 :]
+                if len(found) == max_len or not len(later):
+                    continue
+                own = self.bits[item] if bits is None else bits & self.bits[item]
+                more = np.concatenate([self.count(self.bits[later[at : at + 256]] & own) for at in range(0, len(later), 256)])
+                ok = more >= least
+                if ok.any():
+                    todo.append((found, own, later[ok], more[ok]))
+
+
+_LOCAL = "items array<string>, shard long, n long"
+
+
+def _local_table(found: list[tuple[list[str], int]], shard: int) -> pa.Table:
+    return pa.table([pa.array([f for f, _ in found], pa.list_(pa.string())), pa.array([shard] * len(found), pa.int64()), pa.array([n for _, n in found], pa.int64())],
+                    names=["items", "shard", "n"])
+
+
+def frequent_itemsets(baskets: DataFrame, min_support: float, max_len: int = 4, shard_baskets: int = SHARD_BASKETS, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """(items, size, n, support) of every itemset with support >= ``min_support`` and size <= ``max_len``.
 
-    Level-wise, with the size cap inside the search. Equal baskets are collapsed to one row with a
-    weight first, which shrinks 0/1 data, and infrequent items are removed from them. A level is counted
-    by joining the baskets' prefixes with the candidates grouped by prefix: one row per (basket, prefix),
-    of which only the candidates the basket really holds are exploded, and those are summed before the
-    shuffle. Catalyst broadcasts the candidate table while it is under the size threshold and shuffles
-    it otherwise. Support is over all baskets, the empty ones included.
+    Equal baskets are one row with a weight. They are dealt into shards of bounded size, and a set that is
+    frequent is frequent in some shard at least. So each shard mines its own baskets, as bit rows of its
+    frequent items, and then counts the sets that only other shards found. No basket is unfolded into
+    pairs, and no list of items passes through the driver. Support is over all baskets, the empty ones
+    included; a null item counts as none.
     """
     if max_len < 1:
         raise ValueError("max_len must be at least 1")
-    folded = materialize(baskets.groupBy("items").agg(F.count("*").alias("w")), "baskets")
-    n = folded.agg(F.sum("w")).first()[0] or 0
-    schema = "items array<string>, size int, n bigint, support double"
-    if n == 0:
-        return baskets.sparkSession.createDataFrame([], schema)
-    singles = folded.select(F.explode("items").alias("item"), "w").groupBy("item").agg(F.sum("w").alias("n"))
-    level = materialize(_support(singles.select(F.array("item").alias("items"), "n"), n, min_support), "itemsets")
-    found = [level]
-    if max_len > 1:
-        # Their number is at most (mean basket size) / min_support, so this list is short by definition.
-        names = [r["items"][0] for r in level.select("items").collect()]
-        keep = F.array(*[F.lit(x) for x in names]).cast("array<string>")
-        slim = folded.select(F.array_intersect("items", keep).alias("items"), "w").filter(F.size("items") > 1)
-        slim = materialize(slim.groupBy("items").agg(F.sum("w").alias("w")), "baskets")
-        pairs = slim.select(F.explode(_pairs(F.col("items"))).alias("items"), "w").groupBy("items").agg(F.sum("w").alias("n"))
-        level = materialize(_support(pairs, n, min_support), "itemsets")
-        found.append(level)
-    held_sets: dict[int, DataFrame] = {}  # by size: the sets of three and more items that each basket holds
-    for k in range(3, max_len + 1):
-        tails = _candidates(level, k).groupBy("prefix").agg(F.collect_list(F.struct("a", "b")).alias("tails"))
-        if k < 5:
-            prefixes = F.transform("items", lambda x: F.array(x)) if k == 3 else _pairs(F.col("items"))
-            parents = slim.filter(F.size("items") >= k).select("items", "w", F.explode(prefixes).alias("prefix"))
-        else:
-            parents = held_sets.pop(k - 2).filter(F.size("items") >= k)
-        hits = parents.join(tails, "prefix").select("items", "prefix", "w", F.explode(F.filter(
-            "tails", lambda t: F.array_contains(F.col("items"), t["a"]) & F.array_contains(F.col("items"), t["b"])
-        )).alias("t"))
-        hits = hits.select(F.col("items").alias("basket"), F.concat("prefix", F.array("t.a", "t.b")).alias("items"), "w")
-        if k + 2 <= max_len:
-            hits = materialize(hits, "hits")
-            held_sets[k] = hits.select(F.col("basket").alias("items"), "w", F.col("items").alias("prefix"))
-        counts = hits.groupBy("items").agg(F.sum("w").alias("n"))
-        level = materialize(_support(counts, n, min_support), "itemsets")
-        found.append(level)
-    return reduce(DataFrame.unionByName, found).select("items", F.size("items").alias("size"), "n", "support")
-
+    items = F.sort_array(F.array_distinct(F.array_compact("items"))).alias("items")
+    folded = materialize(baskets.select(F.coalesce(items, F.array().cast("array<string>")).alias("items")).groupBy("items").agg(F.count("*").alias("w")), "baskets")
+    total, rows, held = folded.agg(F.sum("w"), F.count("*"), F.sum(F.size("items").cast("long"))).first()
+    if not total:
+        return baskets.sparkSession.createDataFrame([], "items array<string>, size int, n bigint, support double")
+    n_shards = max(1, -(-rows // shard_baskets), -(-held // shard_items))
+    sharded = folded.withColumn("shard", F.pmod(F.xxhash64("items"), F.lit(n_shards)))
+    # The comparison by division is that of the result; a shard's own bound leaves room for rounding.
+    share = min_support * (1 - 1e-9)
+
+    def mine(table: pa.Table) -> pa.Table:
+        least = share * sum(table.column("w").to_pylist())
+        shard = Shard(table, least=least)
+        found = [([shard.names[i] for i in places], n) for places, n in shard.frequent(max(least, 1), max_len)]
+        return _local_table(found, table.column("shard")[0].as_py())
+
+    local = sharded.groupBy("shard").applyInArrow(mine, _LOCAL)
+    if n_shards > 1:
+        local = materialize(local, "local-sets")
+        shards = F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))
+        missing = local.groupBy("items").agg(F.collect_list("shard").alias("seen")).select("items", F.explode(F.array_except(shards, "seen")).alias("at"))
+
+        def recount(l: pa.Table, r: pa.Table) -> pa.Table:
+            if not l.num_rows or not r.num_rows:
+                return _local_table([], 0)
+            sets = r.column("sets").to_pylist()
+            shard = Shard(l, wanted=np.array(sorted({x for s in sets for x in s}), object))
+            place = {name: i for i, name in enumerate(shard.names)}
+            found = []
+            for s in sets:
+                if all(x in place for x in s):
+                    found.append((s, int(shard.count(np.bitwise_and.reduce(shard.bits[[place[x] for x in s]], axis=0)))))
+            return _local_table(found, 0)
+
+        rest = missing.select(F.col("items").alias("sets"), "at")
+        local = local.unionByName(sharded.groupBy("shard").cogroup(rest.groupBy("at")).applyInArrow(recount, _LOCAL))
+    counts = local.groupBy("items").agg(F.sum("n").alias("n"))
+    support = F.col("n") / F.lit(total)
+    return materialize(counts.select("items", F.size("items").alias("size"), "n", support.alias("support")).filter(F.col("support") >= min_support), "itemsets")
+
+
+# --- rules -------------------------------------------------------------------------------------------
 
 def association_rules(itemsets: DataFrame, min_confidence: float = 0.0, min_lift: float = 0.0) -> DataFrame:
     """Every split of every itemset of size >= 2 into antecedents and consequents, with its 12 measures.

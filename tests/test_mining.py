@@ -186,12 +186,13 @@ def test_kmeans_finds_blobs(spark):
     assert inertia == sorted(inertia, reverse=True)
 
 
-def test_agglomerative_finds_blobs_with_and_without_graph(spark):
-    for near in (5, None):
-        labelled, names, merges = clustering.agglomerative_labels(_blobs(spark), "id", ["u", "v"], ["ward", "complete", "average"], [3], micro=18, neighbors=near)
-        rows = labelled.collect()
-        assert all(_groups(rows, n) == BLOBS for n in names)
-        assert merges.filter("linkage = 'ward'").count() == 17
+def test_agglomerative_finds_blobs(spark):
+    labelled, names, merges = clustering.agglomerative_labels(_blobs(spark), "id", ["u", "v"], ["ward", "complete", "average"], [2, 3], neighbors=5)
+    rows = labelled.collect()
+    assert all(_groups(rows, n) == BLOBS for n in names if n.endswith("k3"))
+    assert all(len(_groups(rows, n)) == 2 for n in names if n.endswith("k2"))
+    steps = merges.filter("linkage = 'ward'").orderBy("step").collect()
+    assert [r.step for r in steps] == list(range(1, 180)) and [r.height for r in steps] == sorted(r.height for r in steps)
 
 
 def test_pca_explains_everything(spark):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import order_hash
-from tabforge.operators import cluster_scores, clustering, encoding, experiments, folds, neighbors, ordering, profiling, rules
+from tabforge.operators import boxes, cluster_scores, clustering, encoding, experiments, folds, neighbors, ordering, profiling, rules
 from tabforge.session import materialize
 from tabforge.sources import tables
 
@@ -68,15 +68,102 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     df = spark.range(500).select("id", (F.col("id") % 3).alias("g"), F.pmod(F.xxhash64("id"), F.lit(97)).alias("v"))
     one_bucket = sorted(map(tuple, ordering.bucketed_rank(df, "id", ["g"]).collect()))
     sums = df.groupBy("g", "v").agg(F.count("*").alias("n"))
-    one_total = sorted(map(tuple, ordering.running_totals(sums, "v", {"t": "n"}, ["g"]).collect()))
     monkeypatch.setattr(ordering, "BUCKET_ROWS", 20)
     ranked = ordering.bucketed_rank(df, "id", ["g"])
     assert sorted(map(tuple, ranked.collect())) == one_bucket
-    assert sorted(map(tuple, ordering.running_totals(sums, "v", {"t": "n"}, ["g"]).collect())) == one_total
     width = ordering.ORDER_HASH_RANGE // ordering.bucket_count(500) + 1
     assert ranked.groupBy("g", F.floor(order_hash("id") / width)).count().agg(F.max("count")).first()[0] <= 20
 
 
+def brute_itemsets(baskets, support, longest):
+    want = {}
+    for size in range(1, longest + 1):
+        for c in itertools.combinations(sorted(set().union(*baskets)), size):
+            n = sum(set(c) <= set(b) for b in baskets)
+            if n / len(baskets) >= support:
+                want[c] = n
+    return want
+
+
+@pytest.mark.parametrize("shard_baskets", [1 << 16, 7])
+def test_itemsets_over_shards(spark, shard_baskets):
+    """Shards find different sets; a third of all baskets are copies of one; empty baskets, null and repeated items."""
+    rng = random.Random(5)
+    baskets = [sorted(rng.sample("abcdefghij", rng.randint(0, 6))) for _ in range(150)] + [["a", "d", "j"]] * 80 + [[], ["c", "c", "a"]]
+    rows = spark.createDataFrame([(b,) for b in baskets] + [([None, "b"],)], "items array<string>").repartition(3)
+    got = {tuple(r["items"]): r["n"] for r in rules.frequent_itemsets(rows, 0.06, 5, shard_baskets=shard_baskets).collect()}
+    assert got == brute_itemsets([*baskets, ["b"]], 0.06, 5)
+
+
+def test_a_basket_of_5000_items(spark):
+    rows = [(i, f"x{(i * 7 + j) % 40}") for i in range(400) for j in range(5)] + [(1000, f"y{j}") for j in range(5000)]
+    long = spark.createDataFrame(rows, "tid int, item string")
+    for baskets in (rules.baskets_from_rows(long), rules.baskets_from_rows(long, min_support=0.05)):
+        found = {tuple(r["items"]): r["n"] for r in rules.frequent_itemsets(baskets, 0.05, 3).collect()}
+        assert len([s for s in found if len(s) == 1]) == 40 and not any(x.startswith("y") for s in found for x in s)
+        assert found[("x0",)] == sum(item == "x0" for _, item in rows)
+
+
+def test_pruned_baskets_keep_empty_transactions(spark):
+    long = spark.createDataFrame([(1, "a"), (2, "a"), (3, "z"), (None, "a"), (4, None)], "tid int, item string")
+    got = sorted(r["items"] for r in rules.baskets_from_rows(long, min_support=0.4).collect())
+    assert got == [[], [], ["a"], ["a"], ["a"]]
+
+
+def test_davies_bouldin_of_many_clusters(spark, monkeypatch):
+    monkeypatch.setattr(cluster_scores, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(6)
+    x, label = rng.normal(size=(900, 2)), rng.integers(0, 150, 900)
+    df = spark.createDataFrame([(i, float(a), float(b), int(k), 0) for i, ((a, b), k) in enumerate(zip(x, label))], "id long, a double, b double, k int, one int")
+    points = cluster_scores.points_with_labels(df, "id", ["a", "b"], ["k", "one"])
+    names = np.unique(label)
+    centres = np.array([x[label == k].mean(axis=0) for k in names])
+    spread = np.array([np.sqrt(((x[label == k] - c) ** 2).sum(axis=1)).mean() for k, c in zip(names, centres)])
+    gap = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(gap, np.inf)
+    got = {r.run: r.davies_bouldin for r in cluster_scores.davies_bouldin(points, cluster_scores.cluster_stats(points, 2)).collect()}
+    assert got[0] == pytest.approx(((spread[:, None] + spread[None]) / gap).max(axis=1).mean()) and got[1] is None
+
+
+def test_neighbours_travel_a_bounded_number_of_times(spark):
+    """On points along a line, a block meets only the blocks beside it."""
+    points = materialize(spark.range(4000).select(F.lit("").alias("grp"), "id", F.array(F.col("id").cast("double"), F.lit(0.0)).alias("vec")), "line")
+    curve = boxes.fit_curve(points, block=50)
+    placed = boxes.lay_out(points, curve, block=50)
+    around = materialize(boxes.boxes(placed, 2, F.lit(10.0).alias("reach")), "around")
+    assert around.agg(F.max("n")).first()[0] <= 50
+    met = boxes.reachable(around, around, 2).groupBy("lb").count().agg(F.max("count"), F.count("*")).first()
+    assert met[0] <= 5 and met[1] >= 80
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables in as many ranges as large ones."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
+def test_totals_and_ranks_across_ranges(spark, many_ranges):
+    """One group of two thirds of the rows lies in several ranges; a null group is a group."""
+    group = F.when(F.col("id") % 6 == 5, F.lit(None)).when(F.col("id") % 6 == 4, 1).otherwise(0)
+    df = spark.range(3000).select("id", group.alias("g"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).cast("double").alias("v"), (F.col("id") % 7).alias("n"))
+    rows = df.collect()
+    assert ordering.range_parts(df, ["g", "v"]).filter("g = 0").select("_b").distinct().count() > 2
+    for descending, exclusive in itertools.product([False, True], [False, True]):
+        got = {r.id: r.t for r in ordering.running_totals(df, "v", {"t": "n"}, ["g"], descending, exclusive).collect()}
+        for g in (0, 1, None):
+            before = 0
+            for r in sorted([r for r in rows if r.g == g], key=lambda r: -r.v if descending else r.v):
+                assert got[r.id] == (before if exclusive else before + r.n)
+                before += r.n
+    got = {r.id: r["rank"] for r in ordering.range_rank(df, ["n", "v"], ["g"]).collect()}
+    for g in (0, 1, None):
+        own = sorted([r for r in rows if r.g == g], key=lambda r: (r.n, r.v))
+        assert [got[r.id] for r in own] == list(range(1, len(own) + 1))
+
+
 def test_ids_of_any_size(spark):
     df = spark.createDataFrame([(9_000_000_000_000_000_000,), (-9_000_000_000_000_000_000,), (5,)], "id long")
     values = [r[0] for r in df.select(order_hash("id")).collect()]
