@@ -9,6 +9,7 @@ under its own commit protocol; it ends a file with a line feed, which is no fram
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -20,11 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.llm.arrays import byte_column, id_column, ranges, text_slices
+from tabforge.llm.arrays import byte_column, id_column, ranges, release, text_slices
 
 #: Bytes of frames after which a new file begins.
-SHARD_BYTES = 8 << 20
-CACHED_PIECES = 300_000
+SHARD_BYTES = 4 << 20
+#: Bytes of text that are cut into pieces at a time.
+SLICE_BYTES = 2 << 20
+#: Bytes of pieces and their ids that a task remembers, with what Python adds to an entry.
+CACHE_BYTES, ENTRY_BYTES = 16 << 20, 200
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 #: Added to a rotated checksum, as record files do, so that a checksum of checksums isn't zero (fixed value).
@@ -108,6 +112,7 @@ class PieceEncoder:
     """Ids of texts: equal pieces of a slice go to the tokenizer once."""
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core; a thread pool would hold memory in each of its threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -118,6 +123,7 @@ class PieceEncoder:
         self.added = {t.content.encode(): i for i, t in added.items()}
         self.any_added = re.compile(b"|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))) if added else None
         self.cache: dict[bytes, bytes] = {}
+        self.cached = 0
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def pieces(self, values: list[bytes]) -> list[bytes]:
@@ -128,10 +134,15 @@ class PieceEncoder:
             part = todo[at : at + 20_000]
             for i, found in zip(part, self.tokenizer.encode_batch_fast([values[j].decode() for j in part], add_special_tokens=False)):
                 out[i] = np.array(found.ids, np.uint32).tobytes()
-                if len(self.cache) < CACHED_PIECES:
+                if self.cached < CACHE_BYTES:
                     self.cache[values[i]] = out[i]
+                    self.cached += len(values[i]) + len(out[i]) + ENTRY_BYTES
         return out
 
+    def forget(self) -> None:
+        """Drop the remembered pieces: workers stay alive between tasks."""
+        self.cache, self.cached = {}, 0
+
     def added_places(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """(start, end, id) of the vocabulary's added tokens in the texts as they stand."""
         raw = data.tobytes()
@@ -189,7 +200,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
         encoder = encoder_of(vocabulary)
         held: list[bytes] = []
         size = 0
-        for part in text_slices(batches, "text", 8 << 20):
+        for part in text_slices(batches, "text", SLICE_BYTES):
             ids, counts = encoder.texts(*byte_column(part.column(1)), special)
             ids = ids.astype(f"<u{encoder.width}")
             end = b"" if end_id is None else np.array([end_id], ids.dtype).tobytes()
@@ -202,6 +213,8 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
                     held, size = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)])], names=["value"])
+        encoder.forget()
+        release()
 
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = ordered.repartitionByRange("id").sortWithinPartitions("id")
@@ -231,6 +244,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 rows = [(shard, k, doc, file, at, size, len(ids), ids.tobytes()) for k, (at, size, doc, ids) in enumerate(frames(batch.column(2)[i].as_py()))]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names=RECORD.names)
+        release()
 
     return _shards(spark, path).mapInArrow(run, RECORD)
 
