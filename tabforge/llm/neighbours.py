@@ -4,8 +4,9 @@ The tree is fitted on a sample of at most ``most_rows`` vectors, then every vect
 A coordinate sqrt(M**2 - |x|**2), M the largest norm, makes the largest inner product the smallest
 distance. A query walks the tree best bin first: a priority queue holds nodes by their centre's distance,
 the nearest is opened, and leaves are visited in the order they come out. How many are visited is widened
-until queries with exact answers show the wanted recall. Leaves are joined with their visitors in blocks
-of bounded size, however many vectors a leaf has.
+until queries with exact answers show the wanted recall. Leaves are packed into groups of bounded size
+(a large leaf lies in several); a query meets a group once, with the list of the leaves it visits there,
+and takes away one list of neighbours.
 """
 
 from __future__ import annotations
@@ -15,17 +16,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.session import materialize
+
 #: Vectors of the sample that the tree is fitted on, at most.
 SAMPLE_ROWS = 60_000
 #: Vectors a leaf should hold; the sample holds at least ``LEAST_SAMPLE`` of each leaf.
 LEAF_ROWS, LEAST_SAMPLE = 256, 6
 BRANCHES = 8
-#: Vectors and queries that meet in one task at a time.
-CHUNK_ROWS = 4096
+#: Vectors of a group and queries that meet them at a time.
+CHUNK_ROWS, QUERY_ROWS = 4096, 512
+#: Candidates beyond the wanted ones that a matrix product preselects, for what rounding can't tell apart.
+SPARE = 8
 #: Queries with exact answers, at most, and the recall they must show.
 CALIBRATION_QUERIES, WANTED_RECALL = 96, 0.94
 
@@ -196,6 +201,8 @@ def search(vectors: DataFrame, is_query, top: int = 20, id_col: str = "vec_id",
     share = min(1.0, most_rows / count)
     sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("vector").toArrow() if share < 1 else rows.select("vector").toArrow()
     points = _matrix(sample.column(0).combine_chunks(), dimension) if sample.num_rows else np.zeros((0, dimension))
+    # Leaves grow with the root of the rows: fewer, larger meetings.
+    leaf_rows = max(leaf_rows, int(2 * np.sqrt(count)))
     tree = Tree(points, max(LEAST_SAMPLE, int(leaf_rows * share)), float(np.sqrt(largest)))
     queries = rows.filter(is_query)
     visited = _calibrated(rows, queries, tree, dimension, top, recall)
@@ -204,48 +211,133 @@ def search(vectors: DataFrame, is_query, top: int = 20, id_col: str = "vec_id",
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(tree.leaf_of(_matrix(batch.column(1), dimension))), *batch.columns], names=["leaf", "id", "vector"])
 
-    placed_schema = T.StructType([T.StructField("leaf", T.LongType()), *rows.schema.fields])
-    placed = rows.mapInArrow(leaves, placed_schema)
-    sizes = np.ones(tree.n_leaves, np.int64)
+    placed = materialize(rows.mapInArrow(leaves, T.StructType([T.StructField("leaf", T.LongType()), *rows.schema.fields])), "leaves")
+    sizes = np.zeros(tree.n_leaves, np.int64)
     for leaf, n in placed.groupBy("leaf").count().collect():  # one number a leaf
         sizes[leaf] = n
-    chunks = -(-sizes // chunk_rows)
-    n_chunks = F.element_at(F.lit(chunks.tolist()), (F.col("leaf") + 1).cast("int"))
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("id"), n_chunks))
+    packing = Packing(sizes, chunk_rows)
+    group_of = F.element_at(F.lit(packing.first.tolist()), (F.col("leaf") + 1).cast("int")) + F.pmod(F.xxhash64("id"), F.element_at(F.lit(packing.parts.tolist()), (F.col("leaf") + 1).cast("int")))
+    grouped = placed.withColumn("group", group_of)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, matrix = np.asarray(batch.column(0)), _matrix(batch.column(1), dimension)
-            for at in range(0, len(ids), 256):
-                seen = [tree.visits(q, visited) for q in matrix[at : at + 256]]
-                leaf = np.array([leaf for s in seen for leaf in s], np.int64)
-                row = np.repeat(np.arange(at, at + len(seen)), [len(s) for s in seen])
-                chunk = np.concatenate([np.arange(chunks[x]) for x in leaf]) if len(leaf) else leaf
-                row, leaf = np.repeat(row, chunks[leaf]), np.repeat(leaf, chunks[leaf])
-                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(chunk, pa.int64()), *[c.take(pa.array(row)) for c in batch.columns]], names=["leaf", "chunk", "id", "vector"])
-
-    walks = queries.mapInArrow(walk, T.StructType([T.StructField("leaf", T.LongType()), T.StructField("chunk", T.LongType()), *rows.schema.fields]))
+            for at in range(0, batch.num_rows, QUERY_ROWS):
+                part = batch.slice(at, QUERY_ROWS)
+                groups, row, wanted = [], [], []
+                for i, q in enumerate(_matrix(part.column(1), dimension)):
+                    for group, found in packing.groups(tree.visits(q, visited)):
+                        groups.append(group)
+                        row.append(i)
+                        wanted.append(found)
+                taken = [c.take(pa.array(row, pa.int64())) for c in part.columns]
+                yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(wanted, pa.list_(pa.int64())), *taken], names=["group", "leaves", "id", "vector"])
+
+    walks = queries.mapInArrow(walk, T.StructType([T.StructField("group", T.LongType()), T.StructField("leaves", T.ArrayType(T.LongType())), *rows.schema.fields]))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _found_table(np.zeros(0, np.int64), [], [])
-        return _block_best(left, right, dimension, top)
+        return _group_best(left, right, dimension, top)
+
+    found = grouped.groupBy("group").cogroup(walks.groupBy("group")).applyInArrow(meet, FOUND)
+    items = found.select("query_id", F.inline("found")).groupBy("query_id", "id").agg(F.min("away").alias("away"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("away", "id"))
+    return items.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", F.col("id").alias("vec_id"), (-F.col("away")).alias("score"))
+
+
+class Packing:
+    """Leaves in groups of about ``rows`` vectors: small leaves share one, the parts of a large leaf have one each."""
 
-    found = placed.groupBy("leaf", "chunk").cogroup(walks.groupBy("leaf", "chunk")).applyInArrow(meet, FOUND)
-    ranked = _merged(found, top).select("query_id", F.posexplode("found"))
-    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("col")["id"].alias("vec_id"), (-F.col("col")["away"]).alias("score"))
+    def __init__(self, sizes: np.ndarray, rows: int):
+        self.parts = np.maximum(1, -(-sizes // rows))
+        self.first = np.zeros(len(sizes), np.int64)
+        group = held = 0
+        for leaf, (size, parts) in enumerate(zip(sizes.tolist(), self.parts.tolist())):
+            if parts > 1 or held + size > rows:
+                group, held = group + bool(held), 0
+            self.first[leaf] = group
+            if parts > 1:
+                group += parts
+            else:
+                held += size
 
+    def groups(self, leaves: list[int]) -> list[tuple[int, list[int]]]:
+        """The groups that hold some leaves, and which."""
+        out: dict[int, list[int]] = {}
+        for leaf in leaves:
+            for group in range(self.first[leaf], self.first[leaf] + self.parts[leaf]):
+                out.setdefault(int(group), []).append(leaf)
+        return list(out.items())
 
-def _block_best(left: pa.Table, right: pa.Table, dimension: int, top: int) -> pa.Table:
+
+def _exact_scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products summed in one order, so equal vectors score equal."""
+    return (vectors * queries).sum(axis=-1)
+
+
+def _leaf_best(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, scores) of at least the ``top`` candidates of each query in a leaf, -inf where there are fewer.
+
+    A matrix product preselects; where rounding leaves more than ``SPARE`` candidates level with the last
+    place, as among copies, the query's scores are all summed exactly.
+    """
+    width = top + SPARE
+    if len(ids) <= width:
+        scores = _exact_scores(vectors[None], queries[:, None])
+        return np.broadcast_to(ids, scores.shape), np.where(ids[None, :] == own[:, None], -np.inf, scores)
+    rough = np.where(ids[None, :] == own[:, None], -np.inf, queries @ vectors.T)
+    near = np.argpartition(rough, len(ids) - width, axis=1)[:, -width:]
+    chosen = np.take_along_axis(rough, near, axis=1)
+    last = np.partition(chosen, width - top, axis=1)[:, width - top]
+    scores = np.where(chosen == -np.inf, -np.inf, _exact_scores(vectors[near], queries[:, None]))
+    near_ids = ids[near]
+    slack = 1e-9 * (1.0 + np.abs(chosen, where=np.isfinite(chosen), out=np.zeros_like(chosen)).max(initial=0.0))
+    for i in np.flatnonzero(chosen.min(axis=1) >= last - slack):
+        exact = np.where(ids == own[i], -np.inf, _exact_scores(vectors, queries[i]))
+        order = np.lexsort([ids, -exact])[:width]
+        near_ids[i], scores[i] = ids[order], exact[order]
+    return near_ids, scores
+
+
+def _sorted_best(ids: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``top`` of each row by falling score and rising id; an id found twice keeps its best score."""
+    by_id = np.lexsort([-scores, ids])
+    ids, scores = np.take_along_axis(ids, by_id, axis=1), np.take_along_axis(scores, by_id, axis=1)
+    scores[:, 1:][ids[:, 1:] == ids[:, :-1]] = -np.inf
+    order = np.argsort(-scores, axis=1, kind="stable")[:, :top]
+    return np.take_along_axis(ids, order, axis=1), np.take_along_axis(scores, order, axis=1)
+
+
+def _group_best(left: pa.Table, right: pa.Table, dimension: int, top: int) -> pa.Table:
     left, right = left.combine_chunks(), right.combine_chunks()
-    ids, vectors = np.asarray(left.column("id")), _matrix(left.column("vector").combine_chunks(), dimension)
+    leaf = np.asarray(left.column("leaf"))
+    order = np.argsort(leaf, kind="stable")
+    names, starts = np.unique(leaf[order], return_index=True)
+    bounds = np.append(starts, len(order))
+    ids, vectors = np.asarray(left.column("id"))[order], _matrix(left.column("vector").combine_chunks(), dimension)[order]
     query_ids, queries = np.asarray(right.column("id")), _matrix(right.column("vector").combine_chunks(), dimension)
+    wanted = right.column("leaves").combine_chunks()
+    visits = np.zeros((len(query_ids), len(names)), bool)
+    flat, row = np.asarray(wanted.flatten()), np.repeat(np.arange(len(query_ids)), np.diff(np.asarray(wanted.offsets)))
+    place = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+    here = names[place] == flat
+    visits[row[here], place[here]] = True
     found_ids, found_scores = [], []
-    for at in range(0, len(query_ids), 1024):
-        part = slice(at, at + 1024)
-        a, b = best(queries[part] @ vectors.T, queries[part], vectors, query_ids[part], ids, top)
-        found_ids += a
-        found_scores += b
+    for at in range(0, len(query_ids), QUERY_ROWS):
+        part = slice(at, at + QUERY_ROWS)
+        own, q = query_ids[part], queries[part]
+        best_ids, best_scores = np.zeros((len(own), top), np.int64), np.full((len(own), top), -np.inf)
+        for k in range(len(names)):
+            chosen = np.flatnonzero(visits[part, k])
+            if len(chosen):
+                rows = slice(bounds[k], bounds[k + 1])
+                more_ids, more_scores = _leaf_best(vectors[rows], ids[rows], q[chosen], own[chosen], top)
+                both = np.concatenate([best_ids[chosen], more_ids], axis=1), np.concatenate([best_scores[chosen], more_scores], axis=1)
+                best_ids[chosen], best_scores[chosen] = _sorted_best(*both, top)
+        for i in range(len(own)):
+            kept = best_scores[i] > -np.inf
+            found_ids.append(best_ids[i][kept])
+            found_scores.append(best_scores[i][kept])
     return _found_table(query_ids, found_ids, found_scores)
 
 
