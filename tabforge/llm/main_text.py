@@ -1,10 +1,11 @@
 """Main text of web pages: site templates and marked furniture are removed, the article's blocks stay.
 
-A page is read into a tree of its block elements. The subtrees are hashed, also those inside an article,
-Spark counts on how many different pages of a host each hash stands, and subtrees that recur on many of
-them are the host's template. Extraction takes the article (or the main element, or the body), leaves out template
-subtrees and elements that say by name, role or class that they are menus, notices, forms and the like,
-and returns the remaining blocks.
+A page is read into a tree of its block elements. The subtrees are hashed, Spark counts on how many
+different pages of a host each hash stands, and subtrees that recur on many of them are the host's
+template. Inside an article a subtree is hashed with its place (the chain of elements around it and a
+neighbour, or the edge), and only containers are: a sentence that many articles hold stays. Extraction
+takes the article (or the main element, or the body), leaves out template subtrees and elements that say
+by name, role or class that they are menus, notices, forms and the like, and returns the remaining blocks.
 """
 
 from __future__ import annotations
@@ -28,19 +29,27 @@ LEAST_PAGES = 3
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mstyle mspace semantics".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption dd dt caption td th tr tbody thead tfoot html body article main".split())
+#: Elements inside an article that are no template, wherever they recur.
+KEPT_INSIDE = PROSE | {"li", "header"}
 WHOLE = frozenset("html body article main".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table ul li dd dt".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 FENCES = frozenset("table ul ol dl td th template object html body article main section div".split())
-FURNITURE = frozenset("head nav header footer aside form script style noscript template iframe svg canvas button select textarea menu dialog object title math audio video map".split())
+FURNITURE = frozenset("head nav header footer aside form script style noscript template iframe svg canvas button select textarea menu dialog object title audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar status form".split())
 CLASS_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion promoted sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead header footer cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe subscription signup social share sharing related recommended comment comments reply replies disqus respond form login search widget toolbar pagination pager skip".split())
 REMARKS = frozenset("comment comments reply replies".split())
 CONTENT_WORDS = frozenset("article content post entry story".split())
-
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+#: Parts of a class name that leave its meaning to the others.
+NEUTRAL_WORDS = frozenset("area bar block body bottom box col column container end footer global group header holder id inner item items left link links list main mobile outer page panel primary right row secondary section site slot small start sticky the top unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+_COMMENT = re.compile(r"<!--.*?(?:--!?>|\Z)", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_OTHER = re.compile(r"<[!?/][^>]*+>", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
@@ -49,28 +58,38 @@ _RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 class Node:
     """A block element; ``parts`` are its texts and child elements in page order."""
 
-    __slots__ = ("tag", "parts", "marked", "content", "digest", "holds")
+    __slots__ = ("tag", "parts", "marked", "named", "content", "digest", "holds", "headed")
 
-    def __init__(self, tag: str, marked: bool = False, content: bool = False):
+    def __init__(self, tag: str, marked: bool = False, named: bool = False, content: bool = False):
         self.tag, self.parts, self.marked, self.content, self.digest = tag, [], marked, content, 0
+        self.named = named  # furniture by its attributes, not by its tag alone
         self.holds = False  # an article or main element
+        self.headed = tag in HEADINGS  # is or holds a heading
+
 
+def _says(words: str, wanted: frozenset[str]) -> bool:
+    """Whether a class or id name is made of wanted words, and of neutral ones beside them."""
+    for token in words.split():
+        parts = [w.lower() for w in _WORDS.findall(token)]
+        if any(w in wanted for w in parts) and all(w in wanted or w in NEUTRAL_WORDS for w in parts):
+            return True
+    return False
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(furniture, content) as an element's name and attributes say."""
-    marked, content = tag in FURNITURE, tag in ("article", "main")
-    if attributes.strip(" /"):
+
+def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """(furniture, furniture by its attributes, content) as an element's name and attributes say."""
+    named, content = False, tag in ("article", "main")
+    if tag not in ("html", "body") and attributes.strip(" /"):
         values = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
-        words = {w.lower() for w in _WORDS.findall(f"{values.get('class', '')} {values.get('id', '')}")}
-        role = values.get("role", "").lower()
-        if tag in ("html", "body"):
-            return False, False
+        names = f"{values.get('class', '')} {values.get('id', '')}"
         if tag in ("article", "main"):
-            return bool(words & REMARKS) and tag == "article", not words & REMARKS
-        style = values.get("style", "").replace(" ", "").lower()
-        marked |= bool(words & CLASS_WORDS) or role in ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style
-        content |= role in ("main", "article") or bool(words & CONTENT_WORDS)
-    return marked, content and not marked
+            named = tag == "article" and _says(names, REMARKS)
+            return named, named, not named
+        role, style = values.get("role", "").lower(), values.get("style", "").replace(" ", "").lower()
+        named = _says(names, CLASS_WORDS) or role in ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style
+        content |= role in ("main", "article") or _says(names, CONTENT_WORDS)
+    marked = named or tag in FURNITURE
+    return marked, named, content and not marked
 
 
 def parse(page: str) -> Node:
@@ -83,17 +102,27 @@ def parse(page: str) -> Node:
         still.subtract(s.tag for s in stack[k:])
         del stack[k:]
 
-    at, n = 0, len(page)
+    at, n, last, tags = 0, len(page), page.rfind(">"), _TAG
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        begin = page.find("<", at)
+        if begin < 0 or begin > last and not page.startswith("<!--", begin):
             stack[-1].parts.append(page[at:])
             break
-        if m.start() > at:
-            stack[-1].parts.append(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+        if begin > at:
+            stack[-1].parts.append(page[at:begin])
+        m = (_COMMENT if page.startswith("<!--", begin) else _OTHER).match(page, begin)
+        if m is not None and not page[begin + 1 : begin + 3].strip("/")[:1].isalpha():
+            at = m.end()
+            continue
+        m = tags.match(page, begin)
+        if m is None and tags is _TAG and _PLAIN_TAG.match(page, begin):
+            tags = _PLAIN_TAG  # a quote that nothing closes: from here on a tag ends at the next >
+            m = tags.match(page, begin)
+        if m is None:
+            stack[-1].parts.append("<")
+            at = begin + 1
             continue
+        at = m.end()
         tag = m[2].lower()
         if m[1]:
             if tag in INLINE or tag in VOID or not still[tag]:
@@ -154,24 +183,70 @@ def _digest(root: Node) -> None:
             if isinstance(part, Node):
                 h.update(part.digest.to_bytes(8, "little"))
                 node.holds |= part.holds or part.tag in ("article", "main")
+                node.headed |= part.headed
             elif text := " ".join(part.split()):
                 h.update(b"\0" + text.encode("utf-8", "surrogatepass"))
         node.digest = h.intdigest()
 
 
+def _side(parts: list, i: int, step: int) -> bytes:
+    """What stands before or after a part: the hash of an element, a text, or nothing at the edge."""
+    i += step
+    while 0 <= i < len(parts):
+        if isinstance(parts[i], Node):
+            return parts[i].digest.to_bytes(8, "little")
+        if text := " ".join(parts[i].split()):
+            return b"\0" + text.encode("utf-8", "surrogatepass")
+        i += step
+    return b"\1"
+
+
+def below(chain: int, tag: str) -> int:
+    """Hash of a chain of elements, longer by one; never 0, which stands for outside of articles."""
+    return xxhash.xxh64_intdigest(tag, seed=chain) | 1
+
+
+def places(chain: int, parts: list, i: int, before: int, after: int) -> set[int]:
+    """Hashes of an element inside an article, each with the chain of elements around it and one fact about its place:
+    how many elements precede or follow it, what stands before it, what after it."""
+    own = parts[i].digest.to_bytes(8, "little") + chain.to_bytes(8, "little")
+    facts = (b"n<%d" % before, b"n>%d" % after, b"<" + _side(parts, i, -1), b">" + _side(parts, i, 1))
+    return {xxhash.xxh64_intdigest(own + fact) for fact in facts}
+
+
+def _elements(node: Node) -> int:
+    return sum(isinstance(p, Node) for p in node.parts)
+
+
 def subtrees(root: Node, prose: bool = False) -> set[int]:
-    """Hashes of the elements that a site's template may hold: containers, with ``prose`` also paragraphs, headings, cells and so on."""
+    """Hashes of the elements that a site's template may hold: containers, outside articles with ``prose`` also paragraphs, headings, cells and so on.
+
+    Inside an article, and inside a main element that holds none, an element counts by its ``places``.
+    """
     found: set[int] = set()
     never = WHOLE if prose else PROSE
-    stack = [root]
+    stack: list[tuple[Node, int]] = [(root, 0)]
     while stack:
-        node = stack.pop()
-        if node.tag not in never and node is not root:
-            found.add(node.digest)
-        stack.extend(p for p in node.parts if isinstance(p, Node))
+        node, chain = stack.pop()
+        n, k = _elements(node), 0
+        for i, part in enumerate(node.parts):
+            if not isinstance(part, Node):
+                continue
+            if chain:
+                if part.tag not in KEPT_INSIDE:
+                    found |= places(chain, node.parts, i, k, n - k - 1)
+            elif part.tag not in never:
+                found.add(part.digest)
+            stack.append((part, _chain_of(part, chain)))
+            k += 1
     return found
 
 
+def _chain_of(node: Node, chain: int) -> int:
+    inside = chain or node.tag == "article" or node.tag == "main" and not node.holds
+    return below(chain, node.tag) if inside else 0
+
+
 def content_key(root: Node) -> int | None:
     """Hash of the outermost articles, else main elements, of a page; None if it has none."""
     for tag in ("article", "main"):
@@ -203,32 +278,45 @@ def main_nodes(root: Node, template: frozenset[int]) -> list[Node]:
     return levels["article"] or levels["main"] or levels["content"] or [root]
 
 
-def blocks(node: Node, template: frozenset[int], inside: bool = False) -> Iterator[str]:
-    """Texts of the blocks below ``node`` in page order, furniture and template subtrees left out."""
-    stack = [(iter(node.parts), inside, [])]
+def blocks(node: Node, template: frozenset[int], chain: int = 0) -> Iterator[str]:
+    """Texts of the blocks below ``node`` in page order, furniture and template subtrees left out.
+
+    ``chain`` is 0 outside articles. An article's own header stays; an article without a heading inside
+    another one is a reader's comment.
+    """
+    stack = [(node, 0, 0, _elements(node), chain, [])]
     while stack:
-        parts, inside, text = stack[-1]
-        for part in parts:
+        node, i, k, n, chain, text = stack.pop()
+        descended = False
+        while i < len(node.parts):
+            part, i = node.parts[i], i + 1
             if isinstance(part, str):
                 text.append(part)
                 continue
+            k += 1
             if block := spaced("".join(text)):
                 yield block
-            text.clear()
-            if part.marked or inside and part.tag == "article" or part.digest in template:
-                continue  # an article within an article is a reader's comment
-            stack.append((iter(part.parts), inside or part.tag == "article", []))
+            text = []
+            if part.marked and not (chain and part.tag == "header" and not part.named) or chain and part.tag == "article" and not part.headed:
+                continue
+            if template:
+                if not chain:
+                    if part.digest in template:
+                        continue
+                elif part.tag not in KEPT_INSIDE and not template.isdisjoint(places(chain, node.parts, i - 1, k - 1, n - k)):
+                    continue
+            stack.append((node, i, k, n, chain, text))
+            stack.append((part, 0, 0, _elements(part), _chain_of(part, chain), []))
+            descended = True
             break
-        else:
-            if block := spaced("".join(text)):
-                yield block
-            stack.pop()
+        if not descended and (block := spaced("".join(text))):
+            yield block
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     root = parse(page)
     _digest(root)
-    return "\n".join(b for node in main_nodes(root, template) for b in blocks(node, template, node.tag in ("article", "main")))
+    return "\n".join(b for node in main_nodes(root, template) for b in blocks(node, template, _chain_of(node, 0)))
 
 
 def host_of(url_col: str):
@@ -279,7 +367,7 @@ def extract(pages: DataFrame, id_cols: list[str] | None = None, url_col: str = "
     Null and empty html give an empty text. A page without a host has no template. Repeated rows are
     extracted alike; no row, block or length is dropped. A page without an article or main element
     keeps all that neither its host's template nor an element's marks remove. With ``prose`` in ``limits``
-    recurring paragraphs, headings, cells and so on are template too, else only containers are.
+    recurring paragraphs, headings, cells and so on outside articles are template too, else only containers are.
     """
     own = id_cols or ["page_id", url_col]
     names = [f"k{i}" for i in range(len(own))]

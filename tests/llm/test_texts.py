@@ -1,6 +1,8 @@
 """Decontamination and main text."""
 
 import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -85,11 +87,79 @@ def test_boilerplate_inside_the_article_is_removed(spark, tag):
     same = f"<{tag}><p>one story</p><p>in two parts</p></{tag}>"  # an article under other menus is one page
     rows += [(10 + i, f"http://a.org/s{i}", f"<div>menu {i}</div>{same}") for i in range(4)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in main_text.extract(pages, prose=True).collect()}
-    assert all(got[i] == f"Title {i}\nstory {i}\nrow {i}" for i in range(5))
-    assert all(got[10 + i] == "one story\nin two parts" for i in range(4))
-    kept = {r.page_id: r.text for r in main_text.extract(pages).collect()}
-    assert all(kept[i] == f"Title {i}\nstory {i}\nAll rights reserved\nrow {i}\nTotal" for i in range(5))
+    for prose in (False, True):
+        got = {r.page_id: r.text for r in main_text.extract(pages, prose=prose).collect()}
+        assert all(got[i] == f"Title {i}\nstory {i}\nAll rights reserved\nrow {i}\nTotal" for i in range(5))
+        assert all(got[10 + i] == "one story\nin two parts" for i in range(4))
+
+
+def test_recurring_content_of_articles_stays(spark):
+    """Headings, sentences, cells and list items that many articles of a host share, and a container that stands in another place in each."""
+    rows = [(i, f"http://a.org/{i}", f"<article><header><h1>Report</h1></header><p>A common sentence.</p>{f'<p>filler {i}</p>' * i}<div>Figures</div>{f'<p>more {i}</p>' * (9 - i)}"
+             f"<ul><li>Yes</li><li>item {i}</li></ul><p>x <math>a+b</math></p></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == "\n".join(["Report", "A common sentence.", *[f"filler {i}"] * i, "Figures", *[f"more {i}"] * (9 - i), "Yes", f"item {i}", "x a+b"])
+
+
+def test_names_are_matched_whole():
+    kept = '<div class="form-factor">1</div><div id="search-methods">2</div><div class="headerless">3</div><div class="main-article">4</div>'
+    gone = '<div class="site-nav">a</div><div class="ad-slot wide">b</div><div id="cookieNotice">c</div><div class="related_list">d</div><div class="share">e</div>'
+    assert main_text.main_text(f"<article>{kept}{gone}</article>") == "1\n2\n3\n4"
+    stories = "<article><h2>One</h2><p>first</p><article><h2>Two</h2><p>second</p></article><article><p>a remark</p></article></article>"
+    assert main_text.main_text(stories) == "One\nfirst\nTwo\nsecond"
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a "' * 250_000, '<a "' * 250_000 + ">", "<!" * 500_000, "<article>" + "<div>" * 50_000, "</div" * 200_000, "<p a='\"" * 100_000 + ">x", "<" * 1_000_000])
+def test_broken_markup_takes_linear_time(page):
+    start = time.process_time()
+    root = main_text.parse(page)
+    main_text._digest(root)
+    main_text.subtrees(root)
+    main_text.main_text(page)
+    assert time.process_time() - start < 8
+
+
+class Plain(HTMLParser):
+    """Texts of the outermost articles by the standard library's parser: a block ends at any tag but inline ones."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.blocks, self.text = 0, [], ""
+
+    def end_block(self):
+        if text := " ".join(self.text.split()):
+            self.blocks.append(text)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " "
+        elif tag not in ("b", "a", "i", "em", "strong", "span"):
+            self.depth += tag == "article"
+            if self.depth:
+                self.end_block()
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "a", "i", "em", "strong", "span", "br"):
+            if self.depth:
+                self.end_block()
+            self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth:
+            self.text += data
+
+
+def test_equals_a_plain_parser_on_the_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    got = {r.page_id: r.text for r in main_text.extract(pages).collect()}
+    assert got.keys() == html.keys()
+    for i, page in html.items():
+        plain = Plain()
+        plain.feed(page or "")
+        assert got[i] == "\n".join(plain.blocks), i
 
 
 def test_template_of_a_large_host(spark):
