@@ -313,14 +313,14 @@ def mutual_info_neighbors_numeric(spark, sf):
     return _round(information.mutual_information_number(frames.document_features(spark, sf), NUMBER_FEATURES, "n_chars"), "mutual_info")
 
 
-_RANKED = f"""f AS ({' UNION ALL '.join(_anova_sql(c) for c in DOCUMENT_COLUMNS)}), m AS ({' UNION ALL '.join(_mi_sql(c, 'feats', 'toxic') for c in DOCUMENT_COLUMNS)})"""
+_RANKED = f"""f AS ({' UNION ALL '.join(_anova_sql(c) for c in DOCUMENT_COLUMNS)}), {_PSI}, m AS ({' UNION ALL '.join(_near_class_sql(c) for c in DOCUMENT_COLUMNS)})"""
 
 
 @query("rank_table", f"WITH {DOCUMENTS}, {_RANKED} SELECT feature, f_score, mutual_info FROM f JOIN m USING (feature)")
 def rank_table(spark, sf):
     """M6 J3 T4."""
     df = materialize(frames.document_features(spark, sf), "documents")
-    return _round(ranking.rank_table([ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), ranking.mutual_information(df, DOCUMENT_COLUMNS, "toxic")], "f_score"),
+    return _round(ranking.rank_table([ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), information.mutual_information(df, DOCUMENT_COLUMNS, "toxic", classify=True)], "f_score"),
                   "f_score", "mutual_info")
 
 
@@ -330,5 +330,5 @@ def top_features(spark, sf):
     """T6 U1."""
     df = materialize(frames.document_features(spark, sf), "documents")
     f = _round(ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), "f_score")
-    m = _round(ranking.mutual_information(df, DOCUMENT_COLUMNS, "toxic"), "mutual_info")
+    m = _round(information.mutual_information(df, DOCUMENT_COLUMNS, "toxic", classify=True), "mutual_info")
     return ranking.top_features(f, "anova", "f_score", 5).unionByName(ranking.top_features(m, "mutual_info", "mutual_info", 5))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tabforge.catalog.frames_sql import VISITS
 from tabforge.catalog.registry import query
+from tabforge.functions.columns import rounded
 from tabforge.operators import evaluation as V
 from tabforge.operators import experiments as X
-from tabforge.operators import ranking
+from tabforge.operators import information, ranking
 from tabforge.operators.learners import forest_importance
 from tabforge.plans import frames
 from tabforge.plans.frames import DOCUMENT_COLUMNS
@@ -34,7 +38,7 @@ def forest_rank(spark, sf):
     """Three scores per feature, best importance first."""
     df = _documents(spark, sf)
     return ranking.rank_table([
-        ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), ranking.mutual_information(df, DOCUMENT_COLUMNS, "toxic"),
+        ranking.anova_f(df, DOCUMENT_COLUMNS, "toxic"), information.mutual_information(df, DOCUMENT_COLUMNS, "toxic", classify=True),
         forest_importance(df, DOCUMENT_COLUMNS, "toxic", classify=True).withColumnRenamed("importance", "rf_importance"),
     ], "rf_importance")
 
@@ -101,6 +105,21 @@ def regressor_cv(spark, sf):
         spark, sf, "least_squares_all", "ridge_1_all", "ridge_10_top20", "lasso_001_all", "tree_depth5", "tree_depth10_leaf20", "poisson_1_all"))
 
 
+@query("line_cv", f"""WITH {VISITS}, f AS (SELECT visit_id, n_lines::DOUBLE AS y, qty::DOUBLE AS x,
+  ((row_number() OVER (ORDER BY (visit_id % 1000003 * 7919 + 104729) % 1000003, visit_id) - 1) % 5)::INT AS fold FROM visits),
+fits AS (SELECT t.fold, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM (SELECT DISTINCT fold FROM f) t JOIN f ON f.fold <> t.fold GROUP BY t.fold),
+p AS (SELECT f.fold, y, base + slope * x AS pred FROM f JOIN fits USING (fold)),
+m AS (SELECT fold, avg(y) AS mean FROM p GROUP BY fold)
+SELECT fold, round(avg(abs(y - pred)), 6) AS mae, round(sqrt(avg((y - pred) ** 2)), 6) AS rmse, round(1 - sum((y - pred) ** 2) / sum((y - mean) ** 2), 6) AS r2
+FROM p JOIN m USING (fold) GROUP BY fold""")
+def line_cv(spark, sf):
+    """Five fits of a straight line, each scored on the rows it has not seen."""
+    line = X.Experiment("line", "ridge", {"alpha": 0.0})
+    predictions, _ = X.cross_validate(frames.visits(spark, sf), "visit_id", "n_lines", ["qty"], [line], classify=False)
+    scores = X.regression_folds(predictions)
+    return scores.select("fold", *[rounded(F.col(c)).alias(c) for c in ("mae", "rmse", "r2")])
+
+
 @query("forest_regressor_cv")
 def forest_regressor_cv(spark, sf):
     """M16."""

@@ -95,3 +95,29 @@ CLUSTER_COLUMNS = [
     *NUMERIC_COLUMNS, "age_num", "n_active_meds", "total_visits", "change", "diabetesMed", "procedures_per_day", "meds_per_day",
 ]
 PROFILE_COLUMNS = [*NUMERIC_COLUMNS, "age_num", "n_active_meds", "early_readmit"]
+
+# Names under which results of the experiments were published, by the names used here.
+PUBLISHED_CLASSIFIERS = {
+    "nearest_5_all": "EXP01_KNN_k5_all_features",
+    "nearest_11_top20": "EXP02_KNN_k11_top20_anova",
+    "naive_bayes": "EXP03_NaiveBayes_GaussianNB",
+    "tree_depth5": "EXP04_DecisionTree_depth5",
+    "tree_depth10_leaf20": "EXP05_DecisionTree_depth10_min20",
+    "forest_100_balanced": "EXP06_RandomForest_n100_balanced",
+    "forest_200_tuned_balanced": "EXP07_RandomForest_n200_tuned_balanced",
+    "boosted_100": "EXP08_XGBoost_n100",
+    "calibrated_svm_top20": "EXP09_LinearSVM_top20",
+    "perceptron_top30": "EXP10_MLP_2layer_top30",
+}
+PUBLISHED_REGRESSORS = {
+    "least_squares_all": "EXP01_LinearRegression_all",
+    "ridge_1_all": "EXP02_Ridge_a1_all",
+    "ridge_10_top20": "EXP03_Ridge_a10_top20",
+    "lasso_001_all": "EXP04_Lasso_a001_all",
+    "tree_depth5": "EXP05_DecisionTree_depth5",
+    "tree_depth10_leaf20": "EXP06_DecisionTree_depth10_min20",
+    "forest_100": "EXP07_RandomForest_n100",
+    "boosted_100": "EXP08_XGBoost_n100",
+    "boosted_100_without_family": "EXP09_XGBoost_NoLeak",
+    "poisson_1_all": "EXP10_Poisson_all",
+}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.columns import col
 from tabforge.operators import evaluation as V
-from tabforge.operators import ranking
+from tabforge.operators import information, ranking
 from tabforge.operators.cleaning import without_prefix
 from tabforge.operators.encoding import apply_standard, fit_standard
 from tabforge.operators.folds import holdout, k_folds, with_class_weight
@@ -87,7 +87,7 @@ def feature_sets(
     if "variance" in needed:
         sets["variance"] = [r["feature"] for r in ranking.variance_filter(df, features).filter("kept = 1").orderBy("feature").collect()]
     if "mutual30" in needed:
-        sets["mutual30"] = best(ranking.mutual_information(df, features, y, numeric_target=not classify), "mutual_info", 30)
+        sets["mutual30"] = best(information.mutual_information(df, features, y, classify), "mutual_info", 30)
     if "anova20" in needed:
         f = ranking.anova_f(df, features, y) if classify else ranking.regression_f(df, features, y)
         sets["anova20"] = best(f, "f_score", 20)

@@ -147,6 +147,11 @@ def mutual_information_number(df: DataFrame, features: Sequence[str], y: str, k:
     return _every_feature(df, features, scores)
 
 
+def mutual_information(df: DataFrame, features: Sequence[str], y: str, classify: bool, k: int = NEIGHBORS) -> DataFrame:
+    """(feature, mutual_info) with a class or with a number."""
+    return (mutual_information_class if classify else mutual_information_number)(df, features, y, k)
+
+
 def _every_feature(df: DataFrame, features: Sequence[str], scores: DataFrame) -> DataFrame:
     """Features without any usable row score 0."""
     names = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")

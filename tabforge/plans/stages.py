@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tabforge import constants as K
 from tabforge.functions.columns import col
-from tabforge.operators import cleaning, cluster_scores, clustering, density, encoding, evaluation, profiling, ranking, rules
+from tabforge.operators import cleaning, cluster_scores, clustering, density, encoding, evaluation, information, profiling, ranking, rules
 from tabforge.operators import experiments as X
 from tabforge.operators.learners import forest_importance
 from tabforge.session import materialize
@@ -181,9 +181,15 @@ def cluster(
     return out
 
 
+def _published(results: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Results with ``published``: the experiment's name in the published tables, null for one that isn't there."""
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return results.withColumn("published", F.try_element_at(known, F.col("experiment")))
+
+
 def _rankings(df: DataFrame, features: Sequence[str], y: str, classify: bool, trees: int) -> DataFrame:
     f = ranking.anova_f(df, features, y) if classify else ranking.regression_f(df, features, y)
-    mi = ranking.mutual_information(df, features, y, numeric_target=not classify)
+    mi = information.mutual_information(df, features, y, classify)
     forest = forest_importance(df, features, y, classify, trees).withColumnRenamed("importance", "rf_importance")
     return ranking.rank_table([f, mi, forest], "rf_importance")
 
@@ -199,7 +205,7 @@ def classify(encoded: DataFrame, experiments: Sequence[X.Experiment] = tuple(X.C
     scored = X.holdout_predictions(encoded, KEY, LABEL, features, [best], classify=True)
     threshold = evaluation.best_threshold(scored, "y", "score").first()["threshold"]
     out = {
-        "feature_rankings": _rankings(encoded, features, LABEL, True, trees), "classification_results": results,
+        "feature_rankings": _rankings(encoded, features, LABEL, True, trees), "classification_results": _published(results, K.PUBLISHED_CLASSIFIERS),
         "thresholds": evaluation.threshold_metrics(scored, "y", "score", [0.5, threshold], ["experiment"]),
         "class_report": evaluation.class_report(scored.withColumn("p", (F.col("score") >= threshold).cast("int")), "y", "p"),
         "roc": evaluation.roc_points(scored, "y", "score", ["experiment"]), "f1_curve": evaluation.f1_curve(scored, "y", "score", ["experiment"]),
@@ -222,7 +228,7 @@ def regress(encoded: DataFrame, experiments: Sequence[X.Experiment] = tuple(X.RE
     out = {
         "target": tables.target_summary(encoded, TARGET), "target_counts": tables.target_counts(encoded, TARGET), "target_box": profiling.box_stats(encoded, [TARGET]),
         "importance": X.model_importance(encoded, KEY, TARGET, features, best, classify=False, family="discharge_disposition"),
-        "regression_feature_rankings": _rankings(encoded, features, TARGET, False, trees), "regression_results": results,
+        "regression_feature_rankings": _rankings(encoded, features, TARGET, False, trees), "regression_results": _published(results, K.PUBLISHED_REGRESSORS),
         "holdout": evaluation.regression_metrics(scored, "y", "pred", ["experiment"]), "errors": evaluation.error_summary(scored, "y", "pred"),
         "residual_histogram": profiling.histogram(evaluation.residuals(scored, "y", "pred"), "residual", 50),
         "distributions": reduce(DataFrame.unionByName, shapes),
