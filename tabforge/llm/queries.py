@@ -38,7 +38,28 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query("op5_decontaminate")
+OP5_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, len(ws) AS n, unnest(ws) AS word, unnest(range(len(ws))) AS i
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents)),
+items AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[k : k + least(len(ws), 10) - 1], ' ') AS window_text
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS k FROM items WHERE len(ws) > 0)),
+doc_windows AS (SIZES),
+hits AS (SELECT doc_id, i, size, item_id FROM doc_windows JOIN item_windows USING (size, window_text)),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM hits),
+counts AS (SELECT doc_id, count(*) AS n_words FROM doc_words GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, array_to_string(list(item_id ORDER BY item_id), ',') AS names FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n_hit FROM covered GROUP BY doc_id) USING (doc_id) LEFT JOIN found USING (doc_id)
+""".replace("SIZES", " UNION ALL ".join(
+    f"""SELECT doc_id, i, {k} AS size, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING) AS window_text
+  FROM doc_words WHERE EXISTS (SELECT 1 FROM item_windows WHERE size = {k}) QUALIFY i + {k} <= n""" for k in range(1, 11)))
+
+
+@query("op5_decontaminate", OP5_SQL)
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Words of every document that benchmark windows of ten words cover, and the items they come from."""
     found = decontaminate.find_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -86,7 +107,20 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op6_window_dedup")
+OP6_SQL = r"""
+WITH words AS (
+  SELECT doc_id, len(ws) AS n, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+windows AS (
+  SELECT *, CASE WHEN i + 50 <= n THEN md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) END AS h FROM words),
+firsts AS (SELECT h, min(doc_id) AS first_id FROM windows WHERE h IS NOT NULL GROUP BY h),
+starts AS (SELECT windows.*, coalesce(first_id < doc_id, false) AS repeats FROM windows LEFT JOIN firsts USING (h)),
+flags AS (SELECT *, bool_or(repeats) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM starts)
+SELECT d.doc_id, count(word) AS n_words, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN flags USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query("op6_window_dedup", OP6_SQL)
 def op6_window_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 50-word windows that start in an earlier one."""
     kept = window_dedup.remove_repeats(table(spark, sf, "documents"))
@@ -99,7 +133,25 @@ def op8_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(table(spark, sf, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
 
 
-@query("op9_near_dedup")
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+places AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM words),
+shingles AS (
+  SELECT DISTINCT doc_id, md5(s) AS h FROM (
+    SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS s FROM places) WHERE i + 5 <= n OR (n < 5 AND i = 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)),
+arcs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT DISTINCT a, a FROM arcs UNION SELECT r.doc_id, arcs.b FROM reach r JOIN arcs ON r.other = arcs.a),
+roots AS (SELECT doc_id, min(other) AS root FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, w.doc_id) AS component_id, coalesce(root, w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes USING (doc_id) LEFT JOIN roots USING (doc_id)
+"""
+
+
+@query("op9_near_dedup", OP9_SQL)
 def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Component of every document under 75 % similarity of five-word shingles."""
     found = near_dedup.near_duplicates(table(spark, sf, "documents"))
