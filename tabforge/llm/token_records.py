@@ -27,8 +27,8 @@ from tabforge.llm.arrays import byte_column, id_column, ranges, release, text_sl
 SHARD_BYTES = 4 << 20
 #: Bytes of text that are cut into pieces at a time.
 SLICE_BYTES = 2 << 20
-#: Bytes of pieces and their ids that a task remembers, with what Python adds to an entry.
-CACHE_BYTES, ENTRY_BYTES = 16 << 20, 200
+#: Bytes of pieces and their ids that a worker remembers from task to task, with what Python adds to an entry.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 #: Added to a rotated checksum, as record files do, so that a checksum of checksums isn't zero (fixed value).
@@ -139,10 +139,6 @@ class PieceEncoder:
                     self.cached += len(values[i]) + len(out[i]) + ENTRY_BYTES
         return out
 
-    def forget(self) -> None:
-        """Drop the remembered pieces: workers stay alive between tasks."""
-        self.cache, self.cached = {}, 0
-
     def added_places(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """(start, end, id) of the vocabulary's added tokens in the texts as they stand."""
         raw = data.tobytes()
@@ -213,7 +209,6 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
                     held, size = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)])], names=["value"])
-        encoder.forget()
         release()
 
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
