@@ -218,28 +218,40 @@ def _elements(node: Node) -> int:
     return sum(isinstance(p, Node) for p in node.parts)
 
 
-def subtrees(root: Node, prose: bool = False) -> set[int]:
-    """Hashes of the elements that a site's template may hold: containers, outside articles with ``prose`` also paragraphs, headings, cells and so on.
+def subtrees(root: Node, prose: bool = False) -> tuple[set[int], set[int]]:
+    """Hashes of the elements that a site's template may hold, and those of them that no mark removes anyway.
 
-    Inside an article, and inside a main element that holds none, an element counts by its ``places``.
+    Containers, outside articles with ``prose`` also paragraphs, headings, cells and so on. Inside an
+    article, and inside a main element that holds none, an element counts by its ``places``.
     """
     found: set[int] = set()
+    live: set[int] = set()
     never = WHOLE if prose else PROSE
-    stack: list[tuple[Node, int]] = [(root, 0)]
+    stack: list[tuple[Node, int, bool]] = [(root, 0, False)]
     while stack:
-        node, chain = stack.pop()
+        node, chain, gone = stack.pop()
         n, k = _elements(node), 0
         for i, part in enumerate(node.parts):
             if not isinstance(part, Node):
                 continue
+            dead = gone or part.marked and not _own_header(part, chain)
+            own: set[int] = set()
             if chain:
                 if part.tag not in KEPT_INSIDE:
-                    found |= places(chain, node.parts, i, k, n - k - 1)
+                    own = places(chain, node.parts, i, k, n - k - 1)
             elif part.tag not in never:
-                found.add(part.digest)
-            stack.append((part, _chain_of(part, chain)))
+                own = {part.digest}
+            found |= own
+            if not dead:
+                live |= own
+            stack.append((part, _chain_of(part, chain), dead))
             k += 1
-    return found
+    return found, live
+
+
+def _own_header(node: Node, chain: int) -> bool:
+    """An article's header, furniture by its tag alone, which stays."""
+    return bool(chain) and node.tag == "header" and not node.named
 
 
 def _chain_of(node: Node, chain: int) -> int:
@@ -297,7 +309,7 @@ def blocks(node: Node, template: frozenset[int], chain: int = 0) -> Iterator[str
             if block := spaced("".join(text)):
                 yield block
             text = []
-            if part.marked and not (chain and part.tag == "header" and not part.named) or chain and part.tag == "article" and not part.headed:
+            if part.marked and not _own_header(part, chain) or chain and part.tag == "article" and not part.headed:
                 continue
             if template:
                 if not chain:
@@ -326,34 +338,36 @@ def host_of(url_col: str):
 
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", least_pages: int = LEAST_PAGES, least_share: float = 0.0, prose: bool = False) -> DataFrame:
-    """(host, page, hashes): those subtrees of a page that stand on at least ``least_pages`` different pages of its host.
+    """(host, page, hashes): those subtrees of a page, of the ones no mark removes, that stand on at least ``least_pages`` different pages of its host.
 
     ``page`` is the hash of the html. Pages with equal html, or with equal articles (else main elements),
     count once, so copies of a page or of its article don't make it a template. ``prose`` elements are
     counted where asked. A ``least_share`` asks for that share of a host's different pages as well.
     """
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("page", T.LongType()), T.StructField("content", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("page", T.LongType()), T.StructField("content", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("live", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents, found = [], []
+            contents, found, live = [], [], []
             for key, page in zip(batch.column(1), batch.column(2)):
                 root = parse(page.as_py())
                 _digest(root)
                 own = content_key(root)
                 contents.append(key.as_py() if own is None else _signed(own))
-                found.append([_signed(h) for h in subtrees(root, prose)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(contents, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
+                for out, hashes in zip((found, live), subtrees(root, prose)):
+                    out.append([_signed(h) for h in hashes])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(contents, pa.int64()), *[pa.array(x, pa.list_(pa.int64())) for x in (found, live)]], names=schema.names)
 
     html = F.col(html_col).cast("string")
     rows = pages.select(host_of(url_col).alias("host"), F.xxhash64(html).alias("page"), html.alias("html")).filter("host is not null and html is not null")
-    seen = materialize(rows.mapInArrow(run, schema).groupBy("host", "page").agg(F.first("content").alias("content"), F.first("hashes").alias("hashes")), "subtrees")
+    seen = materialize(rows.mapInArrow(run, schema).groupBy("host", "page").agg(F.first("content").alias("content"), F.first("hashes").alias("hashes"), F.first("live").alias("live")), "subtrees")
     pairs = seen.select("host", "page", "content", F.explode("hashes").alias("hash"))
     often = pairs.groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).filter(F.col("n") >= least_pages)
     if least_share > 0:
         sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("n_pages"))
         often = often.join(sizes, "host").filter(F.col("n") >= F.col("n_pages") * least_share)
-    own = pairs.select("host", "page", "hash").join(often.select("host", "hash"), ["host", "hash"])
+    # Only what a page would still show: its menus, which the whole host shares, are no keys of this join.
+    own = seen.select("host", "page", F.explode("live").alias("hash")).join(often.select("host", "hash"), ["host", "hash"])
     return own.groupBy("host", "page").agg(F.collect_list("hash").alias("hashes"))
 
 
@@ -362,7 +376,7 @@ def _signed(h: int) -> int:
 
 
 def extract(pages: DataFrame, id_cols: list[str] | None = None, url_col: str = "url", html_col: str = "html", **limits) -> DataFrame:
-    """``id_cols`` (default: page_id and the url) of every row with ``text``.
+    """``id_cols`` (default: page_id and the url) of every row with ``text``; an id column of that name becomes ``text_in``.
 
     Null and empty html give an empty text. A page without a host has no template. Repeated rows are
     extracted alike; no row, block or length is dropped. A page without an article or main element
@@ -384,4 +398,4 @@ def extract(pages: DataFrame, id_cols: list[str] | None = None, url_col: str = "
                 texts.append(main_text(page, frozenset(h & 0xFFFFFFFFFFFFFFFF for h in hashes.as_py() or ())) if page else "")
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string())], names=[*names, "text"])
 
-    return rows.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(names, own)], "text")
+    return rows.mapInArrow(run, schema).select(*[F.col(n).alias("text_in" if c.lower() == "text" else c) for n, c in zip(names, own)], "text")

@@ -102,6 +102,13 @@ def test_recurring_content_of_articles_stays(spark):
         assert got[i] == "\n".join(["Report", "A common sentence.", *[f"filler {i}"] * i, "Figures", *[f"more {i}"] * (9 - i), "Yes", f"item {i}", "x a+b"])
 
 
+def test_repeated_rows_and_clashing_names(spark):
+    rows = [(1, "http://a.org/1", "<p>one", "x"), (1, "http://a.org/1", "<p>one", "y"), (1, None, None, "z"), (None, "http://a.org/2", "", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = main_text.extract(pages, ["page_id", "text"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "x", "one"), (1, "y", "one"), (1, "z", ""), (None, None, "")], key=str) and got.columns == ["page_id", "text_in", "text"]
+
+
 def test_names_are_matched_whole():
     kept = '<div class="form-factor">1</div><div id="search-methods">2</div><div class="headerless">3</div><div class="main-article">4</div>'
     gone = '<div class="site-nav">a</div><div class="ad-slot wide">b</div><div id="cookieNotice">c</div><div class="related_list">d</div><div class="share">e</div>'
