@@ -26,9 +26,9 @@ from tabforge.llm.arrays import byte_column, id_column, ranges, release, text_sl
 #: Bytes of frames after which a new file begins.
 SHARD_BYTES = 4 << 20
 #: Bytes of text that are cut into pieces at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Bytes of pieces and their ids that a worker remembers from task to task, with what Python adds to an entry.
-CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 200
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 #: Added to a rotated checksum, as record files do, so that a checksum of checksums isn't zero (fixed value).
@@ -248,12 +248,18 @@ _ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(
 
 
 def write_index(spark: SparkSession, path: str, index_path: str) -> None:
-    """The offset index of the record files: where each document's frame lies, for reads in any order."""
+    """The offset index of the record files: where each document's frame lies, for reads in any order.
+
+    One row a record; a null id stays null, rows with one id have a row each, no record gives no row.
+    """
     read_records(spark, path).drop("ids").write.parquet(index_path)
 
 
 def shard_starts(index: DataFrame) -> DataFrame:
-    """(shard, before): ids in all shards before it; summed in two levels, so no task sees every shard."""
+    """(shard, before): ids in all shards before it; summed in two levels, so no task sees every shard.
+
+    Shards are numbered by the writer, so there are no ties; a shard without records isn't there.
+    """
     from pyspark.sql import Window as W
 
     totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("n")).withColumn("task", F.floor(F.col("shard") / 1_000_000))
@@ -267,7 +273,10 @@ def shard_starts(index: DataFrame) -> DataFrame:
 
 
 def with_starts(records: DataFrame, index: DataFrame) -> DataFrame:
-    """``records`` with ``start``: ids of all documents before it."""
+    """``records`` with ``start``: ids of all documents before it, in the order of the files.
+
+    Records are known by their place, so null and repeated ids don't matter.
+    """
     from pyspark.sql import Window as W
 
     inside = F.sum("n_tokens").over(W.partitionBy("shard").orderBy("row")) - F.col("n_tokens")
