@@ -2,6 +2,10 @@
 
 Each stage takes all rows that the one before kept. Every stage but the last returns the columns of
 ``documents``; the pipeline's result has one row per surviving document with its token ids.
+
+In every stage a null text counts as an empty one, which is scored like any other, is a near copy of
+nothing, loses nothing, holds no benchmark window and has no ids. Rows with one id are one document where
+documents are compared; a null id comes after all others. An empty table passes through all stages.
 """
 
 from __future__ import annotations

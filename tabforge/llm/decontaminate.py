@@ -214,7 +214,11 @@ def _best(matches: list[dict]) -> list[dict]:
 
 
 def remove_contaminated(docs: DataFrame, tests: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns kept, in which no window of an item occurs."""
+    """The rows of ``docs``, all columns kept, in which no window of an item occurs.
+
+    Null and empty texts have no words and stay; copies of a row stay or go together; without items all
+    rows stay. Columns travel in a struct, so none of their names can clash.
+    """
     own = docs.columns
     packed = docs.select(F.struct(*own).alias("row"), F.col(text_col).alias("text"))
     return find_matches(packed, tests, text_col="text", keep=["row"], **options).filter(F.size("hits") == 0).select(*[F.col("row").getField(c).alias(c) for c in own])

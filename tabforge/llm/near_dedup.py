@@ -363,6 +363,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its group, columns as they are."""
+    """The rows of ``docs`` whose document is the first of its group, columns as they are.
+
+    Rows with one id are one document and stay or go together; rows with a null id, an empty or a null text stay.
+    """
     gone = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

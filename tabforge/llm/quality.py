@@ -153,7 +153,11 @@ def score_documents(docs: DataFrame, model: RuleEnsemble, text_col: str = "text"
 
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, columns as they are, that the classifier doesn't reject."""
+    """The rows of ``docs``, columns as they are, that the classifier doesn't reject.
+
+    Null and empty texts are scored like any other, copies of a row stay or go together, and an empty
+    table gives none. Columns travel in a struct, so none of their names can clash.
+    """
     own = docs.columns
     packed = docs.select(F.struct(*own).alias("row"), F.col(text_col).alias("_text"))
     return score_documents(packed, model, "_text", ["row"], threshold).filter("predicted = 1").select(*[F.col("row").getField(c).alias(c) for c in own])

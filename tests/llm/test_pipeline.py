@@ -43,3 +43,21 @@ def test_pipeline_stage_by_stage(spark):
     for r in last[:50]:
         raw = np.frombuffer(bytes(r.ids), "<u4").astype(np.int64)
         assert codec.decode(raw, np.array([0, len(raw)]))[0].tobytes().decode() == texts[r.doc_id]
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, a text of a million characters; then no rows at all."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    first = docs.orderBy("doc_id").first()
+    long = " ".join(f"word{i} of a long text," for i in range(45_000))
+    odd = [(None, first.text, "en", "x", 1), (None, None, None, None, None), (first.doc_id, first.text, first.lang, first.source, first.n_chars), (9001, None, "en", "x", None),
+           (9002, "", "en", "x", 0), (9003, long, "en", "x", len(long)), (9003, long, "en", "x", len(long))]
+    for name, rows in (("odd", docs.unionByName(spark.createDataFrame(odd, docs.schema))), ("none", docs.filter("false"))):
+        rows.write.parquet(str(tmp_path / name / "documents.parquet"))
+        for other in ("labels", "benchmark"):
+            spark.read.parquet(f"{folder}/{other}.parquet").write.parquet(str(tmp_path / name / f"{other}.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert all(r.intact for r in found) and len(found) > 100
+    assert {len([r for r in found if r.doc_id == i]) for i in (first.doc_id, 9003)} <= {0, 2}  # copies of a row stay or go together
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
