@@ -25,6 +25,8 @@ from tabforge.session import materialize
 BLOCK_ROWS, GROUP_BLOCKS = 1024, 16
 #: Dimensions (those of the largest variance) and bits of a place on the curve.
 CURVE_DIMS, CURVE_BITS, DIM_BITS = 12, 60, 10
+#: Rows, at most, that choose the dimensions.
+SOME_ROWS = 1000
 #: Room for the numbers of blocks in one range.
 RANGE_BLOCKS = 1 << 32
 
@@ -76,12 +78,13 @@ class Curve:
 
 
 def fit_curve(points: DataFrame, vec: str = "vec", block: int = BLOCK_ROWS) -> Curve:
-    """Quantiles of the dimensions of largest variance; none where all rows fit in one block."""
+    """Quantiles of the dimensions of largest variance among some rows; none where all rows fit in one block."""
     rows, size = points.agg(F.count("*"), F.coalesce(F.max(F.size(vec)), F.lit(0))).first()
     if rows <= block or not size:
         return Curve(rows, size, [], [])
-    spread = points.agg(*[F.var_pop(F.col(vec)[i]) for i in range(size)]).first()
-    dims = sorted(sorted(range(size), key=lambda i: (-(spread[i] or 0.0), i))[:CURVE_DIMS])
+    # The choice of dimensions only says which rows lie side by side, so some rows are enough for it.
+    some = columns_of(points.select(vec).limit(SOME_ROWS).toArrow())[vec]
+    dims = sorted(np.argsort(-some.var(axis=0), kind="stable")[:CURVE_DIMS].tolist())
     parts = 1 << min(DIM_BITS, CURVE_BITS // len(dims))
     probs = [i / parts for i in range(1, parts)]
     cuts = points.agg(*[F.percentile_approx(F.col(vec)[i], probs, max(1000, 10 * parts)) for i in dims]).first()
@@ -104,19 +107,35 @@ def lay_out(points: DataFrame, curve: Curve, vec: str = "vec", block: int = BLOC
         (F.col("_range") * RANGE_BLOCKS + F.floor(F.col("_number") / per_run)).alias("run")), "blocks")
 
 
-def _box(size: int, low: Callable[[int], Column], high: Callable[[int], Column]) -> list[Column]:
-    none = F.array().cast("array<double>")
-    return [(F.array(*[F.min(low(i)) for i in range(size)]) if size else none).alias("low"), (F.array(*[F.max(high(i)) for i in range(size)]) if size else none).alias("high")]
+BOX = "grp string, block long, run long, n long, low array<double>, high array<double>, reach double"
 
 
-def boxes(placed: DataFrame, size: int, *more: Column, vec: str = "vec") -> DataFrame:
-    """(grp, block, run, n, low, high, more) of every block."""
-    return placed.groupBy("grp", "block", "run").agg(F.count("*").alias("n"), *_box(size, lambda i: F.col(vec)[i], lambda i: F.col(vec)[i]), *more)
+def _box_table(table: pa.Table, low: np.ndarray, high: np.ndarray, n: int, block: int) -> pa.Table:
+    reach = table.column("reach")
+    return pa.table([pa.array([table.column("grp")[0].as_py()], pa.string()), pa.array([block], pa.int64()), pa.array([table.column("run")[0].as_py()], pa.int64()), pa.array([n], pa.int64()),
+                     pa.array([low], pa.list_(pa.float64())), pa.array([high], pa.list_(pa.float64())),
+                     pa.array([None if reach.null_count else max(reach.to_pylist())], pa.float64())], names=["grp", "block", "run", "n", "low", "high", "reach"])
 
 
-def runs_of(blocks: DataFrame, size: int, *more: Column) -> DataFrame:
+def boxes(placed: DataFrame) -> DataFrame:
+    """(grp, block, run, n, low, high, reach) of every block; ``reach`` is the greatest of a column of that name, null where a row's is."""
+
+    def run(table: pa.Table) -> pa.Table:
+        vec = columns_of(table.select(["vec"]))["vec"]
+        return _box_table(table, vec.min(axis=0), vec.max(axis=0), len(vec), table.column("block")[0].as_py())
+
+    reach = F.col("reach") if "reach" in placed.columns else F.lit(None).cast("double").alias("reach")
+    return placed.select("grp", "block", "run", "vec", reach).groupBy("block").applyInArrow(run, BOX)
+
+
+def runs_of(blocks: DataFrame) -> DataFrame:
     """The boxes around the blocks of each group and run."""
-    return blocks.groupBy("grp", "run").agg(F.sum("n").alias("n"), *_box(size, lambda i: F.col("low")[i], lambda i: F.col("high")[i]), *more)
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = columns_of(table.select(["n", "low", "high"]))
+        return _box_table(table, rows["low"].min(axis=0), rows["high"].max(axis=0), int(rows["n"].sum()), -1)
+
+    return blocks.select("grp", "block", "run", "n", "low", "high", "reach").groupBy("grp", "run").applyInArrow(run, BOX)
 
 
 def _length(apart: Column, greatest: bool) -> Column:
@@ -146,11 +165,11 @@ def _named(df: DataFrame, side: str, *plain: str) -> DataFrame:
     return df.select(*plain, *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c not in plain])
 
 
-def reachable(left: DataFrame, right: DataFrame, size: int, greatest: bool = False) -> DataFrame:
+def reachable(left: DataFrame, right: DataFrame, greatest: bool = False) -> DataFrame:
     """(lb, rb, gap) of the blocks of one group not further apart than the left one's ``reach``; null: any distance."""
     left = left.withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
     near = F.col("gap") <= widened(F.col("l_reach"))
-    left_runs, right_runs = _named(runs_of(left, size, F.max("reach").alias("reach")), "l", "grp"), _named(runs_of(right, size), "r", "grp")
+    left_runs, right_runs = _named(runs_of(left), "l", "grp"), _named(runs_of(right), "r", "grp")
     runs = left_runs.join(right_runs, "grp").withColumn("gap", box_gap("l", "r", greatest)).filter(near).select("grp", "l_run", "r_run")
     pairs = _named(left, "l", "grp").join(runs, ["grp", "l_run"]).join(_named(right, "r", "grp"), ["grp", "r_run"])
     return pairs.withColumn("gap", box_gap("l", "r", greatest)).filter(near).select(F.col("l_block").alias("lb"), F.col("r_block").alias("rb"), "gap")

@@ -92,9 +92,9 @@ def _own_blocks(placed: DataFrame, k: int, greatest: bool) -> DataFrame:
     return placed.groupBy("block").applyInArrow(run, schema)
 
 
-def _with_reach(lefts: DataFrame, rights: DataFrame, k: int, size: int, greatest: bool) -> DataFrame:
+def _with_reach(lefts: DataFrame, rights: DataFrame, k: int, greatest: bool) -> DataFrame:
     """Left boxes without a reach get the greatest distance of the run, of those that hold k right rows, where it is least."""
-    full = runs_of(rights, size).filter(F.col("n") >= k).select("grp", F.col("low").alias("r_low"), F.col("high").alias("r_high"))
+    full = runs_of(rights).filter(F.col("n") >= k).select("grp", F.col("low").alias("r_low"), F.col("high").alias("r_high"))
     span = box_span("l", "r", greatest)
     open_ends = lefts.filter("reach is null").select("grp", "block", "run", "n", F.col("low").alias("l_low"), F.col("high").alias("l_high"))
     bounded = open_ends.join(full, "grp", "left").groupBy("grp", "block", "run").agg(
@@ -115,9 +115,9 @@ def nearest_lists(left: DataFrame, right: DataFrame, k: int, greatest: bool = Fa
     found = own.select("id", F.inline(F.arrays_zip(F.col("neighbors").alias("neighbor"), F.col("dists").alias("dist"))))
     if curve.rows > 2 * block:
         rights = placed.filter("side = 1").select("id", "vec", "block")
-        left_boxes = boxes(own, curve.size, F.when(F.count_if(F.col("reach").isNull()) == 0, F.max("reach")).alias("reach"))
-        right_boxes = materialize(boxes(placed.filter("side = 1"), curve.size), "boxes")
-        pairs = reachable(_with_reach(left_boxes, right_boxes, k, curve.size, greatest), right_boxes, curve.size, greatest).filter("lb <> rb")
+        left_boxes = materialize(boxes(own), "boxes")
+        right_boxes = materialize(boxes(placed.filter("side = 1")), "boxes")
+        pairs = reachable(_with_reach(left_boxes, right_boxes, k, greatest), right_boxes, greatest).filter("lb <> rb")
         found = found.unionByName(block_join(own.select("id", "vec", "block", "reach"), rights, pairs, _top_k(k, greatest), FOUND))
     return _best(found, k), own.select("grp", "id", "vec")
 
