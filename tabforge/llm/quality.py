@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -101,6 +104,29 @@ def rules_of(debug: str, names: list[str]) -> set[Rule]:
     return found
 
 
+def fired(points: DataFrame, rules: list[Rule], slice_rows: int = 1_000) -> DataFrame:
+    """(y, r): for every row of statistics, a 1 for each rule that holds and a 0 for each other.
+
+    Evaluated in the tasks. As column expressions, the hundreds of rules would be planned, compiled and
+    sent again in each of the fit's passes, and the driver holds what that takes.
+    """
+    tests = [[(STATISTICS.index(s), low, high) for s, low, high in rule.bounds] for rule in rules]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, slice_rows):
+                batch = whole.slice(start, slice_rows)
+                x = [np.asarray(batch.column(1 + k), np.float64) for k in range(len(STATISTICS))]
+                flags = np.ones((len(rules), batch.num_rows), bool)
+                for holds, bounds in zip(flags, tests):
+                    for k, low, high in bounds:
+                        holds &= (x[k] > low) & (x[k] <= high)
+                ends = np.arange(batch.num_rows + 1, dtype=np.int32) * len(rules)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flags.T.astype(np.int8).ravel())], names=["y", "r"])
+
+    return points.select("y", *STATISTICS).mapInArrow(run, "y double, r array<tinyint>")
+
+
 def fit(rows: DataFrame, label: str = "label", trees: int = 24, depth: int = 4, penalty: float = 5e-4, seed: int = 17) -> RuleEnsemble:
     """Fit on ``rows``, which hold the statistics and a 0/1 label. No rows score 0.5; one class alone scores its own smoothed share."""
     n, ones = rows.agg(F.count("*"), F.sum(label)).first()
@@ -114,8 +140,8 @@ def fit(rows: DataFrame, label: str = "label", trees: int = 24, depth: int = 4,
     if not rules:
         p = ones / n
         return RuleEnsemble(math.log(p / (1 - p)))
-    fired = points.select("y", array_to_vector(F.array(*[r.column().cast("double") for r in rules])).alias("r"))
-    lasso = LogisticRegression(featuresCol="r", labelCol="y", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=80).fit(fired)
+    flags = materialize(fired(points, rules), "quality-rules").select("y", array_to_vector(F.col("r").cast("array<double>")).alias("r"))
+    lasso = LogisticRegression(featuresCol="r", labelCol="y", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=80).fit(flags)
     return RuleEnsemble(lasso.intercept, {r: w for r, w in zip(rules, lasso.coefficients.toArray().tolist()) if w})
 
 

@@ -50,6 +50,29 @@ def test_quality_separates_junk(spark):
     assert quality.keep_good(docs, model).count() == sum(r.predicted for r in found)
 
 
+def test_rules_are_evaluated_in_the_tasks(spark, monkeypatch):
+    """The flags are those of the rules' columns, and no pass of the lasso plans an expression for each rule."""
+    rng = random.Random(6)
+    rows = [(float(rng.random() < 0.5), *[round(rng.random(), 2) for _ in quality.STATISTICS]) for _ in range(600)]
+    points = spark.createDataFrame(rows, "label double, " + ", ".join(f"{s} double" for s in quality.STATISTICS))
+    seen = []
+
+    class Lasso(quality.LogisticRegression):
+        def fit(self, data):
+            seen.append(data)
+            return super().fit(data)
+
+    monkeypatch.setattr(quality, "LogisticRegression", Lasso)
+    quality.fit(points, trees=12)
+    assert seen[0].first().r.size > 100
+    assert len(seen[0]._jdf.queryExecution().optimizedPlan().toJSON()) < 20_000
+
+    rules = [quality.Rule((("digits", -math.inf, 0.5),)), quality.Rule((("digits", 0.5, math.inf), ("lines", 0.25, 0.75)))]
+    named = points.withColumnRenamed("label", "y")
+    want = [(r[0], [int(r[1]), int(r[2])]) for r in named.select("y", *[r.column() for r in rules]).collect()]
+    assert [(r.y, list(r.r)) for r in quality.fired(named, rules, slice_rows=7).collect()] == want
+
+
 def test_quality_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
