@@ -7,10 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.llm import neighbours, quality, suffix_tree_lm
+from tabforge.llm import blocks, neighbours, quality, suffix_tree_lm
 
 
 def test_rules_of_a_printed_tree():
@@ -191,6 +192,43 @@ def test_contexts_that_share_upper_bits_stay_apart():
     assert np.argsort(key).tolist() == [0, 2, 3, 1]
 
 
+def test_lm_sends_few_bytes(spark):
+    """Texts of mostly rare pairs: all that two levels, their words and the texts themselves send, against the bytes of text."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows = [" ".join(words[int(3000 * rng.random() ** 3)] for _ in range(400)) for _ in range(300)]
+    table = pa.table([pa.array([0] * 300), pa.array(range(300)), pa.array(rows), pa.array([True] * 300)], names=["block", "id", "text", "learn"])
+    n = 300 * 401
+    model = suffix_tree_lm.Model(n, 4, 2, 0.0, 5e-4, 0.02, 2)
+    steps, size = [], 0
+    sent = suffix_tree_lm.Words(suffix_tree_lm.Tokens(blocks.Block(table)), 4).sent()
+    for level in range(3):
+        payloads = [blocks.unpack(p) for p in sent.column("payload").to_pylist()]
+        add = suffix_tree_lm._add_pairs(model, wide=False, last=level == 2) if level else suffix_tree_lm._add_words
+        answers = [add([p])[0] for p in payloads]
+        size += sum(len(x) for x in (*sent.column("payload").to_pylist(), *answers) if x is not None)
+        kept = [(b + level * 4, 0, a) for b, a in zip(sent.column("bucket").to_pylist(), answers) if a is not None]
+        steps += kept
+        told = pa.table([pa.array(list(c), t) for c, t in zip(zip(*steps), (pa.int64(), pa.int64(), pa.binary()))], names=["bucket", "block", "payload"])
+        if level < 2:
+            sent = suffix_tree_lm._walk(blocks.Block(table), suffix_tree_lm.Answers(told, 4, 2), model, level + 1).sent()
+    assert size < 1.0 * sum(map(len, rows)), size / sum(map(len, rows))
+
+
+def test_packed_columns_come_back():
+    ascending = np.array([0, 3, 3, 1 << 40, (1 << 63) + 5], np.uint64)
+    assert (blocks.of_gaps(blocks.gaps(ascending), 5) == ascending).all() and not len(blocks.of_gaps(blocks.gaps(ascending[:0]), 0))
+    assert (blocks.of_planes(blocks.planes(ascending[::-1]), 5) == ascending[::-1]).all()
+    for dense in (False, True):
+        back = blocks.unpack(blocks.pack(ascending, np.zeros(0, np.uint8), dense=dense))
+        assert (back[0] == ascending).all() and not len(back[1])
+    texts = ["", None, "\u00e9" * 9000, "a b"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array(texts)], names=["id", "text"])
+    found = pa.Table.from_batches(list(blocks._compressed(iter([batch])))).append_column("block", pa.array([0] * 4))
+    block = blocks.Block(found)
+    assert [block.data[a:b].tobytes().decode() for a, b in zip(block.offsets, block.offsets[1:])] == [t or "" for t in texts]
+
+
 def test_lm_of_an_empty_table(spark):
     assert suffix_tree_lm.score_documents(spark.createDataFrame([], "doc_id long, text string"), F.lit(False)).count() == 0
 
