@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tabforge.llm.arrays import BASES, U64, Rolling, byte_column, cut_words, lowered, mixed, ranges, release, text_slices
 from tabforge.llm.window_dedup import WORD_BYTES
 from tabforge.operators.components import connected_components
-from tabforge.session import materialize
+from tabforge.session import files_for, materialize
 
 SHINGLE_WORDS = 5
 #: Bands times rows is the number of bins. At similarity 0.75 all bands miss a pair with probability 3e-7.
@@ -150,26 +150,27 @@ def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The documents with these ids; the ids are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond."""
-    ids = materialize(ids, "ids")
+def _texts_of(ids: DataFrame, docs: DataFrame, n: int | None) -> DataFrame:
+    """The documents with these ids, ``n`` at most where that is known; the ids are broadcast up to ``BROADCAST_IDS`` and joined by a shuffle beyond."""
+    ids = materialize(ids, "ids", None if n is None else files_for(n, 8))
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= 75 * union; ``docs`` has id and text.
+def _confirmed(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= 75 * union; ``docs`` has id and text, and ``n`` rows.
 
     ``a`` is a star's centre. Its text goes once to each group of up to about ``STAR_ROWS`` of its partners.
     """
-    pairs = materialize(pairs.distinct(), "pairs")
-    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
+    files = files_for(STAR_CENTRES * n, 16)
+    pairs = materialize(pairs.distinct(), "pairs", files)
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, n)
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_ROWS).alias("parts"))
     members = pairs.join(groups, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     centres = groups.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     sent = members.join(texts, members.b == texts.id).select("a", "part", F.lit(1).alias("kind"), "b", "text")
     first = centres.join(texts, centres.a == texts.id).select("a", "part", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("b"), "text")
     met = first.unionByName(sent).repartition("a", "part").sortWithinPartitions("a", "part", "kind")
-    return met.mapInArrow(_compare, PAIR)
+    return met.mapInArrow(_compare, PAIR).repartition(files)  # a comparison each task, a file for all of them
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,10 +280,10 @@ def _open_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
 
-def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, root) of every node: the smallest id that links lead to."""
-    found = connected_components(links.select(F.lit(0).alias("g"), "a", "b")).select(F.col("node").alias("id"), "root")
-    return materialize(nodes.join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root")), "roots")
+def _roots(nodes: DataFrame, links: DataFrame, n: int, most_links: int | None = None) -> DataFrame:
+    """(id, root) of every node, ``n`` at most: the smallest id that links lead to."""
+    found = connected_components(links.select(F.lit(0).alias("g"), "a", "b"), most_edges=most_links).select(F.col("node").alias("id"), "root")
+    return materialize(nodes.join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root")), "roots", files_for(n, 16))
 
 
 def _star_pairs(keys: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -304,7 +305,7 @@ def _with_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
 
-def _rest_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame, n: int | None = None) -> DataFrame:
     """Links between a bucket's members that lie in different components.
 
     Members outside the bucket's largest component (the others) meet all members; both sides are cut
@@ -325,7 +326,7 @@ def _rest_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataF
     met = members.unionByName(others).join(nodes, "id").select("key", "left", "right", "other", "id", "root", "n", "signature")
     met = met.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
     rows = materialize(met.mapInArrow(_open_rows, OPEN), "open")
-    texts = _texts_of(rows.select("id").distinct(), docs)
+    texts = _texts_of(rows.select("id").distinct(), docs, n)
     return rows.join(texts, "id").select(*OPEN.names, "text").repartition("key", "left", "right").sortWithinPartitions("key", "left", "right").mapInArrow(_open_links, PAIR)
 
 
@@ -340,22 +341,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketches = materialize(rows.mapInArrow(_sketches, SKETCH), "sketches")
+    count = sketches.count()
     full = sketches.filter("id is not null and n > 0")
     classes = full.groupBy("a", "b", "n").agg(F.min("id").alias("rep"))
-    members = materialize(full.select("id", "a", "b", "n").distinct().join(classes, ["a", "b", "n"]).select("id", "rep", "a", "b", "n"), "members")
+    members = materialize(full.select("id", "a", "b", "n").distinct().join(classes, ["a", "b", "n"]).select("id", "rep", "a", "b", "n"), "members", files_for(count, 40))
     own = members.filter("id = rep").select("id", "a", "b", "n")
-    nodes = materialize(sketches.join(own, ["id", "a", "b", "n"]).dropDuplicates(["id", "a", "b", "n"]).select("id", "n", "signature"), "classes")
-    keys = materialize(nodes.select("id", "signature").mapInArrow(_key_rows, T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType())])).distinct(), "keys")
+    nodes = materialize(sketches.join(own, ["id", "a", "b", "n"]).dropDuplicates(["id", "a", "b", "n"]).select("id", "n", "signature"), "classes", files_for(count, 16 + 4 * BINS))
+    keys = materialize(nodes.select("id", "signature").mapInArrow(_key_rows, T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType())])).distinct(), "keys", files_for(count, 16 * BANDS))
     texts = rows.filter("id is not null")
-    star = materialize(_confirmed(_star_pairs(keys, nodes), texts), "links")
+    star = materialize(_confirmed(_star_pairs(keys, nodes), texts, count), "links")
     # an id that stands in several classes joins them
     least = members.groupBy("id").agg(F.min("rep").alias("a"))
     several = members.select("id", "rep").join(least, "id").filter("rep <> a").select("a", F.col("rep").alias("b"))
-    roots = _roots(nodes.select("id").distinct(), star.unionByName(several))
-    rest = _rest_links(keys, nodes, roots, texts)
+    roots = _roots(nodes.select("id").distinct(), star.unionByName(several), count, (STAR_CENTRES + 1) * count)
+    rest = _rest_links(keys, nodes, roots, texts, count)
     ends = rest.join(roots.select(F.col("id").alias("a"), F.col("root").alias("r")), "a").join(roots.select(F.col("id").alias("b"), F.col("root").alias("s")), "b")
     joined = ends.filter("r <> s").select(F.least("r", "s").alias("a"), F.greatest("r", "s").alias("b"))
-    merged = _roots(roots.select(F.col("root").alias("id")).distinct(), joined)
+    merged = _roots(roots.select(F.col("root").alias("id")).distinct(), joined, count)
     final = roots.join(merged.select(F.col("root").alias("top"), F.col("id").alias("root")), "root").select("id", "top")
     component = members.groupBy("id").agg(F.min("rep").alias("rep")).join(final.withColumnRenamed("id", "rep"), "rep").select("id", F.col("top").alias("component"))
     found = sketches.select("id", F.col("n").alias("n_shingles")).join(component, "id", "left")

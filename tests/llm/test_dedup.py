@@ -9,6 +9,7 @@ import pytest
 
 from tabforge.llm import near_dedup, suffix_dedup, window_dedup
 from tabforge.llm.arrays import byte_column
+from tabforge.operators import components
 
 LAST = (1 << 63) - 1
 EXTRA = "doc_id long, text string, id string, block int, payload string"
@@ -181,3 +182,32 @@ def test_signatures_estimate_similarity():
     rows = near_dedup.signatures(np.concatenate([one, other]), np.array([0, 600, 1200]))
     assert abs((rows[0] == rows[1]).mean() - 500 / 700) < 0.15
     assert (near_dedup.signatures(one, np.array([0, 1, 600])) >= 0).all()  # one shingle fills every bin
+
+
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """However many partitions a session has, tables of a known size get the files that their rows need."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(6)]
+    rows = [(i, texts[i % 6] + f" tail{i}") for i in range(30)]
+    written = []
+    write = near_dedup.materialize
+
+    def counted(df, stem="stage", most_files=None):
+        table = write(df, stem, most_files)
+        written.append((stem, len(table.inputFiles())))
+        return table
+
+    monkeypatch.setattr(near_dedup, "materialize", counted)
+    monkeypatch.setattr(components, "materialize", counted)
+    kept = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in kept}
+    try:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        got = {r.id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i % 6 for i in range(30)}
+    for stem in ("members", "classes", "keys", "pairs", "links", "roots"):
+        assert {n for s, n in written if s == stem} == {1}, stem
+    assert [n for s, n in written if s == "edges"][:2] == [1, 1]
