@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.llm import blocks, neighbours, quality, suffix_tree_lm
+from tabforge.llm import arrays, blocks, neighbours, quality, suffix_tree_lm
 
 
 def test_rules_of_a_printed_tree():
@@ -278,3 +278,36 @@ def test_neighbours_recall(spark):
 def test_neighbours_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.search(df, F.col("id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 20, 48, 60, 64])
+def test_sort_order_is_stable(bits):
+    rng = np.random.default_rng(bits)
+    keys = rng.integers(0, 1 << bits, 70_000, dtype=np.uint64)
+    keys[::3] = keys[0]
+    keys[1::7] ^= np.uint64(1)  # many keys that differ in the lowest bit only
+    assert (arrays.sort_order(keys) == np.argsort(keys, kind="stable")).all()
+    assert arrays.sort_order(keys[:0]).tolist() == [] and arrays.sort_order(keys[:1]).tolist() == [0]
+
+
+def test_span_hashes_of_slices_and_long_spans():
+    data = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
+    cuts = np.unique(np.random.default_rng(2).integers(0, 5000, 400))
+    starts, ends = cuts[:-1], np.maximum(cuts[:-1] + 1, cuts[1:] - 1)
+    whole = arrays.Rolling(data).spans(starts, ends)
+    for most in (1, 16, 700, 1 << 17):
+        assert (arrays.span_hashes(data, starts, ends, most=most) == whole).all()
+    assert len(arrays.span_hashes(data, starts[:0], ends[:0])) == 0
+
+
+def test_context_ranks_follow_the_contexts():
+    tokens = object.__new__(suffix_tree_lm.Tokens)
+    rng = np.random.default_rng(3)
+    number = rng.choice(np.unique(rng.integers(0, 1 << 32, 50, dtype=np.uint64)), 3000)
+    tokens.word, tokens.number, tokens.place = number, number, np.arange(len(number))
+    tokens.rank, tokens.rank_bits = np.unique(number, return_inverse=True)[1].astype(np.uint64), 6
+    for depth in (1, 2, 3):
+        context, there = tokens.context(depth)
+        at = np.flatnonzero(there)
+        got = tokens.context_rank(depth, context[at], at)
+        assert (np.unique(got, return_inverse=True)[1] == np.unique(context[at], return_inverse=True)[1]).all()
