@@ -9,11 +9,13 @@ under its own commit protocol; it ends a file with a line feed, which is no fram
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,27 +23,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.llm.arrays import byte_column, id_column, ranges, release, text_slices
+from tabforge.llm.arrays import byte_column, id_column, ranges, release, span_hashes, text_slices
 
 #: Bytes of frames after which a new file begins.
 SHARD_BYTES = 4 << 20
 #: Bytes of text that are cut into pieces at a time.
 SLICE_BYTES = 4 << 20
-#: Bytes of pieces and their ids that a worker remembers from task to task, with what Python adds to an entry.
-CACHE_BYTES, ENTRY_BYTES = 64 << 20, 200
+#: Bytes of pieces and their ids that a worker remembers from task to task, and what an entry of the arrays adds to them.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 28
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 #: Added to a rotated checksum, as record files do, so that a checksum of checksums isn't zero (fixed value).
 MASK_DELTA = 0xA282EAD8
 
-#: Classes of bytes: white space, small ASCII letters, ASCII punctuation but the apostrophe.
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[0x61:0x7B] = True
-_POINT = np.zeros(256, bool)
+#: Lower-cases A-Z.
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Classes of bytes: white space, small ASCII letters, ASCII punctuation but the apostrophe, both bytes of a Latin letter.
+_OTHER, _SPACE, _LETTER, _POINT, _LEAD, _TAIL = range(6)
+_kind = np.zeros(256, np.uint8)
+_kind[[9, 10, 11, 12, 13, 32]] = _SPACE
+_kind[0x61:0x7B] = _LETTER
 for _a, _b in ((0x21, 0x27), (0x28, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x7F)):
-    _POINT[_a:_b] = True
+    _kind[_a:_b] = _POINT
+_KIND = _kind.tobytes()
+#: Whether a piece begins between two classes, at 8 * the former + the latter.
+_begin = np.zeros(256, np.uint8)
+for _a, _b in [(_SPACE, k) for k in range(6)] + [(_LETTER, _POINT), (_TAIL, _POINT), (_POINT, _LETTER), (_POINT, _LEAD)]:
+    _begin[8 * _a + _b] = _b != _SPACE
+_BEGIN = _begin.tobytes()
+#: Pieces that NFC and lower-casing leave as they are and that are one word of the tokenizer's own split.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: The tokenizer steps of which that holds.
+_STEPS = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+)
 
 _tokenizers: dict[int, tuple] = {}
 
@@ -84,36 +102,36 @@ def frames(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         at = last + 4
 
 
-def piece_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of pieces (of lower-cased bytes) whose tokens don't depend on their neighbours.
+def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces (of lower-cased bytes) whose tokens don't depend on their neighbours: their starts, their bytes one after the other, and the bounds there.
 
     Pieces end at white space and between a Latin letter and ASCII punctuation other than the
     apostrophe: the tokenizer's own split has a border at each of these places and drops white space.
     """
-    n = len(data)
-    space = _SPACE[data]
-    ahead = np.append(data[1:], 0)
-    latin = (data == 0xC3) & (ahead != 0x97) & (ahead != 0xB7)
-    opens = _LETTER[data] | latin
-    closes = _LETTER[data]
-    closes[1:] |= latin[:-1]
-    point = _POINT[data]
-    begin = np.zeros(n, bool)
-    begin[1:] = space[:-1] | (closes[:-1] & point[1:]) | (point[:-1] & opens[1:])
-    begin[offsets[:-1][np.diff(offsets) > 0]] = True
-    begin &= ~space
-    starts = np.flatnonzero(begin)
-    stop = np.append(begin[1:] | space[1:], True)
-    stop[offsets[1:][np.diff(offsets) > 0] - 1] = True
-    return starts, np.flatnonzero(stop & ~space) + 1
+    kind = np.frombuffer(bytearray(data.tobytes().translate(_KIND)), np.uint8)
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead], kind[lead + 1] = _LEAD, _TAIL
+    pairs = kind.copy()
+    pairs[1:] += kind[:-1] << 3
+    begin = np.frombuffer(bytearray(pairs.tobytes().translate(_BEGIN)), bool)
+    solid = kind != _SPACE
+    first = offsets[:-1][np.diff(offsets) > 0]
+    begin[first] = solid[first]
+    joined = data[solid]
+    return np.flatnonzero(begin), joined, np.append(np.flatnonzero(begin[solid]), len(joined))
 
 
 class PieceEncoder:
-    """Ids of texts: equal pieces of a slice go to the tokenizer once."""
+    """Ids of texts: equal pieces of a slice go to the tokenizer once, and not again while they are remembered.
+
+    What is remembered lies in arrays: hashes in order with the place of each, bytes and ids by place.
+    Bytes are compared, so pieces of one hash are told apart (the later one is encoded each time).
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core; a thread pool would hold memory in each of its threads
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         added = self.tokenizer.get_added_tokens_decoder()
@@ -122,23 +140,80 @@ class PieceEncoder:
             raise ValueError("an added token is normalized, stripped or a single word")
         self.added = {t.content.encode(): i for i, t in added.items()}
         self.any_added = re.compile(b"|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))) if added else None
-        self.cache: dict[bytes, bytes] = {}
-        self.cached = 0
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-
-    def pieces(self, values: list[bytes]) -> list[bytes]:
-        """Ids (unsigned 32-bit) of each piece."""
-        out = [self.cache.get(v) for v in values]
-        todo = [i for i, ids in enumerate(out) if ids is None]
-        for at in range(0, len(todo), 20_000):
-            part = todo[at : at + 20_000]
-            for i, found in zip(part, self.tokenizer.encode_batch_fast([values[j].decode() for j in part], add_special_tokens=False)):
-                out[i] = np.array(found.ids, np.uint32).tobytes()
-                if self.cached < CACHE_BYTES:
-                    self.cache[values[i]] = out[i]
-                    self.cached += len(values[i]) + len(out[i]) + ENTRY_BYTES
+        steps = json.loads(vocabulary)
+        self.plain = self.tokenizer  # for plain pieces the same model without the steps that leave them as they are
+        if (steps.get("normalizer"), steps.get("pre_tokenizer")) == _STEPS:
+            self.plain = Tokenizer(self.tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.text, self.text_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.ids_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def encoded(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, ids per piece) from the tokenizer."""
+        out: list[list[int]] = [[]] * len(values)
+        plain = [_PLAIN.fullmatch(v) is not None for v in values]
+        for tokenizer, kind in ((self.plain, True), (self.tokenizer, False)):
+            todo = [i for i, p in enumerate(plain) if p is kind]
+            for at in range(0, len(todo), 20_000):
+                part = todo[at : at + 20_000]
+                for i, found in zip(part, tokenizer.encode_batch_fast([values[j] for j in part], add_special_tokens=False)):
+                    out[i] = found.ids
+        counts = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(counts.sum())), counts
+
+    def remembered(self, keys: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Place of each piece among those remembered, -1 for others."""
+        out = np.full(len(keys), -1, np.int64)
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        which = np.flatnonzero(self.keys[at] == keys)
+        place = self.place[at[which]].astype(np.int64)
+        sizes = bounds[which + 1] - bounds[which]
+        same = sizes == self.text_at[place + 1] - self.text_at[place]
+        which, place, sizes = which[same], place[same], sizes[same]
+        if len(which):
+            differ = data[ranges(bounds[which], sizes)] != self.text[ranges(self.text_at[place], sizes)]
+            same = ~np.logical_or.reduceat(differ, np.cumsum(sizes) - sizes)
+            out[which[same]] = place[same]
         return out
 
+    def remember(self, keys: np.ndarray, data: np.ndarray, bounds: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Add pieces with their ids, as many as there is room for."""
+        room = CACHE_BYTES - ENTRY_BYTES * len(self.keys) - len(self.text) - 4 * len(self.ids)
+        n = int(np.searchsorted(bounds[1:] + 4 * np.cumsum(counts) + ENTRY_BYTES * np.arange(1, len(keys) + 1), room, side="right"))
+        if not n:
+            return
+        first, begin = len(self.text_at) - 1, int(counts[:n].sum())
+        self.text, self.text_at = np.concatenate([self.text, data[: bounds[n]]]), np.concatenate([self.text_at, self.text_at[-1] + bounds[1 : n + 1]])
+        self.ids, self.ids_at = np.concatenate([self.ids, ids[:begin]]), np.concatenate([self.ids_at, self.ids_at[-1] + np.cumsum(counts[:n])])
+        fresh, own = np.unique(keys[:n], return_index=True)
+        at = np.searchsorted(self.keys, fresh)
+        if len(self.keys):
+            new = self.keys[np.minimum(at, len(self.keys) - 1)] != fresh
+            fresh, own, at = fresh[new], own[new], at[new]
+        self.keys, self.place = np.insert(self.keys, at, fresh), np.insert(self.place, at, (first + own).astype(np.int32))
+
+    def pieces(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, number) of the ids of each of these distinct pieces."""
+        data, bounds = byte_column(found)
+        keys = span_hashes(data, bounds[:-1], bounds[1:])
+        place = self.remembered(keys, data, bounds)
+        new = np.flatnonzero(place < 0)
+        starts, counts = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        known = place >= 0
+        starts[known], counts[known] = self.ids_at[place[known]], self.ids_at[place[known] + 1] - self.ids_at[place[known]]
+        ids = self.ids
+        if len(new):
+            values = found.take(pa.array(new))
+            more, counts[new] = self.encoded(values.cast(pa.string()).to_pylist())
+            starts[new] = len(ids) + np.cumsum(counts[new]) - counts[new]
+            ids = np.concatenate([ids, more])
+            self.remember(keys[new], *byte_column(values), more, counts[new])
+        return ids, starts, counts
+
     def added_places(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """(start, end, id) of the vocabulary's added tokens in the texts as they stand."""
         raw = data.tobytes()
@@ -150,26 +225,25 @@ class PieceEncoder:
     def texts(self, data: np.ndarray, offsets: np.ndarray, special: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text); with ``special`` added tokens of the vocabulary have their own ids."""
         added = self.added_places(data, offsets) if special else []
-        data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+        data = np.frombuffer(bytearray(data.tobytes().translate(_LOWER)), np.uint8)
         for a, b, _ in added:
             data[a:b] = 32  # a border on both sides, as white space is
-        starts, ends = piece_bounds(data, offsets)
+        starts, joined, bounds = cut_pieces(data, offsets)
         if not len(starts) and not added:
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        joined = data[ranges(starts, ends - starts)]
-        bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-        codes = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(joined)]).dictionary_encode()
-        found = self.pieces(codes.dictionary.to_pylist())
+        codes = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(joined)]).dictionary_encode()
+        found, begins, sizes = self.pieces(codes.dictionary)
         index = np.asarray(codes.indices)
         if added:
-            index = np.concatenate([index, len(found) + np.arange(len(added))])
-            found = [*found, *[np.array([i], np.uint32).tobytes() for _, _, i in added]]
+            index = np.concatenate([index, len(sizes) + np.arange(len(added))])
+            begins, sizes = np.concatenate([begins, len(found) + np.arange(len(added))]), np.concatenate([sizes, np.ones(len(added), np.int64)])
+            found = np.concatenate([found, np.array([i for _, _, i in added], np.uint32)])
             starts = np.concatenate([starts, np.array([a for a, _, _ in added], np.int64)])
             order = np.argsort(starts)
             starts, index = starts[order], index[order]
-        sizes = np.array([len(f) for f in found], np.int64) // 4
-        ids = np.frombuffer(b"".join(found), np.uint32)[ranges((np.cumsum(sizes) - sizes)[index], sizes[index])]
-        total = np.concatenate([[0], np.cumsum(sizes[index])])
+        counts = sizes[index]
+        ids = found[ranges(begins[index], counts)]
+        total = np.concatenate([[0], np.cumsum(counts)])
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
 
@@ -229,19 +303,20 @@ INDEX = T.StructType([T.StructField("shard", T.LongType()), T.StructField("row",
 RECORD = T.StructType([*INDEX.fields, T.StructField("ids", T.BinaryType())])
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Every record with its place and its ids (little-endian unsigned 32-bit); a damaged frame raises."""
+    schema = RECORD if with_ids else INDEX
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 file, shard = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows = [(shard, k, doc, file, at, size, len(ids), ids.tobytes()) for k, (at, size, doc, ids) in enumerate(frames(batch.column(2)[i].as_py()))]
+                rows = [(shard, k, doc, file, at, size, len(ids), *([ids.tobytes()] if with_ids else [])) for k, (at, size, doc, ids) in enumerate(frames(batch.column(2)[i].as_py()))]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names=RECORD.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names=schema.names)
         release()
 
-    return _shards(spark, path).mapInArrow(run, RECORD)
+    return _shards(spark, path).mapInArrow(run, schema)
 
 
 _ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -252,7 +327,7 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
 
     One row a record; a null id stays null, rows with one id have a row each, no record gives no row.
     """
-    read_records(spark, path).drop("ids").write.parquet(index_path)
+    read_records(spark, path, with_ids=False).write.parquet(index_path)
 
 
 def shard_starts(index: DataFrame) -> DataFrame:
