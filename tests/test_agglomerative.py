@@ -138,3 +138,13 @@ def test_few_rows(spark):
     assert [tuple(r) for r in labels.collect()] == [(0, 0)]
     two = A.merge_tree(frame(spark, np.array([[0.0], [0.0], [3.0]])), ["ward"])
     assert sorted((r.a, r.b, r.height) for r in two.collect()) == [(0, 1, 0.0), (0, 2, pytest.approx(6.0))]
+
+
+@pytest.mark.parametrize("top", [1000, 3])
+def test_near_parts_come_before_a_far_row(spark, top):
+    """Three parts that no edge joins, and a row whose only edges lead far: the parts, which are nearer, merge first."""
+    x = np.array([[v] for v in (0, 1, 2, 10, 11, 12, 30, 31, 32, -50)], float)
+    steps = A.merge_steps(A.merge_tree(frame(spark, x), ["complete", "average"], 2, top)).orderBy("step").collect()
+    last = {n: [(r.a, r.b, r.height) for r in steps if r.linkage == n][-3:] for n in ("complete", "average")}
+    assert last["complete"] == [(0, 3, 8.0), (0, 6, 28.0), (0, 9, 51.0)]
+    assert last["average"] == [(0, 3, 8.0), (0, 6, 23.0), (0, 9, 50.5)]
