@@ -1,7 +1,8 @@
 """Learners behind one signature: (train, test, features, settings) -> (id, y, score, pred) of the test rows.
 
 ``train`` and ``test`` hold id, y, the feature columns (standardised) and, where asked for, ``weight``.
-Everything that has an MLlib counterpart uses it.
+Forests and boosted trees grow in the tasks (``operators/trees.py``); everything else that has an MLlib counterpart
+uses it, and so do they where the different rows are too many for a task.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.operators import gradient
+from tabforge.operators import gradient, trees
 from tabforge.operators.clustering import assemble
 from tabforge.operators.folds import k_folds
 from tabforge.operators.neighbors import knn_vote
@@ -125,10 +126,22 @@ ESTIMATORS = {
 }
 
 
+def _settings(name: str, p: Mapping) -> trees.Settings:
+    if name.startswith("boosted"):
+        return trees.Settings(p["trees"], p["depth"], 1, p["columns"], p["rate"], p["rows"], SEED)
+    return trees.Settings(p["trees"], p.get("depth", DEEPEST), p.get("leaf", 1), "sqrt" if ESTIMATORS[name][1] else "all", seed=SEED)
+
+
 def _of_estimator(name: str) -> Learner:
     make, classify = ESTIMATORS[name]
+    own = {"forest": trees.forest_scores, "boosted": trees.boosted_scores}.get(name.removesuffix("_regressor"))
 
     def learner(train, test, features, p):
+        if own is not None:
+            rows = train if classify else train.drop("weight")
+            scored = own(rows, test, features, _settings(name, p), p.get("bins", 64), classify)
+            if scored is not None:
+                return scored
         return _classify(_weighted(make(p), train), train, test, features) if classify else _regress(make(p), train, test, features)
 
     return learner
@@ -137,6 +150,10 @@ def _of_estimator(name: str) -> Learner:
 def fitted_importance(train: DataFrame, features: Sequence[str], name: str, params: Mapping) -> dict[str, float]:
     """Importance of each feature in one of ``ESTIMATORS`` fitted on ``train``."""
     make, classify = ESTIMATORS[name]
+    if not name.startswith("tree"):
+        found = trees.importances(train if classify else train.drop("weight"), features, _settings(name, params), params.get("bins", 64), classify, name.startswith("boosted"))
+        if found is not None:
+            return dict(zip(features, map(float, found)))
     estimator = _weighted(make(params), train) if classify else make(params)
     model = estimator.setFeaturesCol("features").setLabelCol("y").fit(assemble(train, features))
     return dict(zip(features, (float(v) for v in model.featureImportances.toArray())))
@@ -153,11 +170,6 @@ def forest_importance(df: DataFrame, features: Sequence[str], y: str, classify:
     from tabforge.operators.folds import with_class_weight
 
     data = df.withColumn("y", F.col(y).cast("double"))
-    if classify:
-        data = with_class_weight(data, "y")
-        est = C.RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=64, seed=SEED, weightCol="weight")
-    else:
-        est = R.RandomForestRegressor(numTrees=trees, maxDepth=depth, maxBins=64, featureSubsetStrategy="all", seed=SEED)
-    model = est.setFeaturesCol("features").setLabelCol("y").fit(assemble(data, features))
-    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    data = with_class_weight(data, "y") if classify else data.drop("weight")
+    found = fitted_importance(data, features, "forest" if classify else "forest_regressor", {"trees": trees, "depth": depth})
+    return df.sparkSession.createDataFrame(list(found.items()), "feature string, importance double")
